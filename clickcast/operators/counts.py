@@ -5,17 +5,17 @@ a null in any key of any group has no match and is dropped, but it still counts
 
 Three methods give the same rows:
 
-``split`` (default)
+``split`` (default; ``join`` where no group contains ``ip``)
     Six of the seven groups contain ``ip``. Clicks are shuffled by ``ip`` once and those six counts are windows over
-    that one partitioning. An ``ip`` so frequent that its clicks should not meet in one task is left out of that
-    shuffle. Its clicks are first aggregated to one row per distinct combination of keys, the counts are sums over those
-    rows, and they come back to the clicks by a join on the full combination. The counts without ``ip`` are aggregated
-    and joined back.
+    that one partitioning. An ``ip`` so frequent that its clicks should not meet in one task stays out of that shuffle:
+    its clicks are aggregated to one row per distinct combination of keys, the counts are sums over those rows, and they
+    come back to the clicks by a join on the full combination. A count without ``ip`` is aggregated and joined back.
+    No key, however frequent, brings its clicks together in one task; see ``_spread_join`` and ``_join_cells``.
 ``join``
-    One aggregation and one join per group. Holds under any skew (partial aggregation, adaptive skew join), but the
-    clicks are shuffled up to seven times.
+    One aggregation and one join per group: the clicks are shuffled up to seven times. The aggregation is partial before
+    its shuffle; that a frequent key does not fill one task of the join is left to adaptive execution.
 ``window``
-    All clicks of one ``ip``, hot or not, go to one task. For data known to be even.
+    All clicks of one group, hot or not, go to one task. For data known to be even.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 Groups = Mapping[str, Sequence[str]]
@@ -57,9 +57,9 @@ def group_counts(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
 def add_group_count(df: DataFrame, keys: Sequence[str], name: str, method: str = "join") -> DataFrame:
     """One group's count on every row; rows with a null key are dropped. Columns keep their order."""
     if method == "window":
-        counted = _drop_null_keys(_windows(df, {name: keys}), keys)
+        counted = with_all_keys(_windows(df, {name: keys}, F.count("*")), {name: keys})
     elif method == "join":
-        counted = _join_back(df, group_counts(df, keys, name), keys)
+        counted = df.join(group_counts(df, keys, name), list(keys))
     else:
         raise ValueError(f"unknown method {method!r}")
     return counted.select(*df.columns, name)
@@ -87,16 +87,22 @@ def click_features(
     ``counts_from`` counts over another table, such as the training split, and gives 0 for combinations it lacks.
     ``hot`` names the frequent addresses if they are known already; otherwise ``split`` finds those with ``hot_rows``.
     """
+    # Rows that only receive counts and rows that only count go through the same plan.
+    rows, total = df, F.count("*")
     if counts_from is not None:
-        counted = _counts_of(df, groups, counts_from)
-    elif method == "join":
-        counted = reduce(lambda d, g: _join_back(d, group_counts(df, g[1], g[0]), g[1]), groups.items(), df)
+        total = F.sum("_counts")
+        receiving = df.withColumns({"_counts": F.lit(0), "_kept": F.lit(True)})
+        counting = counts_from.select(*_all_keys(groups)).withColumns({"_counts": F.lit(1), "_kept": F.lit(False)})
+        rows = receiving.unionByName(counting, allowMissingColumns=True)
+
+    if method == "join" or (method == "split" and not any("ip" in keys for keys in groups.values())):
+        counted = _received(with_all_keys(rows, groups))
+        for name, keys in groups.items():
+            counted = counted.join(rows.groupBy(*keys).agg(total.alias(name)), list(keys))
     elif method == "window":
-        counted = _drop_null_keys(_windows(df.repartition("ip"), groups), _all_keys(groups))
+        counted = _received(with_all_keys(_windows(rows.repartition("ip"), groups, total), groups))
     elif method == "split":
-        if hot is None:
-            hot = hot_values(df, rows=hot_rows)
-        counted = _split(df, groups, hot)
+        counted = _split(rows, groups, total, hot, hot_rows)
     else:
         raise ValueError(f"unknown method {method!r}")
     return counted.select(*df.columns, *groups)
@@ -104,7 +110,7 @@ def click_features(
 
 def with_all_keys(df: DataFrame, groups: Groups = GROUPS) -> DataFrame:
     """The rows ``click_features`` keeps: those with no null in any group's keys."""
-    return _drop_null_keys(df, _all_keys(groups))
+    return _drop_null_keys(df, _all_keys(groups)) if groups else df
 
 
 def _all_keys(groups: Groups) -> list[str]:
@@ -115,58 +121,80 @@ def _drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
 
 
-def _join_back(df: DataFrame, counts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    # No hint: the counts are broadcast only if their size at run time allows it; beyond that a sort-merge join whose
-    # skewed partitions are split, since the counts hold one row per key.
-    return df.join(counts, list(keys), "inner")
+def _received(df: DataFrame) -> DataFrame:
+    return df.filter("_kept") if "_kept" in df.columns else df
 
 
-def _windows(df: DataFrame, groups: Groups) -> DataFrame:
+def _windows(df: DataFrame, groups: Groups, total: Column) -> DataFrame:
     for name, keys in groups.items():
-        df = df.withColumn(name, F.count("*").over(Window.partitionBy(*keys)))
+        df = df.withColumn(name, total.over(Window.partitionBy(*keys)))
     return df
 
 
-def _split(df: DataFrame, groups: Groups, hot: Sequence) -> DataFrame:
+def _split(rows: DataFrame, groups: Groups, total: Column, hot: Sequence | None, hot_rows: int) -> DataFrame:
     by_ip = {name: keys for name, keys in groups.items() if "ip" in keys}
     others = {name: keys for name, keys in groups.items() if "ip" not in keys}
-
-    # A click without an address is in no group by address and is dropped in the end; dropped here, the nulls do not
-    # meet in one task. Nulls in other keys must be counted first.
-    rows = df.filter(F.col("ip").isNotNull())
-    if not by_ip:
-        counted = df
-    elif hot:
-        if len(hot) > HOT_LIMIT:
-            raise ValueError(f"{len(hot)} hot values; at most {HOT_LIMIT} are broadcast")
-        listed = df.sparkSession.createDataFrame([(str(v),) for v in hot], "ip string")
-        listed = F.broadcast(listed.select(F.col("ip").cast(df.schema["ip"].dataType)))
-        cold = _windows(rows.join(listed, "ip", "left_anti").repartition("ip"), by_ip)
-        counted = cold.unionByName(_count_by_cells(rows.join(listed, "ip", "left_semi"), by_ip))
+    tables = {
+        name: rows.groupBy(*keys).agg(total.alias(name), F.count("*").alias("_rows")) for name, keys in others.items()
+    }
+    # A click without an address is in no group by address and is dropped in the end. Dropped here, the nulls do not
+    # meet in one task. Nulls in other keys are dropped after they are counted.
+    addressed = rows.filter(F.col("ip").isNotNull())
+    if hot is None:
+        hot = hot_values(addressed, rows=hot_rows)
+    if len(hot) > HOT_LIMIT:
+        raise ValueError(f"{len(hot)} hot values; at most {HOT_LIMIT} are broadcast")
+    if hot:
+        listed = rows.sparkSession.createDataFrame([(str(v),) for v in hot], "ip string")
+        listed = F.broadcast(listed.select(F.col("ip").cast(rows.schema["ip"].dataType)))
+        even, frequent = addressed.join(listed, "ip", "left_anti"), addressed.join(listed, "ip", "left_semi")
     else:
-        counted = _windows(rows.repartition("ip"), by_ip)
-    counted = _drop_null_keys(counted, _all_keys(by_ip))
+        even = addressed
+
+    counted = _received(with_all_keys(_windows(even.repartition("ip"), by_ip, total), groups))
     for name, keys in others.items():
-        counted = _join_back(counted, group_counts(df, keys, name), keys)
+        counted = _spread_join(counted, tables[name], name, keys, hot_rows)
+    if hot:
+        counted = counted.unionByName(_join_cells(frequent, groups, by_ip, tables, total, hot_rows))
     return counted
 
 
-def _count_by_cells(df: DataFrame, groups: Groups) -> DataFrame:
-    """Counts for rows with few distinct ``ip``, each very frequent.
+def _most_frequent(table: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
+    """The rows of ``table`` whose keys have at least ``hot_rows`` rows, HOT_LIMIT of them at most, for a broadcast."""
+    frequent = table.filter(F.col("_rows") >= hot_rows).orderBy(F.desc("_rows"), *keys).limit(HOT_LIMIT)
+    return F.broadcast(frequent.drop("_rows"))
 
-    The windows run over distinct key combinations, not over rows, and each is partitioned by its group's full key, so
-    a task holds at most as many rows of a group as the other keys have combinations.
+
+def _spread_join(df: DataFrame, table: DataFrame, name: str, keys: Sequence[str], hot_rows: int) -> DataFrame:
+    """Join a count back onto rows in which no ``ip`` is frequent.
+
+    A frequent key's count is broadcast, and its rows go through the shuffle spread by ``ip``, where they match nothing.
+    The salt is a function of the row, so a task that runs again sends its rows to the same places.
     """
-    keys = _all_keys(groups)
-    cells = group_counts(df, keys, "_n")
-    for name, group in groups.items():
-        cells = cells.withColumn(name, F.sum("_n").over(Window.partitionBy(*group)))
-    return _join_back(df, cells.drop("_n"), keys)
+    frequent = _most_frequent(table, keys, hot_rows).withColumnRenamed(name, "_frequent")
+    salt = F.when(F.col("_frequent").isNotNull(), F.xxhash64("ip")).otherwise(0)
+    salted = df.join(frequent, list(keys), "left").withColumn("_salt", salt)
+    # Zero for every group, but not as a literal, which the optimizer would take out of the keys of the shuffle.
+    counts = table.withColumn("_salt", F.when(F.col("_rows") > 0, F.lit(0).cast("bigint"))).drop("_rows")
+    joined = salted.join(counts, [*keys, "_salt"], "left")
+    return joined.withColumn(name, F.coalesce("_frequent", name)).drop("_frequent", "_salt")
 
 
-def _counts_of(df: DataFrame, groups: Groups, source: DataFrame) -> DataFrame:
-    counted = _drop_null_keys(df, _all_keys(groups))
-    for name, keys in groups.items():
-        counts = group_counts(_drop_null_keys(source, keys), keys, name)
-        counted = counted.join(counts, list(keys), "left").withColumn(name, F.coalesce(name, F.lit(0).cast("bigint")))
-    return counted
+def _join_cells(
+    df: DataFrame, groups: Groups, by_ip: Groups, tables: Mapping[str, DataFrame], total: Column, hot_rows: int
+) -> DataFrame:
+    """Counts for rows with few distinct ``ip``, each frequent.
+
+    A cell is a distinct combination of all keys. The windows run over cells, each partitioned by its group's full key,
+    so a task holds at most as many rows of a group as the other keys have combinations. The counts of frequent cells
+    are broadcast, and their rows are not shuffled; the others are joined by the whole combination.
+    """
+    keys = _all_keys(groups)
+    cells = df.groupBy(*keys).agg(total.alias("_total"), F.count("*").alias("_rows"))
+    cells = _windows(cells, by_ip, F.sum("_total")).drop("_total")
+    for name, table in tables.items():
+        cells = cells.join(table.drop("_rows"), list(groups[name]))
+    frequent = _most_frequent(cells, keys, hot_rows)
+    rows = _received(df)
+    others = rows.join(frequent.select(*keys), keys, "left_anti").join(cells.drop("_rows"), keys)
+    return rows.join(frequent, keys).unionByName(others)
