@@ -6,12 +6,14 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cpus: int = 8, memory: str = "8g", app: str = "clickcast") -> SparkSession:
+def local_session(
+    cpus: int = 8, memory: str = "8g", app: str = "clickcast", checkpoint_dir: str | None = None
+) -> SparkSession:
     """A ``local[cpus]`` session for tests and the bench. On a cluster use the session you are given."""
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
@@ -19,8 +21,10 @@ def local_session(cpus: int = 8, memory: str = "8g", app: str = "clickcast") ->
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
-        .getOrCreate()
     )
+    if checkpoint_dir is not None:
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
+    return builder.getOrCreate()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -43,11 +47,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def checkpointed(df):
-    """``df.checkpoint()`` with the checkpoint folder in place."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        folder = shared_dir(df.sparkSession)
-        if not context.getCheckpointDir():
+def use_checkpoint_dir(spark: SparkSession) -> None:
+    """Give the session a checkpoint folder, for ``checkpoint()`` and for models that cut their own lineage."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = shared_dir(spark)
+        if context.getCheckpointDir() is None:
             context.setCheckpointDir(folder)
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df.checkpoint()`` with the checkpoint folder in place."""
+    use_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
