@@ -210,6 +210,7 @@ ORACLE = {
     "one_hot_long": ONE_HOT,
     "feature_rows": f"WITH {ENCODED} SELECT * FROM train_long",
     "held_out_features": f"WITH {ENCODED} SELECT * FROM test_long",
+    "label_table_features": f"WITH {ENCODED} SELECT * FROM test_long",
     "dt_predict": LABEL_AS_PREDICTION,
     "gbt_predict": LABEL_AS_PREDICTION,
     "lr_predict": LABEL_AS_PREDICTION,

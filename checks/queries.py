@@ -17,6 +17,8 @@ from clickcast.operators.encode import (
     index_labels,
     join_indices,
     one_hot_long,
+    read_features,
+    save_encoder,
     vector_entries,
 )
 from clickcast.operators.evaluate import auroc_label, auroc_score
@@ -49,11 +51,11 @@ def _parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return hash_split(_prepared(spark, sf_dir), "event_id")
 
 
-def _encoded(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Training and held-out ``event_id, label, features``; the encoder is fitted on the training part."""
-    train, test = _parts(spark, sf_dir)
-    model = fit_encoder(with_all_keys(train))
-    return tuple(feature_rows(click_features(part), model, "event_id", "label") for part in (train, test))
+def _encoded(spark: SparkSession, sf_dir: str, *wanted: int) -> list[DataFrame]:
+    """``event_id, label, features`` of the training (0) and held-out (1) part; the encoder is fitted on the former."""
+    parts = _parts(spark, sf_dir)
+    model = fit_encoder(with_all_keys(parts[0]))
+    return [feature_rows(click_features(parts[i]), model, "event_id", "label") for i in wanted]
 
 
 def _nb_encoded(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -92,13 +94,13 @@ def csv_scan_inferred(spark, sf_dir):
 
 def parquet_scan(spark, sf_dir):
     path = scratch_path(spark, "labelfeatures")
-    write_parquet(_encoded(spark, sf_dir)[0], path)
+    write_parquet(*_encoded(spark, sf_dir, 0), path)
     return vector_entries(read_parquet(spark, path), "features", "event_id", "label")
 
 
 def partitioned_sink(spark, sf_dir):
     path = scratch_path(spark, "tests")
-    write_parquet(_encoded(spark, sf_dir)[1], path, files=50)
+    write_parquet(*_encoded(spark, sf_dir, 1), path, files=50)
     return vector_entries(read_parquet(spark, path), "features", "event_id", "label")
 
 
@@ -210,14 +212,23 @@ def one_hot(spark, sf_dir):
 
 
 def features_long(part, spark, sf_dir):
-    return vector_entries(_encoded(spark, sf_dir)[part], "features", "event_id", "label")
+    return vector_entries(*_encoded(spark, sf_dir, part), "features", "event_id", "label")
+
+
+def label_table_features(spark, sf_dir):
+    """Held-out features from an encoder that keeps its labels in a table, through a file."""
+    train, test = _parts(spark, sf_dir)
+    path = scratch_path(spark, "labels")
+    model = save_encoder(fit_encoder(with_all_keys(train), max_listed=0), path)
+    write_parquet(feature_rows(click_features(test), model, "event_id", "label"), f"{path}-rows")
+    return vector_entries(read_features(spark, f"{path}-rows"), "features", "event_id", "label")
 
 
 # Classifiers
 
 
 def _scored(spark, sf_dir, algorithm, params):
-    train, test = _encoded(spark, sf_dir)
+    train, test = _encoded(spark, sf_dir, 0, 1)
     return fit(train.select("label", "features"), algorithm, params).transform(test)
 
 
@@ -262,7 +273,7 @@ def tune_nb(spark, sf_dir):
 
 def tune_lr(spark, sf_dir):
     """Held-out predictions of the model that wins the random train/validation search."""
-    train, test = _encoded(spark, sf_dir)
+    train, test = _encoded(spark, sf_dir, 0, 1)
     return fit(train.select("label", "features"), "lr").model.transform(test).select("event_id", "prediction")
 
 
@@ -338,6 +349,7 @@ QUERIES = {
     "one_hot_long": one_hot,
     "feature_rows": partial(features_long, 0),
     "held_out_features": partial(features_long, 1),
+    "label_table_features": label_table_features,
     "dt_predict": partial(predict, "dt", {}),
     "rf_predict": partial(predict, "rf", {"numTrees": 30}),
     "gbt_predict": partial(predict, "gbt", {"maxIter": 10, "maxDepth": 5}),

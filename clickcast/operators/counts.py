@@ -10,12 +10,13 @@ Three methods give the same rows:
     that one partitioning. An ``ip`` so frequent that its clicks should not meet in one task stays out of that shuffle:
     its clicks are aggregated to one row per distinct combination of keys, the counts are sums over those rows, and they
     come back to the clicks by a join on the full combination. A count without ``ip`` is aggregated and joined back.
-    No key, however frequent, brings its clicks together in one task; see ``_spread_join`` and ``_join_cells``.
 ``join``
-    One aggregation and one join per group: the clicks are shuffled up to seven times. The aggregation is partial before
-    its shuffle; that a frequent key does not fill one task of the join is left to adaptive execution.
+    One aggregation and one join per group: the clicks are shuffled up to seven times.
 ``window``
     All clicks of one group, hot or not, go to one task. For data known to be even.
+
+Aggregations are partial before their shuffle and joins are spread (see ``joins``), so that with ``split`` and ``join``
+no key, however frequent, brings its clicks together in one task.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickcast.operators.joins import HOT_LIMIT, HOT_ROWS, most_frequent, spread_join
+
 Groups = Mapping[str, Sequence[str]]
 
 # The name of each count and the keys it groups by, in output order.
@@ -42,12 +45,6 @@ GROUPS: Groups = {
 # On request only.
 OPTIONAL_GROUPS: Groups = {"nipAppOs": ("ip", "day", "hour", "app", "os")}
 
-# An ``ip`` with this many clicks is kept out of the shuffle by ``ip``.
-HOT_ROWS = 5_000_000
-# At most this many addresses are treated as hot, so their list stays small. Any other address then holds at most
-# one part in HOT_LIMIT of the clicks.
-HOT_LIMIT = 10_000
-
 
 def group_counts(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     """Rows per distinct combination of ``keys``. Null is a value of its own."""
@@ -59,7 +56,8 @@ def add_group_count(df: DataFrame, keys: Sequence[str], name: str, method: str =
     if method == "window":
         counted = with_all_keys(_windows(df, {name: keys}, F.count("*")), {name: keys})
     elif method == "join":
-        counted = df.join(group_counts(df, keys, name), list(keys))
+        table = _table(df, keys, name, F.count("*"))
+        counted = _join_back(with_all_keys(df, {name: keys}), table, keys, _possibly_hot(df, HOT_ROWS))
     else:
         raise ValueError(f"unknown method {method!r}")
     return counted.select(*df.columns, name)
@@ -95,10 +93,12 @@ def click_features(
         counting = counts_from.select(*_all_keys(groups)).withColumns({"_counts": F.lit(1), "_kept": F.lit(False)})
         rows = receiving.unionByName(counting, allowMissingColumns=True)
 
+    if method != "window":
+        hot_rows = _possibly_hot(rows, hot_rows)
     if method == "join" or (method == "split" and not any("ip" in keys for keys in groups.values())):
         counted = _received(with_all_keys(rows, groups))
         for name, keys in groups.items():
-            counted = counted.join(rows.groupBy(*keys).agg(total.alias(name)), list(keys))
+            counted = _join_back(counted, _table(rows, keys, name, total), keys, hot_rows)
     elif method == "window":
         counted = _received(with_all_keys(_windows(rows.repartition("ip"), groups, total), groups))
     elif method == "split":
@@ -131,16 +131,37 @@ def _windows(df: DataFrame, groups: Groups, total: Column) -> DataFrame:
     return df
 
 
-def _split(rows: DataFrame, groups: Groups, total: Column, hot: Sequence | None, hot_rows: int) -> DataFrame:
+def _table(rows: DataFrame, keys: Sequence[str], name: str, total: Column) -> DataFrame:
+    return rows.groupBy(*keys).agg(total.alias(name), F.count("*").alias("_rows"))
+
+
+def _possibly_hot(df: DataFrame, hot_rows: int) -> int | None:
+    """``hot_rows``, or None where the whole table has fewer rows, so that no key can be frequent.
+
+    Runs a count, which for parquet reads file footers only.
+    """
+    return hot_rows if df.count() >= hot_rows else None
+
+
+def _join_back(df: DataFrame, table: DataFrame, keys: Sequence[str], hot_rows: int | None) -> DataFrame:
+    if hot_rows is None:
+        return df.join(table.drop("_rows"), list(keys))
+    frequent = most_frequent(table, keys, "_rows", hot_rows)
+    return spread_join(df, table.drop("_rows"), frequent.drop("_rows"), keys)
+
+
+def _split(
+    rows: DataFrame, groups: Groups, total: Column, hot: Sequence | None, hot_rows: int | None
+) -> DataFrame:
     by_ip = {name: keys for name, keys in groups.items() if "ip" in keys}
     others = {name: keys for name, keys in groups.items() if "ip" not in keys}
-    tables = {
-        name: rows.groupBy(*keys).agg(total.alias(name), F.count("*").alias("_rows")) for name, keys in others.items()
-    }
+    tables = {name: _table(rows, keys, name, total) for name, keys in others.items()}
     # A click without an address is in no group by address and is dropped in the end. Dropped here, the nulls do not
     # meet in one task. Nulls in other keys are dropped after they are counted.
     addressed = rows.filter(F.col("ip").isNotNull())
-    if hot is None:
+    if hot_rows is None:
+        hot = []
+    elif hot is None:
         hot = hot_values(addressed, rows=hot_rows)
     if len(hot) > HOT_LIMIT:
         raise ValueError(f"{len(hot)} hot values; at most {HOT_LIMIT} are broadcast")
@@ -153,48 +174,24 @@ def _split(rows: DataFrame, groups: Groups, total: Column, hot: Sequence | None,
 
     counted = _received(with_all_keys(_windows(even.repartition("ip"), by_ip, total), groups))
     for name, keys in others.items():
-        counted = _spread_join(counted, tables[name], name, keys, hot_rows)
+        counted = _join_back(counted, tables[name], keys, hot_rows)
     if hot:
         counted = counted.unionByName(_join_cells(frequent, groups, by_ip, tables, total, hot_rows))
     return counted
 
 
-def _most_frequent(table: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
-    """The rows of ``table`` whose keys have at least ``hot_rows`` rows, HOT_LIMIT of them at most, for a broadcast."""
-    frequent = table.filter(F.col("_rows") >= hot_rows).orderBy(F.desc("_rows"), *keys).limit(HOT_LIMIT)
-    return F.broadcast(frequent.drop("_rows"))
-
-
-def _spread_join(df: DataFrame, table: DataFrame, name: str, keys: Sequence[str], hot_rows: int) -> DataFrame:
-    """Join a count back onto rows in which no ``ip`` is frequent.
-
-    A frequent key's count is broadcast, and its rows go through the shuffle spread by ``ip``, where they match nothing.
-    The salt is a function of the row, so a task that runs again sends its rows to the same places.
-    """
-    frequent = _most_frequent(table, keys, hot_rows).withColumnRenamed(name, "_frequent")
-    salt = F.when(F.col("_frequent").isNotNull(), F.xxhash64("ip")).otherwise(0)
-    salted = df.join(frequent, list(keys), "left").withColumn("_salt", salt)
-    # Zero for every group, but not as a literal, which the optimizer would take out of the keys of the shuffle.
-    counts = table.withColumn("_salt", F.when(F.col("_rows") > 0, F.lit(0).cast("bigint"))).drop("_rows")
-    joined = salted.join(counts, [*keys, "_salt"], "left")
-    return joined.withColumn(name, F.coalesce("_frequent", name)).drop("_frequent", "_salt")
-
-
 def _join_cells(
-    df: DataFrame, groups: Groups, by_ip: Groups, tables: Mapping[str, DataFrame], total: Column, hot_rows: int
+    df: DataFrame, groups: Groups, by_ip: Groups, tables: Mapping[str, DataFrame], total: Column, hot_rows: int | None
 ) -> DataFrame:
     """Counts for rows with few distinct ``ip``, each frequent.
 
     A cell is a distinct combination of all keys. The windows run over cells, each partitioned by its group's full key,
-    so a task holds at most as many rows of a group as the other keys have combinations. The counts of frequent cells
-    are broadcast, and their rows are not shuffled; the others are joined by the whole combination.
+    so a task holds at most as many rows of a group as the other keys have combinations.
     """
     keys = _all_keys(groups)
-    cells = df.groupBy(*keys).agg(total.alias("_total"), F.count("*").alias("_rows"))
-    cells = _windows(cells, by_ip, F.sum("_total")).drop("_total")
+    rows = with_all_keys(df, groups)
+    cells = _windows(_table(df, keys, "_total", total), by_ip, F.sum("_total")).drop("_total")
+    cells = with_all_keys(cells, groups)
     for name, table in tables.items():
         cells = cells.join(table.drop("_rows"), list(groups[name]))
-    frequent = _most_frequent(cells, keys, hot_rows)
-    rows = _received(df)
-    others = rows.join(frequent.select(*keys), keys, "left_anti").join(cells.drop("_rows"), keys)
-    return rows.join(frequent, keys).unionByName(others)
+    return _join_back(_received(rows), cells, keys, hot_rows)

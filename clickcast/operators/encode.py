@@ -3,30 +3,33 @@
 A category's labels are numbered by falling frequency, ties by the label's text. Null and labels not seen in the fit get
 the number after the last label, and a one-hot block of zeros.
 
-The fitted encoder is a ``PipelineModel``: it holds every label in the memory of the driver and of each executor, and the
-vector is as wide as there are labels. ``rank_labels`` and ``join_indices`` give the same numbers as tables, for
-categories whose labels do not fit there.
+The fitted encoder is a ``PipelineModel``, which holds every label in the memory of the driver and of each executor. Where
+there are too many labels for that it is a ``TableEncoder``: the labels stay in a table and are joined. Both give the same
+vectors.
 """
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import cached_property
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from clickcast.operators.counts import GROUPS
+from clickcast.operators.joins import HOT_LIMIT, HOT_ROWS, spread_join
 from clickcast.session import checkpointed
 
-log = logging.getLogger(__name__)
-
 # The categories in the order of their one-hot blocks. ``hour`` and ``day`` are also group keys.
 CATEGORIES = ("ip", "app", "device", "os", "channel", "hour", "day")
 
-# Labels, over all categories, that are brought to the driver one by one to build the indexer.
+# With more labels than this, over all categories, they are kept in a table.
 MAX_LISTED = 100_000
 
 
@@ -72,25 +75,122 @@ def index_labels(df: DataFrame, columns: Sequence[str] = CATEGORIES) -> DataFram
     return rank_labels(label_counts(df, columns))
 
 
-def join_indices(df: DataFrame, index: DataFrame, columns: Sequence[str] = CATEGORIES) -> DataFrame:
+def frequent_labels(counts: DataFrame, hot_rows: int = HOT_ROWS) -> list[tuple[str, str]]:
+    """``(column, label)`` of the labels with at least ``hot_rows`` rows, HOT_LIMIT of them at most, from ``label_counts``."""
+    frequent = counts.filter(F.col("n") >= hot_rows).orderBy(F.desc("n"), "column", "label").limit(HOT_LIMIT)
+    return [(r["column"], r["label"]) for r in frequent.collect()]
+
+
+def join_indices(
+    df: DataFrame,
+    index: DataFrame,
+    columns: Sequence[str] = CATEGORIES,
+    frequent: Sequence[tuple[str, str]] | None = None,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
     """``<column>_Index`` for each column, looked up in a table from ``index_labels`` instead of a fitted model.
 
-    Each column is a left join with its part of the table, broadcast only if small enough at run time.
+    ``frequent`` are the labels of ``df`` whose rows should not meet in one task; without it they are looked for.
     """
+    spark = df.sparkSession
     sizes = {r["column"]: r["n"] for r in index.groupBy("column").agg(F.count("*").alias("n")).collect()}
+    if frequent is None:
+        frequent = frequent_labels(label_counts(df, columns), hot_rows) if df.count() >= hot_rows else []
     for c in columns:
-        part = index.filter(F.col("column") == c).select(
-            F.col("label").alias(f"{c}_label"), F.col("label_index").alias(f"{c}_Index")
+        labels = index.filter(F.col("column") == c).select(
+            F.col("label").alias("_label"), F.col("label_index").alias(f"{c}_Index")
         )
+        rows = df.withColumn("_label", F.col(c).cast("string"))
+        named = [(label,) for column, label in frequent if column == c]
+        if named:
+            listed = F.broadcast(spark.createDataFrame(named, "_label string"))
+            joined = spread_join(rows, labels, listed.join(labels, "_label", "left"), ["_label"])
+        else:
+            joined = rows.join(labels, "_label", "left")
         unseen = F.lit(float(sizes.get(c, 0)))
-        df = (
-            df.join(part, F.col(c).cast("string") == F.col(f"{c}_label"), "left")
-            .drop(f"{c}_label")
-            .withColumn(f"{c}_Index", F.coalesce(f"{c}_Index", unseen))
-        )
+        df = joined.withColumn(f"{c}_Index", F.coalesce(f"{c}_Index", unseen)).drop("_label")
     return df
 
 
+@dataclass(frozen=True)
+class TableEncoder:
+    """A fitted encoder whose labels are the table ``index``, from ``rank_labels``.
+
+    ``transform`` adds the indices and ``features``. That column has the fields of a sparse vector, but becomes a vector
+    column only when it is written to parquet and read with ``read_features``.
+    """
+
+    index: DataFrame
+    categories: Sequence[str] = CATEGORIES
+    numeric: Sequence[str] = tuple(GROUPS)
+
+    @cached_property
+    def sizes(self) -> dict[str, int]:
+        """Labels per category: one number each."""
+        found = {r["column"]: r["n"] for r in self.index.groupBy("column").agg(F.count("*").alias("n")).collect()}
+        return {c: found.get(c, 0) for c in self.categories}
+
+    def transform(self, df: DataFrame, frequent: Sequence[tuple[str, str]] | None = None) -> DataFrame:
+        indexed = join_indices(df, self.index, self.categories, frequent)
+        return indexed.withColumn("features", self._vector())
+
+    def _vector(self) -> Column:
+        entries, start = [], 0
+        for c, size in self.sizes.items():
+            seen = F.when(F.col(f"{c}_Index") < size, (start + F.col(f"{c}_Index")).cast("int"))
+            entries.append(F.struct(seen.alias("position"), F.lit(1.0).alias("value")))
+            start += size
+        for i, c in enumerate(self.numeric):
+            value = F.col(c).cast("double")
+            entries.append(F.struct(F.lit(start + i).alias("position"), value.alias("value")))
+        kept = F.filter(F.array(*entries), lambda e: e["position"].isNotNull() & (e["value"] != 0))
+        return F.struct(
+            F.lit(0).cast("tinyint").alias("type"),
+            F.lit(start + len(self.numeric)).alias("size"),
+            F.transform(kept, lambda e: e["position"]).alias("indices"),
+            F.transform(kept, lambda e: e["value"]).alias("values"),
+        )
+
+    def save(self, path: str) -> None:
+        spark = self.index.sparkSession
+        layout = [(i, c, c in self.categories) for i, c in enumerate([*self.categories, *self.numeric])]
+        self.index.write.mode("overwrite").partitionBy("column").parquet(f"{path}/labels")
+        columns = spark.createDataFrame(layout, "place int, column string, category boolean")
+        columns.coalesce(1).write.mode("overwrite").parquet(f"{path}/layout")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> TableEncoder:
+        layout = spark.read.parquet(f"{path}/layout").orderBy("place").collect()
+        categories, numeric = ([r["column"] for r in layout if r["category"] is kind] for kind in (True, False))
+        return TableEncoder(spark.read.parquet(f"{path}/labels"), tuple(categories), tuple(numeric))
+
+
+def save_encoder(model: PipelineModel | TableEncoder, path: str) -> PipelineModel | TableEncoder:
+    """Save a fitted encoder of either kind, replacing what is there, and return it: a table as the one now on file."""
+    if isinstance(model, TableEncoder):
+        model.save(path)
+        return TableEncoder.load(model.index.sparkSession, path)
+    model.write().overwrite().save(path)
+    return model
+
+
+def load_encoder(spark: SparkSession, path: str) -> PipelineModel | TableEncoder:
+    """Load a fitted encoder of either kind."""
+    try:
+        return TableEncoder.load(spark, path)
+    except AnalysisException:
+        return PipelineModel.load(path)
+
+
+def read_features(spark: SparkSession, path: str, vector: str = "features") -> DataFrame:
+    """A parquet table with a feature column, read as a vector column whichever encoder it comes from."""
+    df = spark.read.parquet(path)
+    if isinstance(df.schema[vector].dataType, VectorUDT):
+        return df
+    fields = [StructField(f.name, VectorUDT()) if f.name == vector else f for f in df.schema.fields]
+    return spark.read.schema(StructType(fields)).parquet(path)
+
+
 def encoder(categories: Sequence[str] = CATEGORIES, numeric: Sequence[str] = tuple(GROUPS)) -> Pipeline:
     """The unfitted encoder: one indexer and one one-hot encoder for all categories, and the assembler."""
     return Pipeline(stages=[_indexer(categories), *_after_index(categories, numeric)])
@@ -115,34 +215,29 @@ def fit_encoder(
     numeric: Sequence[str] = tuple(GROUPS),
     max_listed: int = MAX_LISTED,
     counts: DataFrame | None = None,
-) -> PipelineModel:
+) -> PipelineModel | TableEncoder:
     """Fit the encoder on the categories of ``df``; the numeric columns need not be there yet.
 
-    Labels are counted by a distributed aggregation (``counts``, if that is at hand). Up to ``max_listed`` of them make
-    the indexer directly. For more, the indexer's own fit gives the same model, but merges all label counts in one task.
+    Labels are counted by a distributed aggregation (``counts``, if that is at hand). Up to ``max_listed`` of them are
+    brought to the driver and make a ``PipelineModel``; more are ranked where they are and make a ``TableEncoder``.
     """
     if counts is None:
         counts = label_counts(df, categories)
     listed = counts.limit(max_listed + 1).collect()
     if len(listed) > max_listed:
-        log.warning("more than %d labels: the fitted encoder holds them all in memory", max_listed)
-        indexers = [_indexer(categories).fit(df)]
-    else:
-        ranked = sorted(listed, key=lambda r: (-r["n"], r["label"]))
-        indexers = [
-            StringIndexerModel.from_labels(
-                [r["label"] for r in ranked if r["column"] == c],
-                inputCol=c,
-                outputCol=f"{c}_Index",
-                handleInvalid="keep",
-            )
-            for c in categories
-        ]
+        return TableEncoder(rank_labels(counts), tuple(categories), tuple(numeric))
+    ranked = sorted(listed, key=lambda r: (-r["n"], r["label"]))
+    indexers = [
+        StringIndexerModel.from_labels(
+            [r["label"] for r in ranked if r["column"] == c], inputCol=c, outputCol=f"{c}_Index", handleInvalid="keep"
+        )
+        for c in categories
+    ]
     # The one-hot sizes come from the indexers' column metadata, so this fit reads no rows.
     return Pipeline(stages=[*indexers, *_after_index(categories, numeric)]).fit(df)
 
 
-def feature_rows(df: DataFrame, model: PipelineModel, *kept: str) -> DataFrame:
+def feature_rows(df: DataFrame, model: PipelineModel | TableEncoder, *kept: str) -> DataFrame:
     """``kept`` columns, by default ``label``, and the feature vector."""
     return model.transform(df).select(*(kept or ("label",)), "features")
 
@@ -152,7 +247,7 @@ def vector_entries(df: DataFrame, vector: str, *kept: str) -> DataFrame:
 
     Reads the vector's own arrays: a sparse vector is never widened.
     """
-    v = F.unwrap_udt(vector)
+    v = F.unwrap_udt(vector) if isinstance(df.schema[vector].dataType, VectorUDT) else F.col(vector)
     places = F.when(v["type"] == 0, v["indices"]).otherwise(F.sequence(F.lit(0), F.size(v["values"]) - 1))
     entries = F.arrays_zip(places.alias("position"), v["values"].alias("value"))
     return df.select(*kept, F.inline(F.when(F.size(v["values"]) > 0, entries))).filter(F.col("value") != 0)

@@ -10,13 +10,25 @@ from __future__ import annotations
 
 from pyspark.ml import Model, PipelineModel
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from clickcast.functions import hash_split, prepare_clicks, random_split
-from clickcast.operators.counts import GROUPS, HOT_LIMIT, HOT_ROWS, Groups, click_features, with_all_keys
-from clickcast.operators.encode import CATEGORIES, encoder, feature_rows, fit_encoder, label_counts
+from clickcast.operators.counts import GROUPS, Groups, click_features, with_all_keys
+from clickcast.operators.encode import (
+    CATEGORIES,
+    MAX_LISTED,
+    TableEncoder,
+    encoder,
+    feature_rows,
+    fit_encoder,
+    frequent_labels,
+    label_counts,
+    load_encoder,
+    read_features,
+    save_encoder,
+)
 from clickcast.operators.evaluate import auroc_label, auroc_score
+from clickcast.operators.joins import HOT_ROWS
 from clickcast.operators.tuning import Tuned, fit
 from clickcast.sources import (
     read_clicks_csv,
@@ -39,7 +51,8 @@ def preprocess(
     groups: Groups = GROUPS,
     method: str = "split",
     hot_rows: int = HOT_ROWS,
-) -> PipelineModel:
+    max_listed: int = MAX_LISTED,
+) -> PipelineModel | TableEncoder:
     """Split a click log nine to one, fit the encoder on the larger part and write its label/feature table.
 
     ``split="hash"`` splits on ``key``, a column of the log. The CSV is parsed once per side of the split; the training
@@ -57,19 +70,20 @@ def preprocess(
     rows = read_parquet(spark, f"{out}_train.parquet")
 
     # The encoder is fitted on the rows the counts keep, which needs no counting. The same label counts name the
-    # addresses that are too frequent for one task.
+    # addresses and labels that are too frequent for one task.
     kept = with_all_keys(rows, groups)
     counts = label_counts(kept, CATEGORIES).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = fit_encoder(kept, numeric=tuple(groups), counts=counts)
-        frequent = counts.filter((F.col("column") == "ip") & (F.col("n") >= hot_rows))
-        hot = [r["label"] for r in frequent.orderBy(F.desc("n"), "label").limit(HOT_LIMIT).collect()]
+        model = fit_encoder(kept, numeric=tuple(groups), max_listed=max_listed, counts=counts)
+        frequent = frequent_labels(counts, hot_rows)
     finally:
         counts.unpersist()
-    model.write().overwrite().save(f"{out}_pipeline_model")
+    model = save_encoder(model, f"{out}_pipeline_model")
     encoder(numeric=tuple(groups)).write().overwrite().save(f"{out}_pipeline")
-    counted = click_features(rows, groups, method, hot=hot)
-    write_parquet(feature_rows(counted, model), f"{out}_labelfeatures.parquet")
+    hot = [label for column, label in frequent if column == "ip"]
+    counted = click_features(rows, groups, method, hot=hot, hot_rows=hot_rows)
+    encoded = model.transform(counted, frequent) if isinstance(model, TableEncoder) else model.transform(counted)
+    write_parquet(encoded.select("label", "features"), f"{out}_labelfeatures.parquet")
     return model
 
 
@@ -96,10 +110,10 @@ def train(
     Spark's own choice. The decision tree also writes ``{out}_vectorized_test_data``, ``{out}_prediction`` and
     ``{out}_trained_dt_model``, and fails if one of them exists.
     """
-    rows = read_parquet(spark, labelfeatures)
+    rows = read_features(spark, labelfeatures)
     if input_partitions is not None:
         rows = rows.repartition(input_partitions)
-    encode = PipelineModel.load(pipeline_model)
+    encode = load_encoder(spark, pipeline_model)
     clicks = prepare_clicks(read_clicks_csv(spark, test, schema))
     source = read_parquet(spark, counts_from) if counts_from is not None else None
     counted = click_features(clicks, groups, counts_from=source)
@@ -107,11 +121,11 @@ def train(
     # The test features are written first and scored from the file: their counts are computed once.
     if algorithm == "dt":
         write_parquet(encode.transform(counted), f"{out}_vectorized_test_data", mode="errorifexists")
-        features = read_parquet(spark, f"{out}_vectorized_test_data").select("label", "features")
+        features = read_features(spark, f"{out}_vectorized_test_data").select("label", "features")
         write_parquet(features, f"{out}_tests.parquet", files=output_files)
     else:
         write_parquet(feature_rows(counted, encode), f"{out}_tests.parquet", files=output_files)
-    features = read_parquet(spark, f"{out}_tests.parquet")
+    features = read_features(spark, f"{out}_tests.parquet")
 
     fitted = fit(rows, algorithm, params, seed, persist=input_partitions is not None, **tuning)
     model = fitted.model if isinstance(fitted, Tuned) else fitted
