@@ -90,20 +90,23 @@ def join_indices(
 ) -> DataFrame:
     """``<column>_Index`` for each column, looked up in a table from ``index_labels`` instead of a fitted model.
 
-    ``frequent`` are the labels of ``df`` whose rows should not meet in one task; without it they are looked for.
+    A column with few labels is looked up by a broadcast, one with more than HOT_LIMIT by a spread join. ``frequent`` are
+    the labels of ``df`` whose rows should not meet in one task there; without it they are looked for.
     """
-    spark = df.sparkSession
     sizes = {r["column"]: r["n"] for r in index.groupBy("column").agg(F.count("*").alias("n")).collect()}
+    wide = [c for c in columns if sizes.get(c, 0) > HOT_LIMIT]
     if frequent is None:
-        frequent = frequent_labels(label_counts(df, columns), hot_rows) if df.count() >= hot_rows else []
+        frequent = frequent_labels(label_counts(df, wide), hot_rows) if wide and df.count() >= hot_rows else []
     for c in columns:
         labels = index.filter(F.col("column") == c).select(
             F.col("label").alias("_label"), F.col("label_index").alias(f"{c}_Index")
         )
         rows = df.withColumn("_label", F.col(c).cast("string"))
         named = [(label,) for column, label in frequent if column == c]
-        if named:
-            listed = F.broadcast(spark.createDataFrame(named, "_label string"))
+        if c not in wide:
+            joined = rows.join(F.broadcast(labels), "_label", "left")
+        elif named:
+            listed = F.broadcast(df.sparkSession.createDataFrame(named, "_label string"))
             joined = spread_join(rows, labels, listed.join(labels, "_label", "left"), ["_label"])
         else:
             joined = rows.join(labels, "_label", "left")
@@ -135,20 +138,21 @@ class TableEncoder:
         return indexed.withColumn("features", self._vector())
 
     def _vector(self) -> Column:
-        entries, start = [], 0
+        positions, values, start = [], [], 0
         for c, size in self.sizes.items():
-            seen = F.when(F.col(f"{c}_Index") < size, (start + F.col(f"{c}_Index")).cast("int"))
-            entries.append(F.struct(seen.alias("position"), F.lit(1.0).alias("value")))
+            seen = F.col(f"{c}_Index") < size
+            positions.append(F.when(seen, (start + F.col(f"{c}_Index")).cast("int")).otherwise(-1))
+            values.append(F.when(seen, 1.0).otherwise(0.0))
             start += size
         for i, c in enumerate(self.numeric):
             value = F.col(c).cast("double")
-            entries.append(F.struct(F.lit(start + i).alias("position"), value.alias("value")))
-        kept = F.filter(F.array(*entries), lambda e: e["position"].isNotNull() & (e["value"] != 0))
+            positions.append(F.when(value != 0, start + i).otherwise(-1))
+            values.append(value)
         return F.struct(
             F.lit(0).cast("tinyint").alias("type"),
             F.lit(start + len(self.numeric)).alias("size"),
-            F.transform(kept, lambda e: e["position"]).alias("indices"),
-            F.transform(kept, lambda e: e["value"]).alias("values"),
+            F.array_remove(F.array(*positions), -1).alias("indices"),
+            F.array_remove(F.array(*values), 0.0).alias("values"),
         )
 
     def save(self, path: str) -> None:

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 # A key with this many rows is frequent: its rows should not meet in one task.
 HOT_ROWS = 5_000_000
@@ -29,17 +30,18 @@ def spread_join(df: DataFrame, table: DataFrame, frequent: DataFrame, keys: Sequ
     """Left join of ``df`` with ``table``, which has one row per key.
 
     ``frequent`` has the columns of ``table`` for at most HOT_LIMIT keys and is broadcast. The rows of those keys, and
-    rows with a null key, need no partner from ``table``. They go through the shuffle spread by the partition they come
-    from, which a task that runs again has in common with its first run; random numbers would not be. All other rows
-    meet ``table`` by key. Where ``table`` is small enough at run time, it is broadcast and nothing is shuffled.
+    rows with a null key, need no partner from ``table``. They go through the shuffle spread by their content and by the
+    partition they come from, so that copies of one row are spread too. A task that runs again has both in common with
+    its first run, unlike random numbers. All other rows meet ``table`` by key. Where ``table`` is small enough at run
+    time, it is broadcast and nothing is shuffled.
     """
     keys = list(keys)
     values = [c for c in table.columns if c not in keys]
     known = F.broadcast(frequent.select(*keys, F.struct(*values).alias("_known"), F.lit(True).alias("_frequent")))
     no_partner = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys], F.col("_frequent").isNotNull())
-    salted = df.join(known, keys, "left").withColumn(
-        "_salt", F.when(no_partner, F.spark_partition_id() + 1).otherwise(0).cast("bigint")
-    )
+    content = [f.name for f in df.schema.fields if isinstance(f.dataType, AtomicType)]
+    spread = F.xxhash64(F.spark_partition_id(), *content)
+    salted = df.join(known, keys, "left").withColumn("_salt", F.when(no_partner, spread).otherwise(0))
     # The remainder by one is zero for every key. A literal zero the optimizer would take out of the keys of the shuffle.
     other = table.select(*keys, F.struct(*values).alias("_other"), (F.xxhash64(*keys) % 1).alias("_salt"))
     joined = salted.join(other, [*keys, "_salt"], "left")

@@ -2,7 +2,7 @@
 
 ``preprocess``  click log -> ``{out}_test``, ``{out}_train.parquet``, ``{out}_pipeline``, ``{out}_pipeline_model``,
                 ``{out}_labelfeatures.parquet``
-``train``       those -> ``{out}_tests.parquet``, ``{out}_predicts.parquet``
+``train``       those -> ``{out}_clicks.parquet``, ``{out}_tests.parquet``, ``{out}_predicts.parquet``
 ``evaluate``    predictions -> ``{out}_auroc``
 """
 
@@ -114,7 +114,10 @@ def train(
     if input_partitions is not None:
         rows = rows.repartition(input_partitions)
     encode = load_encoder(spark, pipeline_model)
-    clicks = prepare_clicks(read_clicks_csv(spark, test, schema))
+    # The CSV is parsed once; counting needs several passes.
+    prepared = prepare_clicks(read_clicks_csv(spark, test, schema)).select(*CATEGORIES, "label")
+    write_parquet(prepared, f"{out}_clicks.parquet")
+    clicks = read_parquet(spark, f"{out}_clicks.parquet")
     source = read_parquet(spark, counts_from) if counts_from is not None else None
     counted = click_features(clicks, groups, counts_from=source)
 
