@@ -81,6 +81,11 @@ def frequent_labels(counts: DataFrame, hot_rows: int = HOT_ROWS) -> list[tuple[s
     return [(r["column"], r["label"]) for r in frequent.collect()]
 
 
+def _sizes(index: DataFrame) -> dict[str, int]:
+    """Labels per column: one number each."""
+    return {r["column"]: r["n"] for r in index.groupBy("column").agg(F.count("*").alias("n")).collect()}
+
+
 def join_indices(
     df: DataFrame,
     index: DataFrame,
@@ -93,7 +98,7 @@ def join_indices(
     A column with few labels is looked up by a broadcast, one with more than HOT_LIMIT by a spread join. ``frequent`` are
     the labels of ``df`` whose rows should not meet in one task there; without it they are looked for.
     """
-    sizes = {r["column"]: r["n"] for r in index.groupBy("column").agg(F.count("*").alias("n")).collect()}
+    sizes = _sizes(index)
     wide = [c for c in columns if sizes.get(c, 0) > HOT_LIMIT]
     if frequent is None:
         frequent = frequent_labels(label_counts(df, wide), hot_rows) if wide and df.count() >= hot_rows else []
@@ -129,8 +134,7 @@ class TableEncoder:
 
     @cached_property
     def sizes(self) -> dict[str, int]:
-        """Labels per category: one number each."""
-        found = {r["column"]: r["n"] for r in self.index.groupBy("column").agg(F.count("*").alias("n")).collect()}
+        found = _sizes(self.index)
         return {c: found.get(c, 0) for c in self.categories}
 
     def transform(self, df: DataFrame, frequent: Sequence[tuple[str, str]] | None = None) -> DataFrame:
@@ -169,6 +173,16 @@ class TableEncoder:
         return TableEncoder(spark.read.parquet(f"{path}/labels"), tuple(categories), tuple(numeric))
 
 
+def encode(
+    df: DataFrame, model: PipelineModel | TableEncoder, source: DataFrame, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """``model.transform(df)``. ``source`` has the categories of ``df`` and is cheaper to look for frequent labels in."""
+    if not isinstance(model, TableEncoder):
+        return model.transform(df)
+    wide = [c for c, size in model.sizes.items() if size > HOT_LIMIT]
+    return model.transform(df, frequent_labels(label_counts(source, wide), hot_rows) if wide else [])
+
+
 def save_encoder(model: PipelineModel | TableEncoder, path: str) -> PipelineModel | TableEncoder:
     """Save a fitted encoder of either kind, replacing what is there, and return it: a table as the one now on file."""
     if isinstance(model, TableEncoder):

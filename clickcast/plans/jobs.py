@@ -18,8 +18,8 @@ from clickcast.operators.encode import (
     CATEGORIES,
     MAX_LISTED,
     TableEncoder,
+    encode,
     encoder,
-    feature_rows,
     fit_encoder,
     frequent_labels,
     label_counts,
@@ -113,7 +113,7 @@ def train(
     rows = read_features(spark, labelfeatures)
     if input_partitions is not None:
         rows = rows.repartition(input_partitions)
-    encode = load_encoder(spark, pipeline_model)
+    model = load_encoder(spark, pipeline_model)
     # The CSV is parsed once; counting needs several passes.
     prepared = prepare_clicks(read_clicks_csv(spark, test, schema)).select(*CATEGORIES, "label")
     write_parquet(prepared, f"{out}_clicks.parquet")
@@ -122,20 +122,19 @@ def train(
     counted = click_features(clicks, groups, counts_from=source)
 
     # The test features are written first and scored from the file: their counts are computed once.
+    encoded = encode(counted, model, clicks)
     if algorithm == "dt":
-        write_parquet(encode.transform(counted), f"{out}_vectorized_test_data", mode="errorifexists")
-        features = read_features(spark, f"{out}_vectorized_test_data").select("label", "features")
-        write_parquet(features, f"{out}_tests.parquet", files=output_files)
-    else:
-        write_parquet(feature_rows(counted, encode), f"{out}_tests.parquet", files=output_files)
+        write_parquet(encoded, f"{out}_vectorized_test_data", mode="errorifexists")
+        encoded = read_parquet(spark, f"{out}_vectorized_test_data")
+    write_parquet(encoded.select("label", "features"), f"{out}_tests.parquet", files=output_files)
     features = read_features(spark, f"{out}_tests.parquet")
 
     fitted = fit(rows, algorithm, params, seed, persist=input_partitions is not None, **tuning)
-    model = fitted.model if isinstance(fitted, Tuned) else fitted
-    write_parquet(model.transform(features), f"{out}_predicts.parquet", files=output_files)
+    best = fitted.model if isinstance(fitted, Tuned) else fitted
+    write_parquet(best.transform(features), f"{out}_predicts.parquet", files=output_files)
     if algorithm == "dt":
         write_predictions_csv(read_parquet(spark, f"{out}_predicts.parquet"), f"{out}_prediction")
-        model.save(f"{out}_trained_dt_model")
+        best.save(f"{out}_trained_dt_model")
     return fitted
 
 
