@@ -54,10 +54,10 @@ def group_counts(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
 def add_group_count(df: DataFrame, keys: Sequence[str], name: str, method: str = "join") -> DataFrame:
     """One group's count on every row; rows with a null key are dropped. Columns keep their order."""
     if method == "window":
-        counted = with_all_keys(_windows(df, {name: keys}, F.count("*")), {name: keys})
+        counted = _drop_null_keys(_windows(df, {name: keys}, F.count("*")), keys)
     elif method == "join":
-        table = _table(df, keys, name, F.count("*"))
-        counted = _join_back(with_all_keys(df, {name: keys}), table, keys, _possibly_hot(df, HOT_ROWS))
+        rows = _drop_null_keys(df, keys)
+        counted = _join_back(rows, _table(rows, keys, name, F.count("*")), keys, _possibly_hot(df, HOT_ROWS))
     else:
         raise ValueError(f"unknown method {method!r}")
     return counted.select(*df.columns, name)
@@ -98,7 +98,7 @@ def click_features(
     if method == "join" or (method == "split" and not any("ip" in keys for keys in groups.values())):
         counted = _received(with_all_keys(rows, groups))
         for name, keys in groups.items():
-            counted = _join_back(counted, _table(rows, keys, name, total), keys, hot_rows)
+            counted = _join_back(counted, _table(_drop_null_keys(rows, keys), keys, name, total), keys, hot_rows)
     elif method == "window":
         counted = _received(with_all_keys(_windows(rows.repartition("ip"), groups, total), groups))
     elif method == "split":
@@ -155,7 +155,7 @@ def _split(
 ) -> DataFrame:
     by_ip = {name: keys for name, keys in groups.items() if "ip" in keys}
     others = {name: keys for name, keys in groups.items() if "ip" not in keys}
-    tables = {name: _table(rows, keys, name, total) for name, keys in others.items()}
+    tables = {name: _table(_drop_null_keys(rows, keys), keys, name, total) for name, keys in others.items()}
     # A click without an address is in no group by address and is dropped in the end. Dropped here, the nulls do not
     # meet in one task. Nulls in other keys are dropped after they are counted.
     addressed = rows.filter(F.col("ip").isNotNull())
@@ -181,7 +181,7 @@ def _split(
 
 
 def _join_cells(
-    df: DataFrame, groups: Groups, by_ip: Groups, tables: Mapping[str, DataFrame], total: Column, hot_rows: int | None
+    df: DataFrame, groups: Groups, by_ip: Groups, tables: Mapping[str, DataFrame], total: Column, hot_rows: int
 ) -> DataFrame:
     """Counts for rows with few distinct ``ip``, each frequent.
 
@@ -190,8 +190,9 @@ def _join_cells(
     """
     keys = _all_keys(groups)
     rows = with_all_keys(df, groups)
-    cells = _windows(_table(df, keys, "_total", total), by_ip, F.sum("_total")).drop("_total")
-    cells = with_all_keys(cells, groups)
+    cells = _table(df, keys, "_total", total)
+    frequent = F.broadcast(most_frequent(cells, keys, "_rows", hot_rows).select(*keys))
+    cells = with_all_keys(_windows(cells.drop("_rows"), by_ip, F.sum("_total")).drop("_total"), groups)
     for name, table in tables.items():
         cells = cells.join(table.drop("_rows"), list(groups[name]))
-    return _join_back(_received(rows), cells, keys, hot_rows)
+    return spread_join(_received(rows), cells, cells.join(frequent, keys, "left_semi"), keys)
