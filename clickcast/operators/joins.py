@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import AtomicType
+from pyspark.sql.types import AtomicType, IntegerType, LongType, StringType
 
 # A key with this many rows is frequent: its rows should not meet in one task.
 HOT_ROWS = 5_000_000
@@ -30,20 +30,31 @@ def spread_join(df: DataFrame, table: DataFrame, frequent: DataFrame, keys: Sequ
     """Left join of ``df`` with ``table``, which has one row per key.
 
     ``frequent`` has the columns of ``table`` for at most HOT_LIMIT keys and is broadcast. The rows of those keys, and
-    rows with a null key, need no partner from ``table``. They go through the shuffle spread by their content and by the
-    partition they come from, so that copies of one row are spread too. A task that runs again has both in common with
-    its first run, unlike random numbers. All other rows meet ``table`` by key. Where ``table`` is small enough at run
-    time, it is broadcast and nothing is shuffled.
+    rows with a null key, need no partner from ``table``: one of their keys is replaced, for the shuffle only, by a hash
+    of their content and of the partition they come from. That spreads them, copies of one row included, and a task that
+    runs again sends its rows to the same places, as it would not with random numbers. All other rows meet ``table`` by
+    key, under the partitioning an aggregation by ``keys`` leaves. Where ``table`` is small enough at run time, it is
+    broadcast and nothing is shuffled.
     """
     keys = list(keys)
     values = [c for c in table.columns if c not in keys]
-    known = F.broadcast(frequent.select(*keys, F.struct(*values).alias("_known"), F.lit(True).alias("_frequent")))
-    no_partner = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys], F.col("_frequent").isNotNull())
+    # The key that is replaced: one whose type holds any positive integer.
+    key = next(k for k in keys if isinstance(df.schema[k].dataType, (IntegerType, LongType, StringType)))
     content = [f.name for f in df.schema.fields if isinstance(f.dataType, AtomicType)]
-    spread = F.xxhash64(F.spark_partition_id(), *content)
-    salted = df.join(known, keys, "left").withColumn("_salt", F.when(no_partner, spread).otherwise(0))
-    # The remainder by one is zero for every key. A literal zero the optimizer would take out of the keys of the shuffle.
-    other = table.select(*keys, F.struct(*values).alias("_other"), (F.xxhash64(*keys) % 1).alias("_salt"))
-    joined = salted.join(other, [*keys, "_salt"], "left")
-    found = {v: F.when(F.col("_frequent").isNotNull(), F.col("_known")[v]).otherwise(F.col("_other")[v]) for v in values}
-    return joined.withColumns(found).select(*df.columns, *values)
+    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *content), F.lit(2**31 - 1)).cast(df.schema[key].dataType)
+    no_partner = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys], F.col("_frequent").isNotNull())
+
+    known = frequent.select(*keys, *(F.col(v).alias(f"_known_{v}") for v in values), F.lit(True).alias("_frequent"))
+    rows = df.join(F.broadcast(known), keys, "left")
+    rows = rows.withColumn("_key", F.when(no_partner, spread).otherwise(F.col(key)))
+    others = [F.col(k) for k in keys if k != key]
+    other = table.select(F.col(key).alias("_key"), *others, *(F.col(v).alias(f"_other_{v}") for v in values))
+    joined = rows.join(other, ["_key", *(k for k in keys if k != key)], "left")
+    # A replaced key may meet a row of ``table`` by chance; what it finds there is not used.
+    return joined.select(
+        *df.columns,
+        *(
+            F.when(F.col("_frequent"), F.col(f"_known_{v}")).when(F.col(key).isNotNull(), F.col(f"_other_{v}")).alias(v)
+            for v in values
+        ),
+    )
