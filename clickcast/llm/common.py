@@ -55,3 +55,8 @@ def numbered(df: DataFrame, order: Sequence[Column], number: str) -> DataFrame:
     starts = sizes.select(p + "part", F.coalesce(F.sum(p + "size").over(before), F.lit(0)).alias(p + "start"))
     row = F.col(p + "id").bitwiseAND(F.lit((1 << 33) - 1))
     return placed.join(starts, p + "part").select(*df.columns, (F.col(p + "start") + row).alias(number))
+
+
+def held_out(id_: Column) -> Column:
+    """Whether a row is held out of every fit: the crc32 of its id as text is divisible by 5. A null id counts as empty."""
+    return F.crc32(F.coalesce(id_.cast("string"), F.lit("")).cast("binary")) % 5 == 0

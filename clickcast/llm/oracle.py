@@ -85,4 +85,12 @@ select t.doc_id, len(t.w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hi
 from texts t left join hit using (doc_id) left join listed using (doc_id)
 """
 
-ORACLE = {"op3_mixing": OP3, "op4_minhash": OP4, "op6_decontaminate": OP6}
+OP8 = """
+with known as (select page_id, strlen(coalesce(html, ''))::bigint as payload_bytes, sha1(coalesce(html, '')) as payload_digest from pages),
+targets as (select *, max(page_id) over (partition by payload_digest) as target from known)
+select page_id, payload_bytes, payload_digest, case when revisit then 'revisit' else 'response' end as record_type,
+  case when revisit then target end as refers_to
+from (select *, coalesce(payload_bytes >= 1000 and page_id < target, false) as revisit from targets)
+"""
+
+ORACLE = {"op3_mixing": OP3, "op4_minhash": OP4, "op6_decontaminate": OP6, "op8_warc": OP8}

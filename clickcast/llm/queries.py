@@ -5,13 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickcast.llm import decontaminate, mixing, neardup
+from clickcast.llm import decontaminate, langid, licenses, linededup, mixing, neardup, quality, rules, secrets, warc
+from clickcast.llm.common import held_out
+from clickcast.session import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = langid.predict(docs, langid.fit(docs))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(_table(spark, sf_dir, "documents"))
+    digest = F.sha2(F.col("base_spans").cast("binary"), 256)
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "n_random", digest.alias("base_sha256"), "spans")
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_counts(_table(spark, sf_dir, "documents"))
 
@@ -21,10 +35,52 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op5_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = rules.judge(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance"
+    )
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.hit_counts(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     digest = F.sha2(F.array_join("items", ",").cast("binary"), 256)
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
 
 
-QUERIES = {"op3_mixing": op3_mixing, "op4_minhash": op4_minhash, "op6_decontaminate": op6_decontaminate}
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return licenses.scan(docs, licenses.fit(spark, docs))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, folder = _table(spark, sf_dir, "pages"), scratch_path(spark, "warc")
+    warc.write_archives(pages, folder)
+    found = warc.read_archives(spark, folder)
+    kind = pages.schema["page_id"].dataType
+    return found.select(
+        F.col("id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to")
+    )
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = linededup.line_counts(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
+QUERIES = {
+    "op1_language": op1_language,
+    "op2_secrets": op2_secrets,
+    "op3_mixing": op3_mixing,
+    "op4_minhash": op4_minhash,
+    "op5_rules": op5_rules,
+    "op6_decontaminate": op6_decontaminate,
+    "op7_licenses": op7_licenses,
+    "op8_warc": op8_warc,
+    "op9_quality": op9_quality,
+    "op10_lines": op10_lines,
+}

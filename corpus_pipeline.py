@@ -10,8 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from clickcast.llm.common import written
 from clickcast.llm.decontaminate import drop_contaminated
+from clickcast.llm.linededup import drop_recurring_lines
 from clickcast.llm.mixing import mixed_documents
 from clickcast.llm.neardup import drop_near_duplicates
+from clickcast.llm.quality import drop_low_quality
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return drop_low_quality(docs, docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return drop_recurring_lines(docs, length_col="n_chars")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,6 +37,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality_classifier", quality),
+    ("line_dedup", line_dedup),
     ("minhash_near_dedup", near_dedup),
     ("benchmark_decontamination", decontaminate),
     ("mixing", mix),
