@@ -47,7 +47,8 @@ def _windows(items: DataFrame, window: int) -> DataFrame:
 
 def _word_counts(docs: DataFrame, vocabulary: DataFrame, blocks: int) -> DataFrame:
     """``token, n``: how often the words of ``vocabulary`` occur in all documents."""
-    words = docs.select(F.explode("words").alias("token"))
+    # The outer form, as for the other Spark filters the arrays first and cuts every text into words twice.
+    words = docs.select(F.explode_outer("words").alias("token"))
     parts = [words.join(F.broadcast(b), "token") for b in _blocks(vocabulary, blocks)]
     return reduce(DataFrame.unionAll, parts).groupBy("token").agg(F.count("*").alias("n"))
 
@@ -86,29 +87,32 @@ def find_anchors(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_
     return anchors, max(1, -(-total // block_words))
 
 
-def _equal_from_start(a: Column, b: Column) -> Column:
-    """How many elements two arrays share from their start."""
-    shared = F.least(F.size(a), F.size(b))
-    differs = F.array_position(F.zip_with(F.slice(a, 1, shared), F.slice(b, 1, shared), lambda x, y: x == y), False)
-    return F.when(differs > 0, differs - 1).otherwise(shared).cast("int")
+def _run(context: str, steps: int, side: int) -> Column:
+    """How many words of the document agree with ``context``, going from the anchor in ``steps`` of 1 or -1.
+
+    Written out as one comparison per word, not with a lambda function: so it is compiled into the join, and of the pairs
+    that fail nothing is kept, the document's array of words least of all.
+    """
+    length, here = F.lit(side), F.col("at")
+    for i in reversed(range(side)):
+        equal = F.get("words", here + steps * (i + 1)) == F.get(context, F.lit(i))
+        length = F.when(F.coalesce(equal, F.lit(False)), length).otherwise(i)
+    return length
 
 
 def find_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``key, from_word, to_word`` (end exclusive)``, items``: runs of words in ``docs`` (``key, words``) that hold windows."""
     anchors, blocks = find_anchors(docs, items, window, block_words)
     side = window - 1
-    tokens = docs.select("key", "words", F.posexplode("words").alias("at", "token"))
+    tokens = docs.select("key", "words", F.posexplode_outer("words").alias("at", "token"))
     found = []
     for block in _blocks(anchors, blocks):
         pairs = tokens.join(F.broadcast(block), "token")
         # Bounds on position and length: what the anchor's window needs must fit into the document.
         room = F.least(F.col("at"), F.size("left")) + F.least(F.size("words") - F.col("at") - 1, F.size("right")) + 1
         pairs = pairs.filter(room >= F.col("need"))
-        before = F.reverse(F.slice("words", F.greatest(F.col("at") - side, F.lit(0)) + 1, F.least(F.col("at"), F.lit(side))))
-        after = F.slice("words", F.col("at") + 2, side)
-        runs = pairs.select(
-            "key", "at", "need", "items", _equal_from_start(before, F.col("left")).alias("l"), _equal_from_start(after, F.col("right")).alias("r")
-        ).filter(F.col("l") + F.col("r") + 1 >= F.col("need"))
+        runs = pairs.select("key", "at", "need", "items", _run("left", -1, side).alias("l"), _run("right", 1, side).alias("r"))
+        runs = runs.filter(F.col("l") + F.col("r") + 1 >= F.col("need"))
         found.append(runs.select("key", (F.col("at") - F.col("l")).alias("from_word"), (F.col("at") + F.col("r") + 1).alias("to_word"), "items"))
     return reduce(DataFrame.unionAll, found)
 
