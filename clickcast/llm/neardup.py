@@ -8,11 +8,13 @@ candidates: with 20 bands of 4, a pair at similarity 0.85 is missed with probabi
 candidate pair the similarity is estimated by maximum likelihood from how many registers are greater, equal and less,
 jointly with the known set sizes; far too dissimilar pairs go, every other pair is verified on the full sets.
 
-Pairs of a bucket are not enumerated. In each round the few smallest members of a bucket (ids are hashes, so that is a
-random choice) are its leaders and meet the other members, unless both are in one component already. Then these leaders
-are done with in that bucket. A bucket whose remaining members are all in one component is closed. Leaders grow eightfold
-from round to round, so that after log8(members) rounds every pair that is in different components has been tested:
-buckets have no cap, and only members that are alike in their bands yet not linked cost more than one test.
+Pairs of a bucket are not enumerated. In two rounds the smallest member of a bucket (ids are hashes, so that is a random
+choice) meets the others, and what it links becomes one component; this settles nearly every group. In buckets that still
+hold several components, all pairs across components are tested, in blocks: a bucket is dealt into chunks of at most
+``CHUNK`` members, and a task gets two chunks, compares their sketches as matrices, verifies likely pairs on the full sets
+and returns the links it needs. A pair is tested in the first band it shares and nowhere else. So buckets have no cap, no
+task gets more than two chunks, and no table of pairs is ever made; the work is quadratic only in members that are alike
+in a band, yet not linked.
 
 Defined results: null, empty or blank texts have an empty set, no link, and stand for themselves; documents that share an
 id and differ in text each have their own set, and stand and fall with their components; a null id never names a
@@ -39,8 +41,11 @@ REGISTERS = BANDS * ROWS
 # SetSketch parameters: base of the spacing, rate of the exponential hash, largest register.
 BASE, RATE, TOP = 1.001, 20.0, 65535
 # A pair is verified unless the likelihood of its estimate exceeds that of the threshold by this factor's logarithm.
-PRUNE = 15.0
-GROWTH = 8
+PRUNE = 10.0
+# Pairs with fewer equal registers are not worth an estimate: at the threshold 68 of 80 are expected.
+LEAST_EQUAL = 32
+# Members of a chunk, and shingles of all its members together, at most.
+CHUNK, CHUNK_SHINGLES = 1024, 2_000_000
 # Elements hashed at a time; their intermediate values stay in the processor's cache.
 BLOCK = 16_384
 
@@ -173,10 +178,8 @@ def log_likelihood(similarity, greater, less, equal, u, v) -> np.ndarray:
     return greater * np.log(more) + less * np.log(fewer) + equal * np.log(np.clip(1 - more - fewer, 1e-12, 1))
 
 
-def hopeless(first: np.ndarray, second: np.ndarray, n_first, n_second, threshold: float) -> np.ndarray:
+def hopeless(greater, less, equal, n_first, n_second, threshold: float) -> np.ndarray:
     """Which pairs of sketches are so unlike that a similarity of ``threshold`` or more can be ruled out."""
-    greater, less = (first > second).sum(1), (first < second).sum(1)
-    equal = first.shape[1] - greater - less
     u = n_first / (n_first + n_second)
     v = 1 - u
     top = np.minimum(u / v, v / u)
@@ -192,16 +195,89 @@ def hopeless(first: np.ndarray, second: np.ndarray, n_first, n_second, threshold
     return (top < threshold - 1e-9) | ((best < threshold) & behind)
 
 
+def _registers(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(len(column), REGISTERS)
+
+
 def _likely_batches(threshold: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        first, second = (
-            np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(batch.num_rows, REGISTERS) for i in (2, 3)
-        )
+        first, second = _registers(batch.column(2)), _registers(batch.column(3))
         sizes = [batch.column(i).to_numpy().astype(np.float64) for i in (4, 5)]
-        likely = ~hopeless(first, second, *sizes, threshold)
-        yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(likely)), batch.column(1).filter(pa.array(likely))], ["a", "b"])
+        greater, less = (first > second).sum(1), (first < second).sum(1)
+        likely = pa.array(~hopeless(greater, less, REGISTERS - greater - less, *sizes, threshold))
+        yield pa.RecordBatch.from_arrays([batch.column(0).filter(likely), batch.column(1).filter(likely)], ["a", "b"])
+
+
+def likely_pairs(registers, sizes, components, chunks, key: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the likely pairs of a block: of two chunks, or within one; of two components; first alike in band ``key``."""
+    keys = band_keys(registers)
+    band = int(np.argmax(keys[0].view(np.int64) == key))
+    one = np.flatnonzero(chunks == chunks.min())
+    two = np.flatnonzero(chunks == chunks.max())
+    found = []
+    for start in range(0, len(one), 64):
+        rows = one[start : start + 64]
+        i, j = (x.ravel() for x in np.meshgrid(rows, two, indexing="ij"))
+        worth = components[i] != components[j]
+        if one is two or chunks[one[0]] == chunks[two[0]]:
+            worth &= i < j
+        small, large = np.minimum(sizes[i], sizes[j]), np.maximum(sizes[i], sizes[j])
+        i, j = (x[worth & (small >= threshold * large - 1e-9)] for x in (i, j))
+        equal = np.array([], int)
+        if len(i):
+            equal = np.concatenate([(registers[a] == registers[b]).sum(1) for a, b in _pieces(i, j)])
+        i, j = i[equal >= LEAST_EQUAL], j[equal >= LEAST_EQUAL]
+        if not len(i):
+            continue
+        greater = np.concatenate([(registers[a] > registers[b]).sum(1) for a, b in _pieces(i, j)])
+        equal = equal[equal >= LEAST_EQUAL]
+        keep = ~hopeless(greater, REGISTERS - greater - equal, equal, sizes[i], sizes[j], threshold)
+        keep &= np.argmax(keys[i] == keys[j], axis=1) == band
+        found.append((i[keep], j[keep]))
+    return tuple(np.concatenate(x) if found else np.zeros(0, int) for x in (zip(*found) if found else ((), ())))
+
+
+def _pieces(i: np.ndarray, j: np.ndarray, size: int = 16_384) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    return ((i[s : s + size], j[s : s + size]) for s in range(0, len(i), size))
+
+
+def _block(table: pa.Table, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    columns = {n: table[n].to_numpy() for n in ("n_shingles", "component", "chunk")}
+    registers = _registers(table["registers"])
+    sizes = columns["n_shingles"].astype(np.float64)
+    return likely_pairs(registers, sizes, columns["component"], columns["chunk"], table["key"][0].as_py(), threshold)
+
+
+def _likely_members(threshold: float, table: pa.Table) -> pa.Table:
+    """The members of a block that have a likely partner in it."""
+    i, j = _block(table, threshold)
+    return table.take(pa.array(np.unique(np.concatenate([i, j]))))
+
+
+def _block_links(threshold: float, shared: int, of: int, table: pa.Table) -> pa.Table:
+    """Links that join the components of a block, verified on the full sets."""
+    i, j = _block(table, threshold)
+    nodes, components = table["node"].to_numpy(), table["component"].to_numpy().copy()
+    sets = [np.asarray(s.values).view(np.uint64) for s in table["shingles"]]
+    links = []
+    for a, b in zip(i.tolist(), j.tolist(), strict=True):
+        if components[a] == components[b]:
+            continue
+        common = _common(sets[a], sets[b])
+        if common * of >= (len(sets[a]) + len(sets[b]) - common) * shared:
+            links.append((nodes[a], nodes[b]))
+            components[components == components[b]] = components[a]
+    rows = np.array(links, np.int64).reshape(len(links), 2)
+    return pa.table({"a": rows[:, 0], "b": rows[:, 1]})
+
+
+def _common(a: np.ndarray, b: np.ndarray) -> int:
+    """How many elements two sorted arrays without repeats share."""
+    at = np.searchsorted(a, b)
+    at[at == len(a)] = len(a) - 1
+    return int((a[at] == b).sum())
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -226,67 +302,87 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 class _Search:
-    """The rounds over the buckets of one run."""
+    """The search through the buckets of one run."""
 
     def __init__(self, docs: DataFrame, classes: DataFrame, size: int, shared: int, of: int):
         self.docs, self.classes, self.size, self.shared, self.of = docs, classes, size, shared, of
         keys = classes.select(F.explode("bands").alias("key"), "node")
         several = keys.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
-        self.rows = written(keys.join(several, "key"), "dup-buckets")
+        self.rows = written(keys.join(several, "key").select("key", "node"), "dup-buckets")
         self.joined = written(classes.limit(0).select("node", F.col("node").alias("component")), "dup-components")
 
     def _open(self) -> DataFrame | None:
         """Members of the buckets that hold several components, with ``component`` and their bucket's ``first``."""
         now = self.rows.join(self.joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        now = written(now.select("key", "node", "members", "component"), "dup-open")
+        now = written(now.select("key", "node", "component"), "dup-open")
         state = now.groupBy("key").agg(
             F.min(F.struct("node", "component")).alias("first"), F.min("component").alias("low"), F.max("component").alias("high")
         )
         state = written(state.filter("low < high").select("key", "first"), "dup-state")
         if state.isEmpty():
             return None
-        self.rows = written(now.join(state, "key"), "dup-rows")
-        return self.rows
+        rows = written(now.join(state, "key"), "dup-rows")
+        self.rows = rows.select("key", "node")
+        return rows
 
     def run(self) -> DataFrame:
         """``node, component`` of every class that is linked with another."""
-        round_ = 0
-        while (rows := self._open()) is not None:
-            others = F.col("component") != F.col("first.component")
-            if round_ <= 1:
-                pairs = rows.filter(others).select(F.col("first.node").alias("a"), F.col("node").alias("b"))
-                # To begin with, one pair per member: the smallest of its leaders.
-                pairs = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b") if round_ == 0 else pairs.distinct()
-                rest = rows.filter(F.col("node") > F.col("first.node")) if round_ == 1 else rows
-            else:
-                share = F.least(F.lit(1.0), F.lit(float(GROWTH ** (round_ - 1))) / F.col("members"))
-                leads = F.col("node").cast("double") <= F.lit(-(2.0**63)) + share * F.lit(2.0**64)
-                rows = written(rows.select("key", "node", "members", "component", leads.alias("leads")), "dup-led")
-                leaders = written(
-                    rows.filter("leads").select("key", F.col("node").alias("a"), F.col("component").alias("of_a")), "dup-leaders"
-                )
-                met = rows.join(leaders, "key").filter((F.col("node") > F.col("a")) & (F.col("component") != F.col("of_a")))
-                pairs = met.select("a", F.col("node").alias("b")).distinct()
-                rest = rows.filter("not leads")
+        for round_ in range(2):
+            if (rows := self._open()) is None:
+                return self.joined
+            across = rows.filter(F.col("component") != F.col("first.component"))
+            pairs = across.select(F.col("first.node").alias("a"), F.col("node").alias("b"))
+            # To begin with, one pair per member: the smallest of its leaders.
+            pairs = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b") if round_ == 0 else pairs.distinct()
             self._link(self._verified(self._likely(pairs)))
-            self.rows = written(rest.select("key", "node", "members"), "dup-rest")
-            round_ += 1
+        if (rows := self._open()) is not None:
+            self._link(self._links_in_blocks(rows.select("key", "node", "component")))
         return self.joined
 
+    def _links_in_blocks(self, rows: DataFrame) -> DataFrame:
+        shared, of, threshold = self.shared, self.of, self.shared / self.of
+
+        def members(table: pa.Table) -> pa.Table:
+            return _likely_members(threshold, table)
+
+        def links(table: pa.Table) -> pa.Table:
+            return _block_links(threshold, shared, of, table)
+
+        rows = rows.join(self.classes.select("node", "n_shingles", "registers"), "node")
+        rows = written(rows, "dup-members")
+        size = rows.groupBy("key").agg(F.count("*").alias("members"), F.sum("n_shingles").alias("shingles"))
+        chunks = F.ceil(F.greatest(F.col("members") / CHUNK, F.col("shingles") / CHUNK_SHINGLES)).cast("int")
+        rows = rows.join(written(size.select("key", chunks.alias("chunks")), "dup-chunks"), "key")
+        # A chunk meets itself and every other.
+        rows = rows.withColumn("chunk", F.pmod(F.hash("node"), F.col("chunks")))
+        meets = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
+        rows = rows.select("key", "node", "component", "n_shingles", "registers", "chunk", meets.alias("other"))
+        rows = rows.withColumns({"low": F.least("chunk", "other"), "high": F.greatest("chunk", "other")}).drop("other")
+        likely = rows.groupBy("key", "low", "high").applyInArrow(members, rows.schema)
+        likely = written(likely, "dup-block-members")
+        # Each set is sent to the blocks in which its document has a likely partner.
+        sets = self._sets(likely.select("node").distinct()).select("node", "shingles")
+        blocks = likely.join(sets, "node").groupBy("key", "low", "high")
+        linked = blocks.applyInArrow(links, "a long, b long")
+        return written(linked.distinct(), "dup-links")
+
     def _likely(self, pairs: DataFrame) -> DataFrame:
         known = self.classes.select("node", "registers", F.col("n_shingles").cast("double").alias("n"))
         a, b = (known.toDF(c, f"registers_{c}", f"n_{c}") for c in "ab")
         both = pairs.join(b, "b").join(a, "a").select("a", "b", "registers_a", "registers_b", "n_a", "n_b")
         return written(both.mapInArrow(partial(_likely_batches, self.shared / self.of), "a long, b long"), "dup-likely")
 
-    def _verified(self, pairs: DataFrame) -> DataFrame:
-        """The pairs that reach the threshold on their full sets, which are made anew for their documents only."""
-        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    def _sets(self, nodes: DataFrame) -> DataFrame:
+        """``node, shingles, n_shingles`` of the given classes: their full sets, made anew for one document of each."""
         nodes = written(nodes.join(self.classes.select("node", "id", "n_shingles"), "node"), "dup-nodes")
         wanted = nodes.select(F.col("id").alias("wanted")).distinct()
         texts = self.docs.join(wanted, F.col("id").eqNullSafe(F.col("wanted")), "left_semi")
         sets = texts.select(_word_hashes()).mapInArrow(partial(_set_batches, self.size), "node long, shingles array<long>")
-        sets = written(sets.join(nodes.select("node", "n_shingles"), "node").dropDuplicates(["node"]), "dup-sets")
+        return written(sets.join(nodes.select("node", "n_shingles"), "node").dropDuplicates(["node"]), "dup-sets")
+
+    def _verified(self, pairs: DataFrame) -> DataFrame:
+        """The pairs that reach the threshold on their full sets."""
+        sets = self._sets(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
         a, b = (sets.toDF(c, f"set_{c}", f"n_{c}") for c in "ab")
         common = F.size(F.array_intersect("set_a", "set_b")).cast("long")
         union = F.col("n_a") + F.col("n_b") - common
