@@ -6,15 +6,16 @@ its characters (hex, base32, letters and digits, base64); digits alone are no se
 
 * chi-squared uniformity over the encoding's alphabet, taken as the rate at which two of the token's characters are
   equal. The null hypothesis is ordinary text, whose rate is known to be far higher than the alphabet's; its p-value is
-  small where the characters are spread too evenly to be words. The variance falls with the length, so short tokens
-  cannot be significant, however random.
-* runs: the number of runs above and below the median of the alphabet must be what independent characters give.
+  small where the characters are spread too evenly to be words.
+* runs: ordinary tokens keep to one class of characters (letters of one case, digits, signs) for some time; the p-value is
+  the chance of as many changes of class in ordinary text. And against randomness: the number of runs above and below the
+  middle of the alphabet must be what independent characters give, and there must not be too few changes of class.
 * serial correlation of neighbouring characters must be near zero.
 
-The last two are tests against randomness; a token that fails them at ``GATE`` is orderly (counters, keyboard rows, names
-in words of one case) and dropped. Classes of characters must mix as chance has it: a token whose changes between letters,
-capitals and digits are too few is made of words. The p-values of a document's tokens then pass the step-up procedure of
-Benjamini and Hochberg at ``FALSE_DISCOVERIES``, over all tokens of the document that are long enough to be tested.
+A token that fails a test against randomness at ``GATE`` is orderly (counters, keyboard rows, words) and dropped. The two
+p-values against ordinary text are combined after Fisher. Both depend on the length, so that a short token is significant
+only if it is extreme. The combined p-values of a document's tokens then pass the step-up procedure of Benjamini and
+Hochberg at ``FALSE_DISCOVERIES``, over all tokens of the document that are long enough to be tested.
 
 Defined results: null and empty texts have no span; each row is scanned by itself, so ids may be null or repeated.
 """
@@ -25,7 +26,7 @@ import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
-from math import erfc, log, sqrt
+from math import comb, erfc, exp, log, sqrt
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -49,6 +50,8 @@ ENCODINGS = (
 )
 # How often two characters of ordinary text are equal, and three of them.
 EQUAL_PAIRS, EQUAL_TRIPLES = 0.066, 0.0062
+# How often the class of characters changes from one to the next in ordinary tokens.
+CHANGES = 0.2
 GATE = 1e-3
 FALSE_DISCOVERIES = 1e-3
 
@@ -70,7 +73,7 @@ def _upper_tail(z: float) -> float:
 def spread_p(token: str) -> float:
     """The chance that ordinary text of this length has its characters spread as evenly as this token, or more."""
     n = len(token)
-    same = sum(c * (c - 1) for c in Counter(token.lower()).values()) / (n * (n - 1))
+    same = sum(c * (c - 1) for c in Counter(token).values()) / (n * (n - 1))
     p, t = EQUAL_PAIRS, EQUAL_TRIPLES
     variance = 2 * (p + 2 * (n - 2) * t - (2 * n - 3) * p * p) / (n * (n - 1))
     return _upper_tail((p - same) / sqrt(variance))
@@ -116,6 +119,21 @@ def mixing_p(token: str) -> float:
     return _upper_tail((mean - changes) / sqrt(variance)) if variance > 0 else 1.0
 
 
+def changes_p(token: str) -> float:
+    """The chance that an ordinary token of this length changes its class of characters as often as this one, or more."""
+    kinds = [_kind_of_character(c) for c in token]
+    n, k = len(kinds) - 1, sum(a != b for a, b in zip(kinds, kinds[1:]))
+    if n > 1000:
+        return _upper_tail((k - n * CHANGES) / sqrt(n * CHANGES * (1 - CHANGES)))
+    return sum(comb(n, i) * CHANGES**i * (1 - CHANGES) ** (n - i) for i in range(k, n + 1))
+
+
+def fisher(first: float, second: float) -> float:
+    """Two p-values combined: minus twice the logarithm of their product is chi-squared with four degrees of freedom."""
+    half = -log(max(first, 1e-300)) - log(max(second, 1e-300))
+    return exp(-half) * (1 + half)
+
+
 def battery(token: str) -> float | None:
     """The p-value of a token against ordinary text, or None if it is orderly or has no encoding worth testing."""
     if token.isdigit():
@@ -130,7 +148,7 @@ def battery(token: str) -> float | None:
     places = [order[c] for c in plain if c in order]
     if min(runs_p(places, len(alphabet)), serial_p(places), mixing_p(token)) < GATE:
         return None
-    return spread_p(token)
+    return fisher(spread_p(token), changes_p(token))
 
 
 def random_spans(text: str, taken: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
