@@ -33,10 +33,10 @@ def fresh_prefix(*frames: DataFrame) -> str:
     return prefix
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """``df`` written once as Parquet below the shared folder and read again: it cuts lineage and outlives executors."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -8,8 +8,9 @@ candidates: with 20 bands of 4, a pair at similarity 0.85 is missed with probabi
 candidate pair the similarity is estimated by maximum likelihood from how many registers are greater, equal and less,
 jointly with the known set sizes; far too dissimilar pairs go, every other pair is verified on the full sets.
 
-Pairs of a bucket are not enumerated. In two rounds the smallest member of a bucket (ids are hashes, so that is a random
-choice) meets the others, and what it links becomes one component; this settles nearly every group. In buckets that still
+Pairs of a bucket are not enumerated. First every member meets one other, the smallest of the smallest members of its
+buckets (ids are hashes, so that is a random choice), and what is linked becomes one component; this settles nearly every
+group. In buckets that still
 hold several components, all pairs across components are tested, in blocks: a bucket is dealt into chunks of at most
 ``CHUNK`` members, and a task gets two chunks, compares their sketches as matrices, verifies likely pairs on the full sets
 and returns the links it needs. A pair is tested in the first band it shares and nowhere else. So buckets have no cap, no
@@ -32,7 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickcast.llm.common import fresh_prefix, lower_ascii, split_words, written
+from clickcast.llm.common import fresh_prefix, lower_ascii, split_words
+from clickcast.llm.common import written as written_as
 
 SHINGLE = 3
 MIN_SHARED, OF = 85, 100
@@ -42,13 +44,17 @@ REGISTERS = BANDS * ROWS
 BASE, RATE, TOP = 1.001, 20.0, 65535
 # A pair is verified unless the likelihood of its estimate exceeds that of the threshold by this factor's logarithm.
 PRUNE = 10.0
-# Pairs with fewer equal registers are not worth an estimate: at the threshold 68 of 80 are expected.
-LEAST_EQUAL = 32
+# Pairs with fewer equal registers are not worth an estimate: of 80, 68 are expected at a similarity of 0.85, and fewer
+# than 44 have a probability of 1e-9.
+LEAST_EQUAL = 44
 # Members of a chunk, and shingles of all its members together, at most.
 CHUNK, CHUNK_SHINGLES = 1024, 2_000_000
 # Elements hashed at a time; their intermediate values stay in the processor's cache.
 BLOCK = 16_384
 
+# Hashes do not compress.
+written = partial(written_as, compression="uncompressed")
+
 _rng = np.random.default_rng(4242)
 _FACTORS = _rng.integers(0, 2**63, REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADDENDS = _rng.integers(0, 2**64, REGISTERS, dtype=np.uint64)
@@ -184,7 +190,7 @@ def hopeless(greater, less, equal, n_first, n_second, threshold: float) -> np.nd
     v = 1 - u
     top = np.minimum(u / v, v / u)
     low, high = np.zeros(len(u)), top.copy()
-    for _ in range(30):
+    for _ in range(14):
         a, b = low + (high - low) / 3, high - (high - low) / 3
         rising = log_likelihood(a, greater, less, equal, u, v) < log_likelihood(b, greater, less, equal, u, v)
         low, high = np.where(rising, a, low), np.where(rising, high, b)
@@ -284,21 +290,18 @@ def components(edges: DataFrame) -> DataFrame:
     """``node, component`` (its smallest node) for the nodes of ``edges`` (``a, b``).
 
     Each step takes the smallest label among the neighbours and then the label of that label, so paths halve. Labels only
-    fall: when their sum stays, they are final.
+    fall: when no neighbour has a smaller one, they are final.
     """
     both = written(edges.union(edges.select("b", "a")).toDF("a", "b").distinct(), "cc-edges")
     labels = written(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("label")).withColumnRenamed("a", "node"), "cc-labels")
-    total = None
     while True:
         around = both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("label").alias("around"))
-        hooked = labels.join(around, F.col("node") == F.col("a")).select("node", F.least("label", "around").alias("label"))
-        hooked = written(hooked, "cc-hooked")
-        onward = hooked.select(F.col("node").alias("at"), F.col("label").alias("onward"))
-        labels = written(hooked.join(onward, F.col("label") == F.col("at")).select("node", F.col("onward").alias("label")), "cc-labels")
-        now = labels.agg(F.sum(F.col("label").cast("decimal(38,0)"))).first()[0]
-        if now == total:
+        hooked = labels.join(around, F.col("node") == F.col("a"))
+        hooked = written(hooked.select("node", "label", F.least("label", "around").alias("hooked")), "cc-hooked")
+        if hooked.filter("label != hooked").isEmpty():
             return labels.withColumnRenamed("label", "component")
-        total = now
+        onward = hooked.select(F.col("node").alias("at"), F.col("hooked").alias("onward"))
+        labels = written(hooked.join(onward, F.col("hooked") == F.col("at")).select("node", F.col("onward").alias("label")), "cc-labels")
 
 
 class _Search:
@@ -321,20 +324,18 @@ class _Search:
         state = written(state.filter("low < high").select("key", "first"), "dup-state")
         if state.isEmpty():
             return None
-        rows = written(now.join(state, "key"), "dup-rows")
+        rows = now.join(state, "key")
         self.rows = rows.select("key", "node")
         return rows
 
     def run(self) -> DataFrame:
         """``node, component`` of every class that is linked with another."""
-        for round_ in range(2):
-            if (rows := self._open()) is None:
-                return self.joined
-            across = rows.filter(F.col("component") != F.col("first.component"))
-            pairs = across.select(F.col("first.node").alias("a"), F.col("node").alias("b"))
-            # To begin with, one pair per member: the smallest of its leaders.
-            pairs = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b") if round_ == 0 else pairs.distinct()
-            self._link(self._verified(self._likely(pairs)))
+        if (rows := self._open()) is None:
+            return self.joined
+        # One pair per member: the smallest of the leaders of its buckets.
+        across = rows.filter(F.col("component") != F.col("first.component"))
+        pairs = across.groupBy("node").agg(F.min("first.node").alias("a")).select("a", F.col("node").alias("b"))
+        self._link(self._verified(self._likely(pairs)))
         if (rows := self._open()) is not None:
             self._link(self._links_in_blocks(rows.select("key", "node", "component")))
         return self.joined
@@ -364,7 +365,7 @@ class _Search:
         sets = self._sets(likely.select("node").distinct()).select("node", "shingles")
         blocks = likely.join(sets, "node").groupBy("key", "low", "high")
         linked = blocks.applyInArrow(links, "a long, b long")
-        return written(linked.distinct(), "dup-links")
+        return linked.distinct()
 
     def _likely(self, pairs: DataFrame) -> DataFrame:
         known = self.classes.select("node", "registers", F.col("n_shingles").cast("double").alias("n"))
@@ -387,20 +388,18 @@ class _Search:
         common = F.size(F.array_intersect("set_a", "set_b")).cast("long")
         union = F.col("n_a") + F.col("n_b") - common
         both = pairs.join(b, "b").join(a, "a")
-        return written(both.filter(common * self.of >= union * self.shared).select("a", "b"), "dup-links")
+        return both.filter(common * self.of >= union * self.shared).select("a", "b")
 
     def _link(self, links: DataFrame) -> None:
-        if links.isEmpty():
-            return
         of = self.joined
         for c in "ab":
-            named = of.toDF(c, f"of_{c}")
-            links = links.join(named, c, "left").withColumn(f"of_{c}", F.coalesce(f"of_{c}", c))
+            links = links.join(of.toDF(c, f"of_{c}"), c, "left").withColumn(f"of_{c}", F.coalesce(f"of_{c}", c))
         links = written(links, "dup-edges")
-        merged = components(links.filter("of_a != of_b").select(F.col("of_a").alias("a"), F.col("of_b").alias("b")))
+        if links.isEmpty():
+            return
+        merged = components(links.select(F.col("of_a").alias("a"), F.col("of_b").alias("b")).filter("a != b"))
         old = merged.select(F.col("node").alias("old"), F.col("component").alias("new"))
-        known = of.union(links.select("a", "of_a")).union(links.select("b", "of_b")).distinct()
-        known = written(known.toDF("node", "component"), "dup-known")
+        known = of.union(links.select("a", "of_a")).union(links.select("b", "of_b")).distinct().toDF("node", "component")
         joined = known.join(old, F.col("component") == F.col("old"), "left")
         self.joined = written(joined.select("node", F.coalesce("new", "component").alias("component")), "dup-components")
 
