@@ -46,8 +46,11 @@ def _key(id_col: str, text_col: str) -> Column:
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``key, at, words, leaf`` of every line that is long enough."""
-    lines = docs.select(_key(id_col, text_col).alias("key"), F.posexplode(F.split(F.col(text_col), "\n")).alias("at", "line"))
-    lines = lines.select("key", "at", split_words(F.col("line")).alias("words")).filter(F.size("words") >= LEAST_WORDS)
+    # Lines are cut into words before they become rows, and the outer form is used: in any other order Spark moves the
+    # filter below the projection and cuts every line twice.
+    cut = F.transform(F.split(F.col(text_col), "\n"), lambda line: split_words(line))
+    lines = docs.select(_key(id_col, text_col).alias("key"), F.posexplode_outer(cut).alias("at", "words"))
+    lines = lines.filter(F.size("words") >= LEAST_WORDS)
     leading = F.transform(F.slice("words", 1, LEADING), _masked)
     return lines.withColumn("leaf", F.xxhash64(F.size("words"), leading))
 
