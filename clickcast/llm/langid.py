@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from clickcast.llm.common import held_out, written
 
-SAMPLE_DOCS, MAX_WORDS, MAX_GRAMS = 4000, 20_000, 5000
+SAMPLE_DOCS, MAX_WORDS, MAX_GRAMS = 4000, 50_000, 5000
 ORDERS = (5, 4, 3, 2, 1)
 SMOOTHING = 0.5
 UNKNOWN = "und"
@@ -55,35 +55,50 @@ class LanguageModel:
     grams: dict[str, int]
     word_scores: np.ndarray
     gram_scores: np.ndarray
-    _memory: dict[str, np.ndarray] = field(default_factory=dict, repr=False)
-
-    def back_off(self, word: str) -> np.ndarray:
-        known = self._memory.get(word)
-        if known is not None:
-            return known
-        total, text = np.zeros(len(self.languages)), marked(word)
+    _memory: dict[str, list[int]] = field(default_factory=dict, repr=False)
+
+    def __post_init__(self) -> None:
+        lengths = np.array([len(g) for g in self.grams], np.float64).reshape(-1, 1)
+        self._weighted = self.gram_scores / lengths if len(lengths) else self.gram_scores
+
+    def gram_rows(self, word: str) -> list[int]:
+        """The rows of the n-grams that count for a word."""
+        rows = self._memory.get(word)
+        if rows is not None:
+            return rows
+        rows, text, known = [], marked(word), self.grams.get
         for end in range(1, len(text) + 1):
-            for order in ORDERS:
-                row = self.grams.get(text[end - order : end]) if end >= order else None
+            for start in range(max(0, end - ORDERS[0]), end):
+                row = known(text[start:end])
                 if row is not None:
-                    total += self.gram_scores[row] / order
+                    rows.append(row)
                     break
         if len(self._memory) >= REMEMBERED:
             self._memory.clear()
         if len(word) <= 64:
-            self._memory[word] = total
-        return total
+            self._memory[word] = rows
+        return rows
+
+    def back_off(self, word: str) -> np.ndarray:
+        """The score of an unseen word in each language."""
+        return self._weighted[self.gram_rows(word)].sum(0)
 
     def predict(self, text: str | None) -> tuple[str, float]:
         words = letter_words(text)
         if not words or not self.languages:
             return UNKNOWN, 0.0
-        rows = list(map(self.words.get, words))
-        unseen = [w for w, r in zip(words, rows, strict=True) if r is None]
-        seen = [r for r in rows if r is not None] if unseen else rows
-        total = self.word_scores[seen].sum(0) if seen else np.zeros(len(self.languages))
-        for word in unseen:
-            total = total + self.back_off(word)
+        seen, unseen, known = [], [], self.words.get
+        for word in words:
+            row = known(word)
+            if row is None:
+                unseen += self.gram_rows(word)
+            else:
+                seen.append(row)
+        total = np.zeros(len(self.languages))
+        if seen:
+            total += self.word_scores[seen].sum(0)
+        if unseen:
+            total += self._weighted[unseen].sum(0)
         best = int(total.argmax())
         return self.languages[best], float(1 / np.exp(np.clip(total - total[best], -700, 0)).sum())
 
