@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from checks.queries import ALL_GROUPS, NB_CATEGORIES
+from checks.queries import ALL_GROUPS
 from clickcast.operators.counts import GROUPS
 from clickcast.operators.encode import CATEGORIES
+from clickcast.operators.models import GRIDS
 
 CLICKS = """clicks AS (
   SELECT event_id, user_id AS ip, k % 10 AS app, k % 3 AS device, k // 10 AS os, event_type AS channel, ts AS click_time,
@@ -75,13 +76,6 @@ offsets AS ({offsets()}),
 train_long AS ({entries('train_rows')}),
 test_long AS ({entries('test_rows')})"""
 
-NB_ENCODED = f"""{PARTS},
-labels AS ({labels('train', NB_CATEGORIES)}),
-offsets AS ({offsets(NB_CATEGORIES)}),
-train_long AS ({entries('train', NB_CATEGORIES, ())}),
-test_long AS ({entries('test', NB_CATEGORIES, ())})"""
-
-
 def nb_fit(rows: str, long: str, width: str, smoothing: str = "SELECT CAST(1 AS DOUBLE) AS s") -> str:
     """CTEs ``priors`` and ``params`` of multinomial naive Bayes, for each smoothing.
 
@@ -118,7 +112,6 @@ scored AS (
 HARD_AUROC = """(1 + count(*) FILTER (label = 1 AND prediction = 1) / count(*) FILTER (label = 1)
     - count(*) FILTER (label = 0 AND prediction = 1) / count(*) FILTER (label = 0)) / 2"""
 
-NB_WIDTH = "(SELECT CAST(sum(size) AS BIGINT) FROM offsets)"
 FULL_WIDTH = f"(SELECT CAST(sum(size) AS BIGINT) + {len(GROUPS)} FROM offsets)"
 
 # The label is a function of two categories that these models recover on every held-out click, so the label is the
@@ -169,19 +162,57 @@ UNSEEN = f"""WITH {PARTS}, seen AS (SELECT * FROM train WHERE app <> 9), labels
 SELECT event_id, CAST(coalesce(l.idx, (SELECT count(*) FROM labels)) AS DOUBLE) AS "app_Index"
 FROM test s LEFT JOIN labels l ON l.label = CAST(s.app AS VARCHAR)"""
 
+# The best split by Gini impurity over the one-hot features: of those with a feature and those without.
+STUMP = f"""WITH {PARTS},
+labels AS ({labels('train')}),
+offsets AS ({offsets()}),
+long AS ({entries('train', CATEGORIES, ())}),
+sides AS (
+  SELECT position, count(*) FILTER (label = 0) AS right_0, count(*) FILTER (label = 1) AS right_1,
+         (SELECT count(*) FROM train WHERE label = 0) - count(*) FILTER (label = 0) AS left_0,
+         (SELECT count(*) FROM train WHERE label = 1) - count(*) FILTER (label = 1) AS left_1
+  FROM long GROUP BY position),
+best AS (
+  SELECT * FROM sides WHERE left_0 + left_1 > 0
+  ORDER BY left_0 * left_1 / (left_0 + left_1) + right_0 * right_1 / (right_0 + right_1), position LIMIT 1)"""
+
+
+def points(grid: dict) -> list[str]:
+    """The cross product of a grid's lists, in order, under the estimators' names."""
+    made = [()]
+    for name, values in grid.items():
+        name = {"round": "maxIter", "eta": "stepSize"}.get(name, name)
+        made = [(*m, f"{name}={float(v)}") for m in made for v in values]
+    return [",".join(sorted(m)) for m in made]
+
+
+# Over ordered indices every point finds all labels, so the first wins. Forests and shallow trees do not.
+TUNED = {
+    n: "SELECT * FROM (VALUES " + ", ".join(f"('{p}', CAST(1 AS DOUBLE), {int(not i)})" for i, p in enumerate(points(GRIDS[n])))
+    + ") t(point, auroc, best)"
+    for n in ("boosted",)
+}
+
 ORACLE = {
     "csv_scan": CSV,
     "csv_scan_inferred": CSV,
     "parquet_scan": f"WITH {ENCODED} SELECT * FROM train_long",
     "partitioned_sink": f"WITH {ENCODED} SELECT * FROM test_long",
     "pipeline_roundtrip": INDICES,
-    "predictions_csv": f"WITH {PARTS} SELECT label, CAST(label AS DOUBLE) AS prediction FROM test",
+    "unfitted_pipeline": INDICES,
+    "pipeline_features": f"WITH {ENCODED} SELECT * FROM test_long",
+    # Every leaf of the tree is pure.
+    "predictions_csv": f"WITH {PARTS} SELECT label, CAST(label AS DOUBLE) AS score, CAST(label AS DOUBLE) AS prediction FROM test",
     "metric_sink": COUNT_AUROC,
     "time_parts": f"""WITH {CLICKS} SELECT event_id, CAST(hour(click_time) AS INT) AS hour, CAST(day(click_time) AS INT) AS day,
       CAST(minute(click_time) AS INT) AS minute FROM clicks""",
     "click_projection": f"WITH {PREPARED} SELECT * FROM prepared",
+    "preview": "SELECT 10 AS known, 10 AS shown",
+    "numeric_names": f"WITH {PREPARED}, f AS ({counted('prepared')}) "
+    + " UNION ALL ".join(f"SELECT {i} AS place, '{n}' AS name, CAST(sum({n}) AS BIGINT) AS total FROM f" for i, n in enumerate(GROUPS)),
     "split_train": f"WITH {PARTS} SELECT event_id FROM train",
     "split_test": f"WITH {PARTS} SELECT event_id FROM test",
+    "random_split_share": "SELECT true AS nine_to_one",
     "random_split": f"WITH {CLICKS} SELECT event_id FROM clicks",
     **{
         f"group_{n.lower()}": f"WITH {PREPARED} SELECT {', '.join(k)}, count(*) AS {n} FROM prepared GROUP BY {', '.join(k)}"
@@ -199,6 +230,8 @@ ORACLE = {
     "click_features_null_keys_join": NULL_KEYS,
     "click_features_null_keys_window": NULL_KEYS,
     "click_features_hot_ip": HOT_IP,
+    "click_features_many_hot": FEATURES,
+    "click_features_narrow_keys": FEATURES,
     "click_features_counts_from_train": COUNTS_FROM_TRAIN,
     **{
         f"string_index_{c}": f"""WITH {PREPARED}, labels AS ({labels('prepared', (c,))})
@@ -211,26 +244,34 @@ ORACLE = {
     "feature_rows": f"WITH {ENCODED} SELECT * FROM train_long",
     "held_out_features": f"WITH {ENCODED} SELECT * FROM test_long",
     "label_table_features": f"WITH {ENCODED} SELECT * FROM test_long",
+    **{f"{n}_predict_indices": LABEL_AS_PREDICTION for n in ("dt", "rf", "gbt", "boosted")},
+    "rf_predict": LABEL_AS_PREDICTION,
+    "rf_area": "SELECT true AS ranks",
+    "gbt_stump": f"""{STUMP} SELECT position, round((left_1 - left_0) / (left_0 + left_1), 9) AS "left",
+      round((right_1 - right_0) / (right_0 + right_1), 9) AS "right" FROM best""",
+    "dt_reloaded": f"WITH {PARTS} SELECT label, CAST(label AS DOUBLE) AS prediction, count(*) AS n FROM test GROUP BY label",
+    "tune_boosted": TUNED["boosted"],
+    **{f"job_chain_{n}": "SELECT CAST(1 AS DOUBLE) AS auroc" for n in ("dt", "gbt", "lr")},
     "dt_predict": LABEL_AS_PREDICTION,
     "gbt_predict": LABEL_AS_PREDICTION,
     "lr_predict": LABEL_AS_PREDICTION,
     "boosted_predict": LABEL_AS_PREDICTION,
     "tune_lr": LABEL_AS_PREDICTION,
-    "nb_model": f"""WITH {NB_ENCODED}, {nb_fit('train', 'train_long', NB_WIDTH)}
+    "nb_model": f"""WITH {ENCODED}, {nb_fit('train_rows', 'train_long', FULL_WIDTH)}
       SELECT CAST(f.label AS DOUBLE) AS label, position, round(pi, 9) AS pi, round(theta, 9) AS theta
       FROM params f JOIN priors p USING (label)""",
-    "nb_predict": f"""WITH {NB_ENCODED}, {nb_fit('train', 'train_long', NB_WIDTH)}, {nb_apply('test_long')}
+    "nb_predict": f"""WITH {ENCODED}, {nb_fit('train_rows', 'train_long', FULL_WIDTH)}, {nb_apply('test_long')}
       SELECT event_id, CAST(prediction AS DOUBLE) AS prediction FROM scored""",
-    "tune_nb": f"""WITH {NB_ENCODED},
-      learn AS (SELECT * FROM train WHERE {tenth(1)} < 8),
+    "tune_nb": f"""WITH {ENCODED},
+      learn AS (SELECT * FROM train_rows WHERE {tenth(1)} < 8),
       learn_long AS (SELECT * FROM train_long WHERE {tenth(1)} < 8),
       check_long AS (SELECT * FROM train_long WHERE {tenth(1)} >= 8),
-      {nb_fit('learn', 'learn_long', NB_WIDTH, 'SELECT CAST(unnest([0.0, 0.5, 1.0]) AS DOUBLE) AS s')},
+      {nb_fit('learn', 'learn_long', FULL_WIDTH, 'SELECT CAST(unnest([0.0, 0.5, 1.0]) AS DOUBLE) AS s')},
       {nb_apply('check_long')},
       areas AS (SELECT s, {HARD_AUROC} AS area FROM scored GROUP BY s)
       SELECT s AS smoothing, round(area, 9) AS auroc,
              CAST(row_number() OVER (ORDER BY area DESC, s) = 1 AS INT) AS best FROM areas""",
-    "auroc_label": f"""WITH {NB_ENCODED}, {nb_fit('train', 'train_long', NB_WIDTH)}, {nb_apply('test_long')}
+    "auroc_label": f"""WITH {ENCODED}, {nb_fit('train_rows', 'train_long', FULL_WIDTH)}, {nb_apply('test_long')}
       SELECT round({HARD_AUROC}, 9) AS auroc FROM scored""",
     "auroc_score": COUNT_AUROC,
     "job_chain": f"""WITH {ENCODED}, {nb_fit('train_rows', 'train_long', FULL_WIDTH)}, {nb_apply('test_long')}

@@ -4,18 +4,22 @@ from __future__ import annotations
 
 from functools import partial
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import DecisionTreeClassificationModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickcast.functions import add_time_parts, hash_split, prepare_clicks, random_split
+from clickcast.functions import add_time_parts, hash_split, prepare_clicks, random_split, show_rows
 from clickcast.operators.counts import GROUPS, OPTIONAL_GROUPS, add_group_count, click_features, group_counts, with_all_keys
 from clickcast.operators.encode import (
     CATEGORIES,
+    encoder,
     feature_rows,
     fit_encoder,
     index_labels,
     join_indices,
+    load_encoder,
+    numeric_columns,
     one_hot_long,
     read_features,
     save_encoder,
@@ -37,8 +41,6 @@ from clickcast.sources import (
 )
 
 ALL_GROUPS = {**GROUPS, **OPTIONAL_GROUPS}
-# Naive Bayes is checked parameter by parameter on two categories.
-NB_CATEGORIES = ("app", "channel")
 # Where ``every second click comes from address 1`` the hot path must run at test scale.
 SKEW_HOT_ROWS = 1000
 
@@ -51,17 +53,19 @@ def _parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return hash_split(_prepared(spark, sf_dir), "event_id")
 
 
-def _encoded(spark: SparkSession, sf_dir: str, *wanted: int) -> list[DataFrame]:
+def _vectors(df: DataFrame) -> DataFrame:
+    """``df`` through a file, which turns the fields of vectors into vector columns."""
+    path = scratch_path(df.sparkSession, "vectors")
+    write_parquet(df, path)
+    return read_features(df.sparkSession, path)
+
+
+def _encoded(spark: SparkSession, sf_dir: str, *wanted: int, features: str = "onehot") -> list[DataFrame]:
     """``event_id, label, features`` of the training (0) and held-out (1) part; the encoder is fitted on the former."""
     parts = _parts(spark, sf_dir)
     model = fit_encoder(with_all_keys(parts[0]))
-    return [feature_rows(click_features(parts[i]), model, "event_id", "label") for i in wanted]
-
-
-def _nb_encoded(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    train, test = _parts(spark, sf_dir)
-    model = fit_encoder(train, NB_CATEGORIES, ())
-    return tuple(feature_rows(part, model, "event_id", "label") for part in (train, test))
+    kept = ("event_id", "label")
+    return [_vectors(feature_rows(click_features(parts[i]), model, *kept, source=parts[i], features=features)) for i in wanted]
 
 
 def _long(indexed: DataFrame) -> DataFrame:
@@ -107,15 +111,29 @@ def partitioned_sink(spark, sf_dir):
 def pipeline_roundtrip(spark, sf_dir):
     train, test = _parts(spark, sf_dir)
     path = scratch_path(spark, "model")
-    fit_encoder(with_all_keys(train)).write().overwrite().save(path)
-    return _long(PipelineModel(PipelineModel.load(path).stages[:-1]).transform(test))
+    save_encoder(fit_encoder(with_all_keys(train), kind="pipeline"), path)
+    return _long(PipelineModel(load_encoder(spark, path).stages[:-1]).transform(test))
+
+
+def unfitted_pipeline(spark, sf_dir):
+    """The unfitted pipeline, saved, loaded and fitted: the same indices."""
+    train, test = _parts(spark, sf_dir)
+    path = scratch_path(spark, "pipeline")
+    encoder(numeric=()).write().overwrite().save(path)
+    return _long(Pipeline.load(path).fit(with_all_keys(train)).transform(test))
+
+
+def pipeline_features(spark, sf_dir):
+    """Held-out features from the encoder as a ``PipelineModel``."""
+    train, test = _parts(spark, sf_dir)
+    model = fit_encoder(with_all_keys(train), kind="pipeline")
+    return vector_entries(feature_rows(click_features(test), model, "event_id", "label"), "features", "event_id", "label")
 
 
 def predictions_csv(spark, sf_dir):
     path = scratch_path(spark, "prediction")
     write_predictions_csv(_scored(spark, sf_dir, "dt", {}), path)
-    read = spark.read.csv(path, header=True, schema="label int, score double, prediction double")
-    return read.select("label", "prediction")
+    return spark.read.csv(path, header=True, schema="label int, score double, prediction double")
 
 
 def metric_sink(spark, sf_dir):
@@ -136,7 +154,20 @@ def click_projection(spark, sf_dir):
 
 
 def preview(spark, sf_dir):
-    return _prepared(spark, sf_dir).limit(10)
+    """How many rows a preview shows, and how many of them are rows of the table."""
+    log = _prepared(spark, sf_dir)
+    shown = show_rows(log, 10)
+    return shown.join(log, log.columns, "left_semi").agg(F.count("*").alias("known")).crossJoin(
+        shown.agg(F.count("*").alias("shown"))
+    )
+
+
+def numeric_names(spark, sf_dir):
+    """The numeric columns that are found in the table of counts, with their sums."""
+    counted = click_features(_prepared(spark, sf_dir))
+    found = numeric_columns(counted, other=("label", "event_id"))
+    sums = [F.struct(F.lit(i).alias("place"), F.lit(c).alias("name"), F.sum(c).alias("total")) for i, c in enumerate(found)]
+    return counted.agg(F.array(*sums).alias("found")).select(F.inline("found"))
 
 
 def split_train(spark, sf_dir):
@@ -153,6 +184,13 @@ def random_split_whole(spark, sf_dir):
     return train.select("event_id").unionAll(test.select("event_id"))
 
 
+def random_split_share(spark, sf_dir):
+    """Whether the larger side has nine tenths, to four standard deviations."""
+    train, test = (part.agg(F.count("*").cast("double").alias(n)) for part, n in zip(random_split(clicks(spark, sf_dir)), "ab"))
+    n = F.col("a") + F.col("b")
+    return train.crossJoin(test).select((F.abs(F.col("a") - 0.9 * n) <= 4 * F.sqrt(0.09 * n)).alias("nine_to_one"))
+
+
 # Counts
 
 
@@ -182,6 +220,18 @@ def features_hot_ip(spark, sf_dir):
     return click_features(_prepared(spark, sf_dir).withColumn("ip", ip), hot_rows=SKEW_HOT_ROWS)
 
 
+def features_many_hot(spark, sf_dir):
+    """Every address is frequent: none is shuffled whole."""
+    return click_features(_prepared(spark, sf_dir), hot_rows=1)
+
+
+def features_narrow_keys(spark, sf_dir):
+    """Keys of a type that cannot hold a hash."""
+    narrow = {c: F.col(c).cast("smallint") for c in ("app", "device", "os", "hour", "day")}
+    widened = {c: F.col(c).cast("int") for c in narrow}
+    return click_features(_prepared(spark, sf_dir).withColumns(narrow), method="join", hot_rows=SKEW_HOT_ROWS).withColumns(widened)
+
+
 def features_counts_from_train(spark, sf_dir):
     train, test = _parts(spark, sf_dir)
     return click_features(test, counts_from=train)
@@ -219,37 +269,74 @@ def label_table_features(spark, sf_dir):
     """Held-out features from an encoder that keeps its labels in a table, through a file."""
     train, test = _parts(spark, sf_dir)
     path = scratch_path(spark, "labels")
-    model = save_encoder(fit_encoder(with_all_keys(train), max_listed=0), path)
-    write_parquet(feature_rows(click_features(test), model, "event_id", "label"), f"{path}-rows")
-    return vector_entries(read_features(spark, f"{path}-rows"), "features", "event_id", "label")
+    save_encoder(fit_encoder(with_all_keys(train)), path)
+    rows = feature_rows(click_features(test), load_encoder(spark, path), "event_id", "label", source=test)
+    return vector_entries(_vectors(rows), "features", "event_id", "label")
 
 
 # Classifiers
 
 
-def _scored(spark, sf_dir, algorithm, params):
-    train, test = _encoded(spark, sf_dir, 0, 1)
+def _scored(spark, sf_dir, algorithm, params, features="onehot"):
+    train, test = _encoded(spark, sf_dir, 0, 1, features=features)
     return fit(train.select("label", "features"), algorithm, params).transform(test)
 
 
-def predict(algorithm, params, spark, sf_dir):
-    return _scored(spark, sf_dir, algorithm, params).select("event_id", "prediction")
+def predict(algorithm, params, spark, sf_dir, features="onehot"):
+    return _scored(spark, sf_dir, algorithm, params, features).select("event_id", "prediction")
+
+
+def rf_area(spark, sf_dir):
+    """Whether the forest with its own choice of features per node ranks the held-out clicks nearly without fault."""
+    scored = _scored(spark, sf_dir, "rf", {"numTrees": 30})
+    return spark.createDataFrame([(auroc_score(scored) >= 0.99,)], "ranks boolean")
+
+
+def _stump(spark, sf_dir, algorithm, params):
+    """A tree of one split over the one-hot blocks, as its saved model has it."""
+    train, _ = _parts(spark, sf_dir)
+    rows = _vectors(feature_rows(train, fit_encoder(train, numeric=()), source=train))
+    path = scratch_path(spark, "stump")
+    fit(rows, algorithm, params).save(path)
+    return spark.read.parquet(f"{path}/data")
+
+
+def gbt_stump(spark, sf_dir):
+    """One iteration of one split: the feature, and the mean of the labels as -1 and 1 on either side."""
+    nodes = _stump(spark, sf_dir, "gbt", {"maxDepth": 1, "maxIter": 1}).select("nodeData.*")
+    root, left, right = (nodes.filter(F.col("id") == i) for i in range(3))
+    found = root.select(F.col("split.featureIndex").alias("position"))
+    for node, side in ((left, "left"), (right, "right")):
+        found = found.crossJoin(node.select(F.round("prediction", 9).alias(side)))
+    return found
+
+
+def dt_reloaded(spark, sf_dir):
+    """Predictions of the saved and loaded tree on the saved features, as the tree job leaves them."""
+    log, out = clicks(spark, sf_dir), scratch_path(spark, "tree")
+    write_clicks_csv(log, f"{out}_log")
+    jobs.preprocess(spark, f"{out}_log", out, log.schema, split="hash", key="event_id")
+    names = (f"{out}_labelfeatures.parquet", f"{out}_pipeline_model", f"{out}_test", f"{out}_dt")
+    jobs.train(spark, "dt", *names, log.schema, input_partitions=6, output_files=3)
+    model = DecisionTreeClassificationModel.load(f"{out}_dt_trained_dt_model")
+    rows = model.transform(read_features(spark, f"{out}_dt_vectorized_test_data"))
+    return rows.groupBy("label", "prediction").agg(F.count("*").alias("n"))
 
 
 def nb_model(spark, sf_dir):
-    model = fit(_nb_encoded(spark, sf_dir)[0].select("label", "features"), "nb", {"smoothing": 1.0})
-    rows = [
-        (float(c), i, float(model.pi[c]), float(model.theta[c, i]))
-        for c in range(model.numClasses)
-        for i in range(model.numFeatures)
-    ]
-    made = spark.createDataFrame(rows, "label double, position int, pi double, theta double")
-    return made.withColumns({c: F.round(c, 9) for c in ("pi", "theta")})
+    path = scratch_path(spark, "nb")
+    fit(_encoded(spark, sf_dir, 0)[0].select("label", "features"), "nb", {"smoothing": 1.0}).save(path)
+    saved = spark.read.parquet(f"{path}/data").select(F.unwrap_udt("pi")["values"].alias("pi"), F.unwrap_udt("theta").alias("m"))
+    cells = saved.select("pi", "m", F.posexplode("m.values").alias("i", "theta"))
+    by_row = F.col("m.isTransposed")
+    row = F.when(by_row, F.floor(F.col("i") / F.col("m.numCols"))).otherwise(F.col("i") % F.col("m.numRows")).cast("int")
+    column = F.when(by_row, F.col("i") % F.col("m.numCols")).otherwise(F.floor(F.col("i") / F.col("m.numRows"))).cast("int")
+    pi = F.round(F.get("pi", row), 9)
+    return cells.select(row.cast("double").alias("label"), column.alias("position"), pi.alias("pi"), F.round("theta", 9).alias("theta"))
 
 
 def _nb_scored(spark, sf_dir):
-    train, test = _nb_encoded(spark, sf_dir)
-    return fit(train.select("label", "features"), "nb", {"smoothing": 1.0}).transform(test)
+    return _scored(spark, sf_dir, "nb", {"smoothing": 1.0})
 
 
 def nb_predict(spark, sf_dir):
@@ -262,7 +349,7 @@ def nb_predict(spark, sf_dir):
 def tune_nb(spark, sf_dir):
     estimator = REGISTRY["nb"].make(0)
     grid = REGISTRY["nb"].param_grid(estimator)
-    found = tune(_nb_encoded(spark, sf_dir)[0], estimator, grid, split="hash", key="event_id")
+    found = tune(_encoded(spark, sf_dir, 0)[0], estimator, grid, split="hash", key="event_id")
     rows = [
         (params[estimator.smoothing], metric, int(params[estimator.smoothing] == found.best["smoothing"]))
         for params, metric in zip(grid, found.metrics, strict=True)
@@ -277,6 +364,18 @@ def tune_lr(spark, sf_dir):
     return fit(train.select("label", "features"), "lr").model.transform(test).select("event_id", "prediction")
 
 
+def tune_trees(algorithm, spark, sf_dir):
+    """The whole grid over label indices and counts, with the area of each point and the winner."""
+    (train,) = _encoded(spark, sf_dir, 0, features="indices")
+    found = fit(train, algorithm, split="hash", key="event_id")
+    best = found.metrics.index(max(found.metrics))
+    rows = [
+        (",".join(sorted(f"{p.name}={float(v)}" for p, v in point.items())), round(metric, 9), int(i == best))
+        for i, (point, metric) in enumerate(zip(found.grid, found.metrics, strict=True))
+    ]
+    return spark.createDataFrame(rows, "point string, auroc double, best int")
+
+
 def _one(spark, value):
     return spark.createDataFrame([(round(value, 9),)], "auroc double")
 
@@ -298,23 +397,24 @@ def auroc_score_count(spark, sf_dir):
 # Jobs
 
 
-def job_chain(spark, sf_dir):
-    """Preprocess, train and evaluate through files: naive Bayes over the full feature vector."""
+def job_chain(spark, sf_dir, algorithm="nb", params=(("smoothing", 1.0),), features="onehot"):
+    """Preprocess, train and evaluate through files: by default naive Bayes over the full feature vector."""
     log, out = clicks(spark, sf_dir), scratch_path(spark, "jobs")
     write_clicks_csv(log, f"{out}_log")
     jobs.preprocess(spark, f"{out}_log", out, log.schema, split="hash", key="event_id")
     jobs.train(
         spark,
-        "nb",
+        algorithm,
         f"{out}_labelfeatures.parquet",
         f"{out}_pipeline_model",
         f"{out}_test",
-        f"{out}_nb",
+        f"{out}_{algorithm}",
         log.schema,
-        {"smoothing": 1.0},
+        dict(params),
+        features=features,
     )
-    jobs.evaluate(spark, f"{out}_nb_predicts.parquet", f"{out}_nb")
-    read = spark.read.csv(f"{out}_nb_auroc", schema="value string")
+    jobs.evaluate(spark, f"{out}_{algorithm}_predicts.parquet", f"{out}_{algorithm}")
+    read = spark.read.csv(f"{out}_{algorithm}_auroc", schema="value string")
     return read.select(F.round(F.col("value").cast("double"), 9).alias("auroc"))
 
 
@@ -324,14 +424,18 @@ QUERIES = {
     "parquet_scan": parquet_scan,
     "partitioned_sink": partitioned_sink,
     "pipeline_roundtrip": pipeline_roundtrip,
+    "unfitted_pipeline": unfitted_pipeline,
+    "pipeline_features": pipeline_features,
     "predictions_csv": predictions_csv,
     "metric_sink": metric_sink,
     "time_parts": time_parts,
     "click_projection": click_projection,
     "preview": preview,
+    "numeric_names": numeric_names,
     "split_train": split_train,
     "split_test": split_test,
     "random_split": random_split_whole,
+    "random_split_share": random_split_share,
     **{f"group_{n.lower()}": partial(group_count, n) for n in ALL_GROUPS},
     **{f"count_{n.lower()}": partial(count_on_clicks, n) for n in ALL_GROUPS},
     "click_features": partial(features_by, "split"),
@@ -342,6 +446,8 @@ QUERIES = {
     "click_features_null_keys_join": partial(features_null_keys, "join"),
     "click_features_null_keys_window": partial(features_null_keys, "window"),
     "click_features_hot_ip": features_hot_ip,
+    "click_features_many_hot": features_many_hot,
+    "click_features_narrow_keys": features_narrow_keys,
     "click_features_counts_from_train": features_counts_from_train,
     **{f"string_index_{c}": partial(string_index, c) for c in CATEGORIES},
     "string_index_unseen": string_index_unseen,
@@ -351,15 +457,32 @@ QUERIES = {
     "held_out_features": partial(features_long, 1),
     "label_table_features": label_table_features,
     "dt_predict": partial(predict, "dt", {}),
-    "rf_predict": partial(predict, "rf", {"numTrees": 30}),
+    # With every feature at every node the forest finds all labels; with its own choice it misses some.
+    "rf_predict": partial(predict, "rf", {"numTrees": 30, "featureSubsetStrategy": "all"}),
+    "rf_area": rf_area,
     "gbt_predict": partial(predict, "gbt", {"maxIter": 10, "maxDepth": 5}),
     "lr_predict": partial(predict, "lr", {"regParam": 0.01, "elasticNetParam": 0.0}),
     "boosted_predict": partial(predict, "boosted", {"round": 20, "eta": 0.1}),
+    # A label's place in the order of frequency takes more splits to reach than a feature of its own.
+    "dt_predict_indices": partial(predict, "dt", {"maxDepth": 10}, features="indices"),
+    "rf_predict_indices": partial(
+        predict, "rf", {"numTrees": 30, "featureSubsetStrategy": "all", "maxDepth": 10}, features="indices"
+    ),
+    "gbt_predict_indices": partial(predict, "gbt", {"maxIter": 10, "maxDepth": 5}, features="indices"),
+    "boosted_predict_indices": partial(predict, "boosted", {"round": 20, "eta": 0.1}, features="indices"),
+    "gbt_stump": gbt_stump,
+    "dt_reloaded": dt_reloaded,
     "nb_model": nb_model,
     "nb_predict": nb_predict,
     "tune_nb": tune_nb,
     "tune_lr": tune_lr,
+    "tune_rf": partial(tune_trees, "rf"),
+    "tune_gbt": partial(tune_trees, "gbt"),
+    "tune_boosted": partial(tune_trees, "boosted"),
     "auroc_label": auroc_label_nb,
     "auroc_score": auroc_score_count,
     "job_chain": job_chain,
+    "job_chain_dt": partial(job_chain, algorithm="dt", params=()),
+    "job_chain_gbt": partial(job_chain, algorithm="gbt", params=(("maxIter", 10), ("maxDepth", 5)), features="indices"),
+    "job_chain_lr": partial(job_chain, algorithm="lr", params=(("regParam", 0.01), ("elasticNetParam", 0.0))),
 }

@@ -25,3 +25,8 @@ def drop_columns(df: DataFrame, *names: str) -> DataFrame:
 def prepare_clicks(df: DataFrame, minute: bool = False) -> DataFrame:
     """Time parts added, the time columns dropped and ``is_attributed`` renamed ``label``."""
     return drop_columns(add_time_parts(df, minute=minute), *DROPPED).withColumnRenamed("is_attributed", "label")
+
+
+def show_rows(df: DataFrame, n: int = 20) -> DataFrame:
+    """Some ``n`` rows to look at: whichever Spark comes across first."""
+    return df.limit(n)

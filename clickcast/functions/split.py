@@ -18,6 +18,11 @@ def hash_tenth(key: str, digits: int = 0) -> Column:
     return F.conv(F.substring(digest, 1 + 8 * digits, 8), 16, 10).cast("bigint") % 10
 
 
+def in_first_tenths(key: str, tenths: int, digits: int = 0) -> Column:
+    """Whether a row is on the larger side of ``hash_split``."""
+    return hash_tenth(key, digits) < tenths
+
+
 def hash_split(df: DataFrame, key: str, train_tenths: int = 9, digits: int = 0) -> tuple[DataFrame, DataFrame]:
     """Split on the md5 of a key: the same rows on every run, for any partitioning, without a sort.
 

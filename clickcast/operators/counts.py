@@ -27,7 +27,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickcast.operators.joins import HOT_LIMIT, HOT_ROWS, most_frequent, spread_join
+from clickcast.operators.joins import HOT_ROWS, frequent_keys, join_few, spread_join
+from clickcast.session import checkpointed
 
 Groups = Mapping[str, Sequence[str]]
 
@@ -57,19 +58,19 @@ def add_group_count(df: DataFrame, keys: Sequence[str], name: str, method: str =
         counted = _drop_null_keys(_windows(df, {name: keys}, F.count("*")), keys)
     elif method == "join":
         rows = _drop_null_keys(df, keys)
-        counted = _join_back(rows, _table(rows, keys, name, F.count("*")), keys, _possibly_hot(df, HOT_ROWS))
+        counted = _join_back(rows, _table(rows, keys, name, F.count("*")), keys, HOT_ROWS)
     else:
         raise ValueError(f"unknown method {method!r}")
     return counted.select(*df.columns, name)
 
 
-def hot_values(df: DataFrame, column: str = "ip", rows: int = HOT_ROWS, limit: int = HOT_LIMIT) -> list:
-    """The most frequent values of ``column`` among those with at least ``rows`` rows, at most ``limit`` of them.
+def hot_values(df: DataFrame, column: str = "ip", rows: int = HOT_ROWS) -> DataFrame:
+    """The values of ``column`` with at least ``rows`` rows, as a table of that column that is at hand.
 
-    Runs a job: it reads one column, aggregates it before the shuffle, and brings at most ``limit`` values back.
+    Runs a job: it reads one column and aggregates it before the shuffle. No more values than ``rows`` goes into all rows.
     """
-    frequent = group_counts(df.filter(F.col(column).isNotNull()), [column], "n").filter(F.col("n") >= rows)
-    return [r[0] for r in frequent.orderBy(F.desc("n"), column).limit(limit).collect()]
+    counted = group_counts(df.filter(F.col(column).isNotNull()), [column], "n")
+    return checkpointed(frequent_keys(counted, "n", rows).select(column))
 
 
 def click_features(
@@ -77,13 +78,14 @@ def click_features(
     groups: Groups = GROUPS,
     method: str = "split",
     counts_from: DataFrame | None = None,
-    hot: Sequence | None = None,
+    hot: DataFrame | Sequence | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Prepared clicks (see ``prepare_clicks``) with all group counts appended in the order of ``groups``.
 
     ``counts_from`` counts over another table, such as the training split, and gives 0 for combinations it lacks.
-    ``hot`` names the frequent addresses if they are known already; otherwise ``split`` finds those with ``hot_rows``.
+    ``hot`` names the frequent addresses, in a column ``ip`` or a list, if they are known already; otherwise ``split``
+    finds those with ``hot_rows``.
     """
     # Rows that only receive counts and rows that only count go through the same plan.
     rows, total = df, F.count("*")
@@ -93,8 +95,6 @@ def click_features(
         counting = counts_from.select(*_all_keys(groups)).withColumns({"_counts": F.lit(1), "_kept": F.lit(False)})
         rows = receiving.unionByName(counting, allowMissingColumns=True)
 
-    if method != "window":
-        hot_rows = _possibly_hot(rows, hot_rows)
     if method == "join" or (method == "split" and not any("ip" in keys for keys in groups.values())):
         counted = _received(with_all_keys(rows, groups))
         for name, keys in groups.items():
@@ -135,23 +135,16 @@ def _table(rows: DataFrame, keys: Sequence[str], name: str, total: Column) -> Da
     return rows.groupBy(*keys).agg(total.alias(name), F.count("*").alias("_rows"))
 
 
-def _possibly_hot(df: DataFrame, hot_rows: int) -> int | None:
-    """``hot_rows``, or None where the whole table has fewer rows, so that no key can be frequent.
-
-    Runs a count, which for parquet reads file footers only.
-    """
-    return hot_rows if df.count() >= hot_rows else None
-
-
-def _join_back(df: DataFrame, table: DataFrame, keys: Sequence[str], hot_rows: int | None) -> DataFrame:
-    if hot_rows is None:
+def _join_back(df: DataFrame, table: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
+    # The frequent combinations are fixed first: they are few, and whether they are none decides the plan.
+    frequent = checkpointed(frequent_keys(table, "_rows", hot_rows).drop("_rows"))
+    if frequent.isEmpty():
         return df.join(table.drop("_rows"), list(keys))
-    frequent = most_frequent(table, keys, "_rows", hot_rows)
-    return spread_join(df, table.drop("_rows"), frequent.drop("_rows"), keys)
+    return spread_join(df, table.drop("_rows"), frequent, keys)
 
 
 def _split(
-    rows: DataFrame, groups: Groups, total: Column, hot: Sequence | None, hot_rows: int | None
+    rows: DataFrame, groups: Groups, total: Column, hot: DataFrame | Sequence | None, hot_rows: int
 ) -> DataFrame:
     by_ip = {name: keys for name, keys in groups.items() if "ip" in keys}
     others = {name: keys for name, keys in groups.items() if "ip" not in keys}
@@ -159,23 +152,21 @@ def _split(
     # A click without an address is in no group by address and is dropped in the end. Dropped here, the nulls do not
     # meet in one task. Nulls in other keys are dropped after they are counted.
     addressed = rows.filter(F.col("ip").isNotNull())
-    if hot_rows is None:
-        hot = []
-    elif hot is None:
+    if hot is None:
         hot = hot_values(addressed, rows=hot_rows)
-    if len(hot) > HOT_LIMIT:
-        raise ValueError(f"{len(hot)} hot values; at most {HOT_LIMIT} are broadcast")
-    if hot:
-        listed = rows.sparkSession.createDataFrame([(str(v),) for v in hot], "ip string")
-        listed = F.broadcast(listed.select(F.col("ip").cast(rows.schema["ip"].dataType)))
-        even, frequent = addressed.join(listed, "ip", "left_anti"), addressed.join(listed, "ip", "left_semi")
-    else:
-        even = addressed
+    elif not isinstance(hot, DataFrame):
+        hot = rows.sparkSession.createDataFrame([(str(v),) for v in hot], "ip string")
+    hot = hot.select(F.col("ip").cast(rows.schema["ip"].dataType)).distinct()
+    any_hot = not hot.isEmpty()
+    even = addressed
+    if any_hot:
+        marked = join_few(addressed, hot.withColumn("_hot", F.lit(True)), ["ip"]).select(*addressed.columns, "_hot")
+        even, frequent = (marked.filter(c).drop("_hot") for c in ("_hot is null", "_hot"))
 
     counted = _received(with_all_keys(_windows(even.repartition("ip"), by_ip, total), groups))
     for name, keys in others.items():
         counted = _join_back(counted, tables[name], keys, hot_rows)
-    if hot:
+    if any_hot:
         counted = counted.unionByName(_join_cells(frequent, groups, by_ip, tables, total, hot_rows))
     return counted
 
@@ -185,14 +176,19 @@ def _join_cells(
 ) -> DataFrame:
     """Counts for rows with few distinct ``ip``, each frequent.
 
-    A cell is a distinct combination of all keys. The windows run over cells, each partitioned by its group's full key,
-    so a task holds at most as many rows of a group as the other keys have combinations.
+    A cell is a distinct combination of all keys. Each count is a sum over cells, aggregated before its shuffle and joined
+    back to the cells, so that no address brings its cells together in one task.
     """
     keys = _all_keys(groups)
     rows = with_all_keys(df, groups)
-    cells = _table(df, keys, "_total", total)
-    frequent = F.broadcast(most_frequent(cells, keys, "_rows", hot_rows).select(*keys))
-    cells = with_all_keys(_windows(cells.drop("_rows"), by_ip, F.sum("_total")).drop("_total"), groups)
+    cells = checkpointed(_table(df, keys, "_total", total))
+    frequent = frequent_keys(cells, "_rows", hot_rows).select(*keys)
+    summed = with_all_keys(cells.drop("_rows"), groups)
+    for name, group in by_ip.items():
+        table = cells.groupBy(*group).agg(F.sum("_total").alias(name))
+        summed = summed.join(table, list(group))
+    summed = summed.drop("_total")
     for name, table in tables.items():
-        cells = cells.join(table.drop("_rows"), list(groups[name]))
-    return spread_join(_received(rows), cells, cells.join(frequent, keys, "left_semi"), keys)
+        summed = summed.join(table.drop("_rows"), list(groups[name]))
+    summed = checkpointed(summed)
+    return spread_join(_received(rows), summed, summed.join(frequent, keys, "left_semi"), keys)

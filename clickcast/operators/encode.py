@@ -3,18 +3,18 @@
 A category's labels are numbered by falling frequency, ties by the label's text. Null and labels not seen in the fit get
 the number after the last label, and a one-hot block of zeros.
 
-The fitted encoder is a ``PipelineModel``, which holds every label in the memory of the driver and of each executor. Where
-there are too many labels for that it is a ``TableEncoder``: the labels stay in a table and are joined. Both give the same
-vectors.
+The fitted encoder is a ``TableEncoder``: the labels stay in a table and are joined, however many there are. On request it
+is a ``PipelineModel``, which holds every label in the memory of the driver and of each executor. Both give the same
+vectors. The table encoder also gives ``index_features``: the indices themselves and the counts, for models that split on
+ordered numbers and need not know every label as a feature of its own.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cached_property
 
-from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.linalg import VectorUDT
@@ -23,14 +23,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from clickcast.operators.counts import GROUPS
-from clickcast.operators.joins import HOT_LIMIT, HOT_ROWS, spread_join
-from clickcast.session import checkpointed
+from clickcast.operators.joins import HOT_ROWS, frequent_keys, spread_join
+from clickcast.session import checkpointed, empty_folder, path_exists
 
 # The categories in the order of their one-hot blocks. ``hour`` and ``day`` are also group keys.
 CATEGORIES = ("ip", "app", "device", "os", "channel", "hour", "day")
 
-# With more labels than this, over all categories, they are kept in a table.
-MAX_LISTED = 100_000
+# The labels of a column are broadcast up to this many; more are shuffled. The result is the same.
+WIDE_LABELS = 10_000
 
 
 def numeric_columns(df: DataFrame, categories: Sequence[str] = CATEGORIES, other: Sequence[str] = ("label",)) -> list[str]:
@@ -75,10 +75,9 @@ def index_labels(df: DataFrame, columns: Sequence[str] = CATEGORIES) -> DataFram
     return rank_labels(label_counts(df, columns))
 
 
-def frequent_labels(counts: DataFrame, hot_rows: int = HOT_ROWS) -> list[tuple[str, str]]:
-    """``(column, label)`` of the labels with at least ``hot_rows`` rows, HOT_LIMIT of them at most, from ``label_counts``."""
-    frequent = counts.filter(F.col("n") >= hot_rows).orderBy(F.desc("n"), "column", "label").limit(HOT_LIMIT)
-    return [(r["column"], r["label"]) for r in frequent.collect()]
+def frequent_labels(counts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``column, label`` of the labels with at least ``hot_rows`` rows, from ``label_counts``, as a table at hand."""
+    return checkpointed(frequent_keys(counts, "n", hot_rows).select("column", "label"))
 
 
 def _sizes(index: DataFrame) -> dict[str, int]:
@@ -90,42 +89,68 @@ def join_indices(
     df: DataFrame,
     index: DataFrame,
     columns: Sequence[str] = CATEGORIES,
-    frequent: Sequence[tuple[str, str]] | None = None,
+    frequent: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """``<column>_Index`` for each column, looked up in a table from ``index_labels`` instead of a fitted model.
 
-    A column with few labels is looked up by a broadcast, one with more than HOT_LIMIT by a spread join. ``frequent`` are
-    the labels of ``df`` whose rows should not meet in one task there; without it they are looked for.
+    A column with few labels is looked up by a broadcast, one with more than WIDE_LABELS by a spread join, which keeps
+    nulls and frequent labels apart. ``frequent`` (``column, label``) are the labels of ``df`` whose rows should not meet in
+    one task there; without it they are looked for.
     """
     sizes = _sizes(index)
-    wide = [c for c in columns if sizes.get(c, 0) > HOT_LIMIT]
-    if frequent is None:
-        frequent = frequent_labels(label_counts(df, wide), hot_rows) if wide and df.count() >= hot_rows else []
+    wide = [c for c in columns if sizes.get(c, 0) > WIDE_LABELS]
+    if frequent is None and wide:
+        frequent = frequent_labels(label_counts(df, wide), hot_rows)
     for c in columns:
         labels = index.filter(F.col("column") == c).select(
             F.col("label").alias("_label"), F.col("label_index").alias(f"{c}_Index")
         )
         rows = df.withColumn("_label", F.col(c).cast("string"))
-        named = [(label,) for column, label in frequent if column == c]
-        if c not in wide:
-            joined = rows.join(F.broadcast(labels), "_label", "left")
-        elif named:
-            listed = F.broadcast(df.sparkSession.createDataFrame(named, "_label string"))
-            joined = spread_join(rows, labels, listed.join(labels, "_label", "left"), ["_label"])
+        if c in wide:
+            named = frequent.filter(F.col("column") == c).select(F.col("label").alias("_label"))
+            joined = spread_join(rows, labels, named.join(labels, "_label", "left"), ["_label"])
         else:
-            joined = rows.join(labels, "_label", "left")
+            joined = rows.join(F.broadcast(labels), "_label", "left")
         unseen = F.lit(float(sizes.get(c, 0)))
         df = joined.withColumn(f"{c}_Index", F.coalesce(f"{c}_Index", unseen)).drop("_label")
     return df
 
 
+def _sparse(size, entries: Column) -> Column:
+    """The fields of a sparse vector from an array of ``position, value``."""
+    return F.struct(
+        F.lit(0).cast("tinyint").alias("type"), F.lit(size).cast("int").alias("size"),
+        entries["position"].alias("indices"), entries["value"].alias("values"),
+    )
+
+
+def _dense(values: Sequence[Column]) -> Column:
+    """The fields of a dense vector."""
+    return F.struct(
+        F.lit(1).cast("tinyint").alias("type"), F.lit(None).cast("int").alias("size"),
+        F.lit(None).cast("array<int>").alias("indices"), F.array(*values).alias("values"),
+    )
+
+
+def _entry(position, value: Column) -> Column:
+    position = position if isinstance(position, Column) else F.lit(position)
+    return F.struct(position.cast("int").alias("position"), value.cast("double").alias("value"))
+
+
+def _number(name: str) -> Column:
+    """A numeric column as a double; null is an error, as in the assembler of ``pyspark.ml``."""
+    problem = F.raise_error(F.lit(f"null in the numeric column {name}")).cast("double")
+    return F.when(F.col(name).isNull(), problem).otherwise(F.col(name).cast("double"))
+
+
 @dataclass(frozen=True)
 class TableEncoder:
     """A fitted encoder whose labels are the table ``index``, from ``rank_labels``.
 
-    ``transform`` adds the indices and ``features``. That column has the fields of a sparse vector, but becomes a vector
-    column only when it is written to parquet and read with ``read_features``.
+    ``transform`` adds ``<column>_Index`` and ``<column>_Vec`` for each category, ``features`` and ``index_features``. The
+    vectors have the fields of a vector column, but become one only when they are written to parquet and read with
+    ``read_features``.
     """
 
     index: DataFrame
@@ -137,34 +162,32 @@ class TableEncoder:
         found = _sizes(self.index)
         return {c: found.get(c, 0) for c in self.categories}
 
-    def transform(self, df: DataFrame, frequent: Sequence[tuple[str, str]] | None = None) -> DataFrame:
-        indexed = join_indices(df, self.index, self.categories, frequent)
-        return indexed.withColumn("features", self._vector())
-
-    def _vector(self) -> Column:
-        positions, values, start = [], [], 0
+    def transform(self, df: DataFrame, frequent: DataFrame | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+        indexed = join_indices(df, self.index, self.categories, frequent, hot_rows)
+        none = F.array().cast("array<struct<position:int,value:double>>")
+        blocks, entries, start = {}, [], 0
         for c, size in self.sizes.items():
-            seen = F.col(f"{c}_Index") < size
-            positions.append(F.when(seen, (start + F.col(f"{c}_Index")).cast("int")).otherwise(-1))
-            values.append(F.when(seen, 1.0).otherwise(0.0))
+            at = F.col(f"{c}_Index")
+            blocks[f"{c}_Vec"] = _sparse(size, F.when(at < size, F.array(_entry(at, F.lit(1.0)))).otherwise(none))
+            entries.append(F.when(at < size, _entry(start + at, F.lit(1.0))))
             start += size
         for i, c in enumerate(self.numeric):
-            value = F.col(c).cast("double")
-            positions.append(F.when(value != 0, start + i).otherwise(-1))
-            values.append(value)
-        return F.struct(
-            F.lit(0).cast("tinyint").alias("type"),
-            F.lit(start + len(self.numeric)).alias("size"),
-            F.array_remove(F.array(*positions), -1).alias("indices"),
-            F.array_remove(F.array(*values), 0.0).alias("values"),
-        )
+            value = _number(c)
+            entries.append(F.when(value != 0, _entry(start + i, value)))
+        # Positions and values stay together until the zeros are gone.
+        vector = _sparse(start + len(self.numeric), F.array_compact(F.array(*entries)))
+        ordered = _dense([*(F.col(f"{c}_Index") for c in self.categories), *(_number(c) for c in self.numeric)])
+        return indexed.withColumns({**blocks, "features": vector, "index_features": ordered})
 
     def save(self, path: str) -> None:
         spark = self.index.sparkSession
         layout = [(i, c, c in self.categories) for i, c in enumerate([*self.categories, *self.numeric])]
-        self.index.write.mode("overwrite").partitionBy("column").parquet(f"{path}/labels")
         columns = spark.createDataFrame(layout, "place int, column string, category boolean")
-        columns.coalesce(1).write.mode("overwrite").parquet(f"{path}/layout")
+        # The table may have been read from this very folder.
+        index = checkpointed(self.index)
+        empty_folder(spark, path)
+        index.write.partitionBy("column").parquet(f"{path}/labels")
+        columns.coalesce(1).write.parquet(f"{path}/layout")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> TableEncoder:
@@ -174,13 +197,14 @@ class TableEncoder:
 
 
 def encode(
-    df: DataFrame, model: PipelineModel | TableEncoder, source: DataFrame, hot_rows: int = HOT_ROWS
+    df: DataFrame, model: PipelineModel | TableEncoder, source: DataFrame | None = None, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """``model.transform(df)``. ``source`` has the categories of ``df`` and is cheaper to look for frequent labels in."""
     if not isinstance(model, TableEncoder):
         return model.transform(df)
-    wide = [c for c, size in model.sizes.items() if size > HOT_LIMIT]
-    return model.transform(df, frequent_labels(label_counts(source, wide), hot_rows) if wide else [])
+    wide = [c for c, size in model.sizes.items() if size > WIDE_LABELS]
+    frequent = frequent_labels(label_counts(source, wide), hot_rows) if wide and source is not None else None
+    return model.transform(df, frequent, hot_rows)
 
 
 def save_encoder(model: PipelineModel | TableEncoder, path: str) -> PipelineModel | TableEncoder:
@@ -193,19 +217,20 @@ def save_encoder(model: PipelineModel | TableEncoder, path: str) -> PipelineMode
 
 
 def load_encoder(spark: SparkSession, path: str) -> PipelineModel | TableEncoder:
-    """Load a fitted encoder of either kind."""
-    try:
-        return TableEncoder.load(spark, path)
-    except AnalysisException:
-        return PipelineModel.load(path)
+    """Load a fitted encoder of either kind: a table has a layout beside it."""
+    return TableEncoder.load(spark, path) if path_exists(spark, f"{path}/layout") else PipelineModel.load(path)
+
+
+_VECTOR_FIELDS = ["type", "size", "indices", "values"]
 
 
-def read_features(spark: SparkSession, path: str, vector: str = "features") -> DataFrame:
-    """A parquet table with a feature column, read as a vector column whichever encoder it comes from."""
+def read_features(spark: SparkSession, path: str) -> DataFrame:
+    """A parquet table with vectors, read as vector columns whichever encoder they come from."""
     df = spark.read.parquet(path)
-    if isinstance(df.schema[vector].dataType, VectorUDT):
+    plain = [f for f in df.schema.fields if getattr(f.dataType, "names", None) == _VECTOR_FIELDS]
+    if not plain:
         return df
-    fields = [StructField(f.name, VectorUDT()) if f.name == vector else f for f in df.schema.fields]
+    fields = [StructField(f.name, VectorUDT()) if f in plain else f for f in df.schema.fields]
     return spark.read.schema(StructType(fields)).parquet(path)
 
 
@@ -231,20 +256,21 @@ def fit_encoder(
     df: DataFrame,
     categories: Sequence[str] = CATEGORIES,
     numeric: Sequence[str] = tuple(GROUPS),
-    max_listed: int = MAX_LISTED,
     counts: DataFrame | None = None,
+    kind: str = "table",
 ) -> PipelineModel | TableEncoder:
     """Fit the encoder on the categories of ``df``; the numeric columns need not be there yet.
 
-    Labels are counted by a distributed aggregation (``counts``, if that is at hand). Up to ``max_listed`` of them are
-    brought to the driver and make a ``PipelineModel``; more are ranked where they are and make a ``TableEncoder``.
+    Labels are counted by a distributed aggregation (``counts``, if that is at hand) and ranked where they are. With
+    ``kind="pipeline"`` all of them are brought to the driver and make a ``PipelineModel``: the caller's choice.
     """
     if counts is None:
         counts = label_counts(df, categories)
-    listed = counts.limit(max_listed + 1).collect()
-    if len(listed) > max_listed:
+    if kind == "table":
         return TableEncoder(rank_labels(counts), tuple(categories), tuple(numeric))
-    ranked = sorted(listed, key=lambda r: (-r["n"], r["label"]))
+    if kind != "pipeline":
+        raise ValueError(f"unknown kind {kind!r}")
+    ranked = sorted(counts.collect(), key=lambda r: (-r["n"], r["label"]))
     indexers = [
         StringIndexerModel.from_labels(
             [r["label"] for r in ranked if r["column"] == c], inputCol=c, outputCol=f"{c}_Index", handleInvalid="keep"
@@ -255,9 +281,17 @@ def fit_encoder(
     return Pipeline(stages=[*indexers, *_after_index(categories, numeric)]).fit(df)
 
 
-def feature_rows(df: DataFrame, model: PipelineModel | TableEncoder, *kept: str) -> DataFrame:
-    """``kept`` columns, by default ``label``, and the feature vector."""
-    return model.transform(df).select(*(kept or ("label",)), "features")
+# The feature column by the name a caller asks for.
+FEATURES = {"onehot": "features", "indices": "index_features"}
+
+
+def feature_rows(
+    df: DataFrame, model: PipelineModel | TableEncoder, *kept: str, source: DataFrame | None = None, features: str = "onehot"
+) -> DataFrame:
+    """``kept`` columns, by default ``label``, and the feature vector as ``features``. ``source`` as in ``encode``."""
+    if features not in FEATURES:
+        raise ValueError(f"unknown features {features!r}")
+    return encode(df, model, source).select(*(kept or ("label",)), F.col(FEATURES[features]).alias("features"))
 
 
 def vector_entries(df: DataFrame, vector: str, *kept: str) -> DataFrame:
@@ -271,9 +305,12 @@ def vector_entries(df: DataFrame, vector: str, *kept: str) -> DataFrame:
     return df.select(*kept, F.inline(F.when(F.size(v["values"]) > 0, entries))).filter(F.col("value") != 0)
 
 
-def one_hot_long(df: DataFrame, model: PipelineModel, *kept: str, categories: Sequence[str] = CATEGORIES) -> DataFrame:
+def one_hot_long(
+    df: DataFrame, model: PipelineModel | TableEncoder, *kept: str, categories: Sequence[str] = CATEGORIES
+) -> DataFrame:
     """``kept`` columns, ``column``, ``position`` and ``value`` of the one-hot blocks; none for an unseen label."""
-    encoded = PipelineModel(model.stages[:-1]).transform(df)
+    model = replace(model, numeric=()) if isinstance(model, TableEncoder) else PipelineModel(model.stages[:-1])
+    encoded = model.transform(df)
     blocks = [F.struct(F.lit(c).alias("column"), F.col(f"{c}_Vec").alias("block")) for c in categories]
     long = encoded.select(*kept, F.inline(F.array(*blocks)))
     return vector_entries(long, "block", *kept, "column")

@@ -15,11 +15,6 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.tuning import ParamGridBuilder
 
-try:
-    from xgboost.spark import SparkXGBClassifier
-except ImportError:
-    SparkXGBClassifier = None
-
 # Settings of the boosted model, under their usual names.
 BOOSTED = {
     "objective": "binary:logistic",
@@ -45,24 +40,13 @@ GRIDS = {
 
 
 def boosted_trees(seed: int = BOOSTED["seed"]) -> Estimator:
-    """Gradient boosting with the settings of ``BOOSTED``.
+    """Gradient boosting by Spark's own boosted trees, with those settings of ``BOOSTED`` that have an equal there.
 
-    With the ``xgboost`` package those settings are used as they are. Without it Spark's own boosted trees stand in:
     ``eta`` is the step size, ``round`` the number of iterations, ``subsample`` and ``colsample_bytree`` the sampling of
-    rows and, per node, of features. Three have no equal there: ``min_child_weight`` is a sum of second derivatives, for
-    which the least number of rows per node is the nearest; ``colsample_bylevel`` and ``base_score`` are left out. Spark
-    also chooses splits by first-order gradients only, so scores differ from the package's.
+    rows and, per node, of features. Three have no equal: ``min_child_weight`` is a sum of second derivatives, for which the
+    least number of rows per node is the nearest; ``colsample_bylevel`` and ``base_score`` are left out. Spark also chooses
+    splits by first-order gradients only, so scores differ from those of second-order boosting.
     """
-    if SparkXGBClassifier is not None:
-        return SparkXGBClassifier(
-            learning_rate=BOOSTED["eta"],
-            n_estimators=GRIDS["boosted"]["round"][0],
-            num_workers=BOOSTED["nWorkers"],
-            random_state=seed,
-            label_col="label",
-            features_col="features",
-            **{k: v for k, v in BOOSTED.items() if k not in ("objective", "eta", "seed", "nWorkers")},
-        )
     return GBTClassifier(
         stepSize=BOOSTED["eta"],
         maxIter=GRIDS["boosted"]["round"][0],
@@ -81,6 +65,7 @@ class Classifier:
     make: Callable[[int], Estimator]
     grid: dict
     names: dict
+    seed: int = 0
 
     def param_grid(self, estimator: Estimator) -> list:
         """The cross product of the value lists, as parameter maps; one empty map if there is nothing to tune."""
@@ -90,19 +75,13 @@ class Classifier:
         return builder.build()
 
 
-_BOOSTED_NAMES = (
-    {"round": "maxIter", "eta": "stepSize"}
-    if SparkXGBClassifier is None
-    else {"round": "n_estimators", "eta": "learning_rate"}
-)
-
 REGISTRY: dict[str, Classifier] = {
     "dt": Classifier(lambda seed: DecisionTreeClassifier(seed=seed), {}, {}),
     "rf": Classifier(lambda seed: RandomForestClassifier(seed=seed), GRIDS["rf"], {}),
     "gbt": Classifier(lambda seed: GBTClassifier(maxIter=10, seed=seed), GRIDS["gbt"], {}),
     "lr": Classifier(lambda seed: LogisticRegression(maxIter=10), GRIDS["lr"], {}),
     "nb": Classifier(lambda seed: NaiveBayes(), GRIDS["nb"], {}),
-    "boosted": Classifier(lambda seed: boosted_trees(), GRIDS["boosted"], _BOOSTED_NAMES),
+    "boosted": Classifier(boosted_trees, GRIDS["boosted"], {"round": "maxIter", "eta": "stepSize"}, BOOSTED["seed"]),
 }
 
 

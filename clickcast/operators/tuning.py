@@ -62,8 +62,11 @@ def tune(
     if split != "hash":
         raise ValueError(f"unknown split {split!r}")
 
+    tenths = round(10 * ratio)
+    if abs(10 * ratio - tenths) > 1e-9:
+        raise ValueError(f"a hash split is to a tenth; {ratio} is not")
     # Other digits than a train/test split on the same key uses, so that the two are independent.
-    learn, check = (part.persist(StorageLevel.MEMORY_AND_DISK) for part in hash_split(train, key, round(10 * ratio), 1))
+    learn, check = (part.persist(StorageLevel.MEMORY_AND_DISK) for part in hash_split(train, key, tenths, 1))
     try:
         score = inheritable_thread_target(train.sparkSession)(
             lambda params: evaluator.evaluate(estimator.fit(learn, params).transform(check))
@@ -78,14 +81,15 @@ def tune(
 
 
 def fit(
-    train: DataFrame, algorithm: str, params: dict | None = None, seed: int = 0, persist: bool = True, **tuning
+    train: DataFrame, algorithm: str, params: dict | None = None, seed: int | None = None, persist: bool = True, **tuning
 ) -> Tuned | Model:
     """Fit a registered classifier on ``label, features``: with fixed ``params`` if given, else tuned over its grid.
 
-    With ``persist`` the training rows are kept in memory, or on disk where they do not fit, for the passes the fit makes
+    Without a ``seed`` the classifier's own is used. With ``persist`` the training rows are kept in memory, or on disk where they do not fit, for the passes the fit makes
     over them. Rows that are read from a file as they stand gain little from a second copy.
     """
     chosen = classifier(algorithm)
+    seed = chosen.seed if seed is None else seed
     estimator = chosen.make(seed)
     if persist:
         train = train.persist(StorageLevel.MEMORY_AND_DISK)

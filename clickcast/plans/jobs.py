@@ -1,7 +1,7 @@
 """The three batch jobs. Files under an output prefix are the only interface between them.
 
-``preprocess``  click log -> ``{out}_test``, ``{out}_train.parquet``, ``{out}_pipeline``, ``{out}_pipeline_model``,
-                ``{out}_labelfeatures.parquet``
+``preprocess``  click log -> ``{out}_split.parquet``, ``{out}_test``, ``{out}_train.parquet``, ``{out}_pipeline``,
+                ``{out}_pipeline_model``, ``{out}_labelfeatures.parquet``
 ``train``       those -> ``{out}_clicks.parquet``, ``{out}_tests.parquet``, ``{out}_predicts.parquet``
 ``evaluate``    predictions -> ``{out}_auroc``
 """
@@ -10,13 +10,14 @@ from __future__ import annotations
 
 from pyspark.ml import Model, PipelineModel
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from clickcast.functions import hash_split, prepare_clicks, random_split
+from clickcast.functions import in_first_tenths, prepare_clicks
 from clickcast.operators.counts import GROUPS, Groups, click_features, with_all_keys
 from clickcast.operators.encode import (
     CATEGORIES,
-    MAX_LISTED,
+    FEATURES,
     TableEncoder,
     encode,
     encoder,
@@ -30,6 +31,7 @@ from clickcast.operators.encode import (
 from clickcast.operators.evaluate import auroc_label, auroc_score
 from clickcast.operators.joins import HOT_ROWS
 from clickcast.operators.tuning import Tuned, fit
+from clickcast.session import path_exists
 from clickcast.sources import (
     read_clicks_csv,
     read_parquet,
@@ -51,22 +53,28 @@ def preprocess(
     groups: Groups = GROUPS,
     method: str = "split",
     hot_rows: int = HOT_ROWS,
-    max_listed: int = MAX_LISTED,
+    kind: str = "table",
 ) -> PipelineModel | TableEncoder:
     """Split a click log nine to one, fit the encoder on the larger part and write its label/feature table.
 
-    ``split="hash"`` splits on ``key``, a column of the log. The CSV is parsed once per side of the split; the training
-    side is kept as ``{out}_train.parquet`` and every later pass reads only the columns it needs of that.
+    ``split="hash"`` splits on ``key``, a column of the log, ``split="random"`` by a draw per row. The log is parsed once,
+    into ``{out}_split.parquet`` with a folder per side; every later pass reads only the columns it needs of that. ``kind``
+    is the encoder's (see ``fit_encoder``); the table encoder also writes ``index_features``.
     """
     raw = read_clicks_csv(spark, input, schema)
     if split == "hash":
-        train_part, test_part = hash_split(raw, key)
+        learn = in_first_tenths(key, 9)
     elif split == "random":
-        train_part, test_part = random_split(raw, seed=seed)
+        learn = F.rand(seed) < 0.9
     else:
         raise ValueError(f"unknown split {split!r}")
-    write_clicks_csv(test_part, f"{out}_test")
-    write_parquet(prepare_clicks(train_part).select(*CATEGORIES, "label"), f"{out}_train.parquet")
+    raw.withColumn("_side", F.when(learn, "train").otherwise("test")).write.mode("overwrite").partitionBy("_side").parquet(
+        f"{out}_split.parquet"
+    )
+    sides = {side: spark.read.schema(raw.schema).parquet(f"{out}_split.parquet/_side={side}") for side in written_sides(spark, out)}
+    empty = spark.createDataFrame([], raw.schema)
+    write_clicks_csv(sides.get("test", empty), f"{out}_test")
+    write_parquet(prepare_clicks(sides.get("train", empty)).select(*CATEGORIES, "label"), f"{out}_train.parquet")
     rows = read_parquet(spark, f"{out}_train.parquet")
 
     # The encoder is fitted on the rows the counts keep, which needs no counting. The same label counts name the
@@ -74,19 +82,25 @@ def preprocess(
     kept = with_all_keys(rows, groups)
     counts = label_counts(kept, CATEGORIES).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = fit_encoder(kept, numeric=tuple(groups), max_listed=max_listed, counts=counts)
+        model = fit_encoder(kept, numeric=tuple(groups), counts=counts, kind=kind)
         frequent = frequent_labels(counts, hot_rows)
+        model = save_encoder(model, f"{out}_pipeline_model")
     finally:
         counts.unpersist()
-    model = save_encoder(model, f"{out}_pipeline_model")
     encoder(numeric=tuple(groups)).write().overwrite().save(f"{out}_pipeline")
-    hot = [label for column, label in frequent if column == "ip"]
+    hot = frequent.filter(F.col("column") == "ip").select(F.col("label").alias("ip"))
     counted = click_features(rows, groups, method, hot=hot, hot_rows=hot_rows)
     encoded = model.transform(counted, frequent) if isinstance(model, TableEncoder) else model.transform(counted)
-    write_parquet(encoded.select("label", "features"), f"{out}_labelfeatures.parquet")
+    vectors = [c for c in FEATURES.values() if c in encoded.columns]
+    write_parquet(encoded.select("label", *vectors), f"{out}_labelfeatures.parquet")
     return model
 
 
+def written_sides(spark: SparkSession, out: str) -> list[str]:
+    """The sides of the split that have rows."""
+    return [side for side in ("train", "test") if path_exists(spark, f"{out}_split.parquet/_side={side}")]
+
+
 def train(
     spark: SparkSession,
     algorithm: str,
@@ -96,9 +110,12 @@ def train(
     out: str,
     schema=None,
     params: dict | None = None,
-    seed: int = 0,
+    seed: int | None = None,
     groups: Groups = GROUPS,
     counts_from: str | None = None,
+    features: str = "onehot",
+    method: str = "split",
+    hot_rows: int = HOT_ROWS,
     input_partitions: int | None = None,
     output_files: int | None = None,
     **tuning,
@@ -106,11 +123,14 @@ def train(
     """Fit one classifier, tuned over its grid unless ``params`` are given, and score the raw test split with it.
 
     The test split's counts are taken over the test split itself; ``counts_from``, the ``{out}_train.parquet`` of
-    ``preprocess``, takes them over the training clicks instead. ``input_partitions`` and ``output_files`` override
-    Spark's own choice. The decision tree also writes ``{out}_vectorized_test_data``, ``{out}_prediction`` and
+    ``preprocess``, takes them over the training clicks instead. ``features="indices"`` learns from label indices and
+    counts, as many numbers as there are columns, instead of a feature per label: for trees, which hold every row with one
+    number per feature. ``method`` and ``hot_rows`` are those of ``click_features``. ``input_partitions`` and
+    ``output_files`` override Spark's own choice. The decision tree also writes ``{out}_vectorized_test_data``, ``{out}_prediction`` and
     ``{out}_trained_dt_model``, and fails if one of them exists.
     """
-    rows = read_features(spark, labelfeatures)
+    vector = FEATURES[features]
+    rows = read_features(spark, labelfeatures).select("label", F.col(vector).alias("features"))
     if input_partitions is not None:
         rows = rows.repartition(input_partitions)
     model = load_encoder(spark, pipeline_model)
@@ -119,19 +139,19 @@ def train(
     write_parquet(prepared, f"{out}_clicks.parquet")
     clicks = read_parquet(spark, f"{out}_clicks.parquet")
     source = read_parquet(spark, counts_from) if counts_from is not None else None
-    counted = click_features(clicks, groups, counts_from=source)
+    counted = click_features(clicks, groups, method, counts_from=source, hot_rows=hot_rows)
 
     # The test features are written first and scored from the file: their counts are computed once.
-    encoded = encode(counted, model, clicks)
+    encoded = encode(counted, model, clicks, hot_rows)
     if algorithm == "dt":
         write_parquet(encoded, f"{out}_vectorized_test_data", mode="errorifexists")
         encoded = read_parquet(spark, f"{out}_vectorized_test_data")
-    write_parquet(encoded.select("label", "features"), f"{out}_tests.parquet", files=output_files)
-    features = read_features(spark, f"{out}_tests.parquet")
+    write_parquet(encoded.select("label", F.col(vector).alias("features")), f"{out}_tests.parquet", files=output_files)
+    tests = read_features(spark, f"{out}_tests.parquet")
 
     fitted = fit(rows, algorithm, params, seed, persist=input_partitions is not None, **tuning)
     best = fitted.model if isinstance(fitted, Tuned) else fitted
-    write_parquet(best.transform(features), f"{out}_predicts.parquet", files=output_files)
+    write_parquet(best.transform(tests), f"{out}_predicts.parquet", files=output_files)
     if algorithm == "dt":
         write_predictions_csv(read_parquet(spark, f"{out}_predicts.parquet"), f"{out}_prediction")
         best.save(f"{out}_trained_dt_model")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -33,9 +34,10 @@ def shared_dir(spark: SparkSession) -> str:
     Only where that setting is absent and the session is local does a temporary folder stand in for it.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    local = re.match(r"local(\[|$)", spark.sparkContext.master) is not None
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not local:
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     path = tempfile.mkdtemp(prefix="clickcast-")
     spark.sparkContext.setCheckpointDir(path)
@@ -60,3 +62,20 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """``df.checkpoint()`` with the checkpoint folder in place."""
     use_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def _hadoop(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, in whichever store the path names."""
+    store, place = _hadoop(spark, path)
+    return store.exists(place)
+
+
+def empty_folder(spark: SparkSession, path: str) -> None:
+    """Remove what an earlier run has written to ``path``."""
+    store, place = _hadoop(spark, path)
+    store.delete(place, True)
