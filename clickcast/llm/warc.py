@@ -171,7 +171,8 @@ def write_archives(
         shard = F.coalesce(F.pandas_udf(shard_of, "int")(F.coalesce("id", F.lit(-(2**63)))), F.lit(0))
     else:
         shard = F.pandas_udf(shard_of, "int")("id")
-    rows = rows.withColumn("shard", shard).repartition(max(1, len(bounds.value) + 1), "shard")
+    # By range, not by hash: as many ranges as shards, so that shards do not meet by chance.
+    rows = rows.withColumn("shard", shard).repartitionByRange(len(bounds.value) + 1, "shard")
     rows = rows.sortWithinPartitions("shard", F.col("id").asc_nulls_first(), "kind", "digest")
     rows = rows.select(F.col("id").cast("string").alias("id"), "url", "html", "digest", "target", "shard")
     manifest = rows.mapInArrow(lambda batches: _write_shards(folder, roll_bytes, date, batches), MANIFEST)
