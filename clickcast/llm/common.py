@@ -40,6 +40,18 @@ def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Keys that are sent to all rows that they select, some 100 MB at most.
+BROADCAST_ROWS = 2_000_000
+
+
+def sent_if_few(keys: DataFrame) -> DataFrame:
+    """``keys``, which must be at hand and narrow: to be broadcast if they are few, else left to a shuffle.
+
+    A join that only selects rows then moves no text in the usual case.
+    """
+    return F.broadcast(keys) if keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else keys
+
+
 def numbered(df: DataFrame, order: Sequence[Column], number: str) -> DataFrame:
     """``df`` with ``number``, 0, 1, 2, ... in ``order``, by a range-partitioned sort; no task sees more than its share.
 

@@ -26,7 +26,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickcast.llm.common import fresh_prefix, lower_ascii, split_words, written
+from clickcast.llm.common import fresh_prefix, lower_ascii, sent_if_few, split_words, written
 
 WINDOW = 10
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -167,7 +167,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col="doc_id",
     """The documents without a hit, with their own columns."""
     found = contamination(docs, benchmark, id_col=id_col, text_col=text_col, **options)
     p = fresh_prefix(docs)
-    found = found.select(F.col("key").alias(p + "found"))
+    found = sent_if_few(written(found.select(F.col("key").alias(p + "found")), "leak-found"))
     text = F.col(text_col)
     key = F.struct(F.col(id_col).alias("id"), F.xxhash64(text).alias("hash"), F.length(text).alias("length"))
     return docs.withColumn(p + "key", key).join(found, F.col(p + "key").eqNullSafe(F.col(p + "found")), "left_anti").select(*docs.columns)

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickcast.llm.common import fresh_prefix, lower_ascii, split_words
+from clickcast.llm.common import fresh_prefix, lower_ascii, sent_if_few, split_words
 from clickcast.llm.common import written as written_as
 
 SHINGLE = 3
@@ -49,8 +49,6 @@ PRUNE = 10.0
 LEAST_EQUAL = 44
 # Members of a chunk, and shingles of all its members together, at most.
 CHUNK, CHUNK_SHINGLES = 1024, 2_000_000
-# Ids that are broadcast to find their texts, some 50 MB at most.
-BROADCAST_IDS = 2_000_000
 # Elements hashed at a time; their intermediate values stay in the processor's cache.
 BLOCK = 16_384
 
@@ -379,10 +377,7 @@ class _Search:
         """``node, shingles, n_shingles`` of the given classes: their full sets, made anew for one document of each."""
         nodes = written(nodes.join(self.classes.select("node", "id", "n_shingles"), "node"), "dup-nodes")
         wanted = nodes.select(F.col("id").alias("wanted")).distinct()
-        # Up to a bounded number of ids are sent to the texts; for more, the texts are shuffled to the ids.
-        if nodes.count() <= BROADCAST_IDS:
-            wanted = F.broadcast(wanted)
-        texts = self.docs.join(wanted, F.col("id").eqNullSafe(F.col("wanted")), "left_semi")
+        texts = self.docs.join(sent_if_few(wanted), F.col("id").eqNullSafe(F.col("wanted")), "left_semi")
         sets = texts.select(_word_hashes()).mapInArrow(partial(_set_batches, self.size), "node long, shingles array<long>")
         return written(sets.join(nodes.select("node", "n_shingles"), "node").dropDuplicates(["node"]), "dup-sets")
 
@@ -444,4 +439,5 @@ def drop_near_duplicates(docs: DataFrame, *, id_col="doc_id", text_col="text", *
     found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
     p = fresh_prefix(docs)
     gone = found.filter(~F.col("kept")).select(F.col(id_col).alias(p + "gone")).distinct()
+    gone = sent_if_few(written(gone, "dup-gone"))
     return docs.join(gone, F.col(id_col).eqNullSafe(F.col(p + "gone")), "left_anti")
