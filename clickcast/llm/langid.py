@@ -85,7 +85,8 @@ class LanguageModel:
 
     def predict(self, text: str | None) -> tuple[str, float]:
         words = letter_words(text)
-        if not words or not self.languages:
+        # The words may be of digits that only look like letters to the pattern, such as raised ones.
+        if not words or not self.languages or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0
         seen, unseen, known = [], [], self.words.get
         for word in words:

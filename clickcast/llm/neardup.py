@@ -4,7 +4,7 @@ A document's set is its distinct word shingles. Sets that are equal become one c
 aggregation however many there are. Each class has a SetSketch: ``REGISTERS`` registers, each the exponentially spaced,
 truncated minimum of an exponential hash over the set; the sketch of a union is the registers' maxima. Registers of two
 sets are equal with a probability near their Jaccard similarity, so bands of registers, equal as a whole, name the
-candidates: with 20 bands of 4, a pair at similarity 0.85 is missed with probability (1 - 0.85^4)^20 = 4e-7. For a
+candidates: with 20 bands of 4, a pair at similarity 0.8 is missed with probability (1 - 0.8^4)^20 = 3e-5, at 0.85 4e-7. For a
 candidate pair the similarity is estimated by maximum likelihood from how many registers are greater, equal and less,
 jointly with the known set sizes; far too dissimilar pairs go, every other pair is verified on the full sets.
 
@@ -36,17 +36,18 @@ from pyspark.sql import functions as F
 from clickcast.llm.common import fresh_prefix, lower_ascii, sent_if_few, split_words
 from clickcast.llm.common import written as written_as
 
-SHINGLE = 3
-MIN_SHARED, OF = 85, 100
+# Words of a shingle, and the similarity from which documents are linked, as a fraction.
+SHINGLE = 5
+MIN_SHARED, OF = 80, 100
 BANDS, ROWS = 20, 4
 REGISTERS = BANDS * ROWS
 # SetSketch parameters: base of the spacing, rate of the exponential hash, largest register.
 BASE, RATE, TOP = 1.001, 20.0, 65535
 # A pair is verified unless the likelihood of its estimate exceeds that of the threshold by this factor's logarithm.
 PRUNE = 10.0
-# Pairs with fewer equal registers are not worth an estimate: of 80, 68 are expected at a similarity of 0.85, and fewer
-# than 44 have a probability of 1e-9.
-LEAST_EQUAL = 44
+# Pairs with fewer equal registers are not worth an estimate: of 80, 64 are expected at a similarity of 0.8, and fewer
+# than 40 have a probability of some 1e-8.
+LEAST_EQUAL = 40
 # Members of a chunk, and shingles of all its members together, at most.
 CHUNK, CHUNK_SHINGLES = 1024, 2_000_000
 # Elements hashed at a time; their intermediate values stay in the processor's cache.

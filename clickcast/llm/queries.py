@@ -31,7 +31,7 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = neardup.near_duplicates(_table(spark, sf_dir, "documents"))
+    found = neardup.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, min_shared=85, of=100)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
