@@ -44,15 +44,25 @@ def _key(id_col: str, text_col: str) -> Column:
     return F.struct(F.col(id_col).alias("id"), F.xxhash64(text).alias("hash"), F.length(text).alias("length"))
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``key, at, words, leaf`` of every line that is long enough."""
+def _leaf(words: Column) -> Column:
+    return F.xxhash64(F.size(words), F.transform(F.slice(words, 1, LEADING), _masked))
+
+
+def _leaves(docs: DataFrame, text_col: str) -> DataFrame:
+    """``leaf`` of every line that is long enough."""
     # Lines are cut into words before they become rows, and the outer form is used: in any other order Spark moves the
     # filter below the projection and cuts every line twice.
     cut = F.transform(F.split(F.col(text_col), "\n"), lambda line: split_words(line))
-    lines = docs.select(_key(id_col, text_col).alias("key"), F.posexplode_outer(cut).alias("at", "words"))
-    lines = lines.filter(F.size("words") >= LEAST_WORDS)
-    leading = F.transform(F.slice("words", 1, LEADING), _masked)
-    return lines.withColumn("leaf", F.xxhash64(F.size("words"), leading))
+    lines = docs.select(F.explode_outer(cut).alias("words")).filter(F.size("words") >= LEAST_WORDS)
+    return lines.select(_leaf(F.col("words")).alias("leaf"))
+
+
+def _lines_of(docs: DataFrame, leaves: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``key, at, words, leaf`` of the lines in ``leaves``, which has none for short lines."""
+    lines = docs.select(_key(id_col, text_col).alias("key"), F.posexplode_outer(F.split(F.col(text_col), "\n")).alias("at", "line"))
+    lines = lines.withColumn("words", split_words(F.col("line"))).withColumn("leaf", _leaf(F.col("words"))).drop("words")
+    # The words of the few lines that are left are cut again rather than carried through the join by all.
+    return lines.join(leaves, "leaf").select("key", "at", split_words(F.col("line")).alias("words"), "leaf")
 
 
 def _families(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -77,10 +87,9 @@ def _variable_places(lines: DataFrame) -> DataFrame:
 
 def recurring_lines(docs: DataFrame, *, id_col="doc_id", text_col="text", least_docs: int = LEAST_DOCS) -> DataFrame:
     """``key, at``: the places of the lines to drop, by document (id, and hash and length of the text)."""
-    lines = _lines(docs, id_col, text_col)
-    leaves = lines.groupBy("leaf").agg(F.count("*").alias("lines")).filter(F.col("lines") >= least_docs)
+    leaves = _leaves(docs, text_col).groupBy("leaf").agg(F.count("*").alias("lines")).filter(F.col("lines") >= least_docs)
     leaves = written(leaves.select("leaf"), "lines-leaves")
-    kept = written(lines.join(leaves, "leaf"), "lines-kept")
+    kept = written(_lines_of(docs, leaves, id_col, text_col), "lines-kept")
     variable = written(_variable_places(kept), "lines-variable")
     placed = kept.join(variable, "leaf", "left")
     variable = F.coalesce("variable", F.array().cast("array<int>"))
@@ -107,7 +116,9 @@ def _joined(docs: DataFrame, p: str, id_col: str, text_col: str, least_docs: int
     found = recurring_lines(docs, id_col=id_col, text_col=text_col, least_docs=least_docs)
     # A document has as many rows here as it has lines to drop.
     found = found.groupBy("key").agg(F.collect_set("at").alias("at")).select(F.col("key").alias(p + "found"), F.col("at").alias(p + "at"))
-    joined = docs.withColumn(p + "key", _key(id_col, text_col)).join(written(found, "lines-found"), F.col(p + "key") == F.col(p + "found"), "left")
+    # What is found grows with the documents, so it is never broadcast: the plan is the same at every size.
+    found = written(found, "lines-found").hint("merge")
+    joined = docs.withColumn(p + "key", _key(id_col, text_col)).join(found, F.col(p + "key") == F.col(p + "found"), "left")
     gone = F.coalesce(p + "at", F.array().cast("array<int>"))
     left = F.array_join(F.filter(F.split(F.col(text_col), "\n"), lambda line, i: ~F.array_contains(gone, i)), "\n")
     return joined.withColumns({p + "gone": gone, p + "left": F.when(F.size(gone) > 0, left).otherwise(F.col(text_col))})
