@@ -19,7 +19,8 @@ in a band, yet not linked.
 
 Defined results: null, empty or blank texts have an empty set, no link, and stand for themselves; documents that share an
 id and differ in text each have their own set, and stand and fall with their components; a null id never names a
-component that has another id. Sets are of 64-bit hashes of shingles.
+component that has another id. Sets are of 64-bit hashes of shingles. ``drop_near_duplicates`` knows rows by id and text
+and keeps one row of each component.
 """
 
 from __future__ import annotations
@@ -436,9 +437,27 @@ def near_duplicates(
 
 
 def drop_near_duplicates(docs: DataFrame, *, id_col="doc_id", text_col="text", **options) -> DataFrame:
-    """The documents that stay, one id per component, with their own columns."""
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
+    """The documents that stay, one row per component, with their own columns.
+
+    A row is known by its id and the hash and length of its text, so neither null nor shared ids take other rows along. Of
+    a component the row with the smallest id stays (null after all others, then by hash and length); of rows that have
+    its id and text too, the one whose columns come first. Documents without a word stand for themselves and all stay.
+    """
     p = fresh_prefix(docs)
-    gone = found.filter(~F.col("kept")).select(F.col(id_col).alias(p + "gone")).distinct()
-    gone = sent_if_few(written(gone, "dup-gone"))
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col(p + "gone")), "left_anti")
+    text = F.col(text_col)
+    key = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.xxhash64(text).alias("hash"), F.length(text).alias("length"))
+    found = near_duplicates(docs.select(key.alias("id"), text.alias("text")), id_col="id", text_col="text", **options)
+    found = written(found.filter("node is not null").select(F.col("id").alias(p + "found"), "kept"), "dup-rows")
+    gone = sent_if_few(written(found.filter("not kept").select(p + "found").distinct(), "dup-gone"))
+    again = found.filter("kept").groupBy(p + "found").agg(F.count("*").alias("n")).filter("n > 1").select(p + "found")
+    again = written(again, "dup-again")
+    same = F.col(p + "key").eqNullSafe(F.col(p + "found"))
+    stay = docs.withColumn(p + "key", key).join(gone, same, "left_anti")
+    if again.isEmpty():
+        return stay.select(*docs.columns)
+    again = sent_if_few(again)
+    # Maps have no order.
+    order = [c for c, kind in docs.dtypes if "map<" not in kind and c != text_col]
+    first = F.min_by(F.struct(*docs.columns), F.struct(*order)).alias(p + "row")
+    repeated = stay.join(again, same, "left_semi").groupBy(p + "key").agg(first).select(p + "row.*")
+    return stay.join(again, same, "left_anti").select(*docs.columns).unionByName(repeated)
