@@ -1,6 +1,6 @@
 """Licence scan: a paragraph classifier with an unknown class, confirmed by comparison with templates.
 
-Paragraphs are lines. Their features are which word n-grams of one to three words they contain, digits made equal. A
+Paragraphs are lines, and runs of neighbouring lines for notices that are wrapped: see ``find``. Their features are which word n-grams of one to three words they contain, digits made equal. A
 multinomial logistic regression with an L1 penalty is trained by Spark on variants of the templates of each family
 (words dropped, prose around them) and, as the unknown class, on paragraphs of the documents and on sentences that use
 the same words otherwise. N-grams that ordinary paragraphs contain are no features, so nearly every paragraph has none,
@@ -9,8 +9,8 @@ fitted on variants that were kept from the training, calibrates the probabilitie
 than unknown by ``LEAST_PROBABILITY`` and one of its templates is contained in the paragraph to ``LEAST_CONTAINED`` of
 its word triples.
 
-The fit reads about ``SAMPLE_PARAGRAPHS`` paragraphs, chosen by a hash of their text. Every paragraph of every document is
-classified.
+The fit reads about ``SAMPLE_PARAGRAPHS`` paragraphs, chosen by a hash of their text. Every line of every document is
+classified, and every run of lines that a template is spread over.
 
 Defined results: null, empty and blank texts have no paragraphs and no families; every row is scanned by itself; without
 documents the model is trained on the templates and sentences alone.
@@ -180,15 +180,72 @@ def fit(spark: SparkSession, docs: DataFrame, *, text_col="text", sample=SAMPLE_
     return model
 
 
+def _window(hits: list[tuple[int, int, tuple]], template: set[tuple]) -> tuple[int, int, int]:
+    """How many triples of a template stand close together at most, and the places of the first and last in ``hits``.
+
+    Close together is within twice the template's length.
+    """
+    best, counts, low = (0, 0, 0), {}, 0
+    for high, (at, _, triple) in enumerate(hits):
+        counts[triple] = counts.get(triple, 0) + 1
+        # What is too far away goes, and what comes again later.
+        while at - hits[low][0] > 2 * len(template) or counts[hits[low][2]] > 1:
+            counts[hits[low][2]] -= 1
+            if not counts[hits[low][2]]:
+                del counts[hits[low][2]]
+            low += 1
+        if len(counts) > best[0]:
+            best = (len(counts), low, high)
+    return best
+
+
+def _wrapped(model: LicenceModel, lines: list[tuple[int, str]]) -> Iterator[tuple[int, int, str, float]]:
+    """Notices that are spread over neighbouring lines (start and text), none of which is one by itself."""
+    if len(lines) < 2:
+        return
+    words, of_line = [], []
+    for i, (_, line) in enumerate(lines):
+        made = paragraph_words(line)
+        words += made
+        of_line += [i] * len(made)
+    if model.words.isdisjoint(words):
+        return
+    triples = list(zip(words, words[1:], words[2:]))
+    runs = set()
+    for template in (t for templates in model.templates.values() for t in templates):
+        hits = [(at, of_line[at], triple) for at, triple in enumerate(triples) if triple in template]
+        if len(hits) >= LEAST_CONTAINED * len(template):
+            n, low, high = _window(hits, template)
+            if n >= LEAST_CONTAINED * len(template):
+                runs.add((-n, hits[low][1], of_line[hits[high][0] + 2]))
+    # The run with the most triples first; the lines before and after it may hold others.
+    for _, first, last in sorted(runs):
+        family, p = model.classify("\n".join(line for _, line in lines[first : last + 1]))
+        if family != UNKNOWN:
+            yield from _wrapped(model, lines[:first])
+            yield lines[first][0], lines[last][0] + len(lines[last][1]), family, p
+            yield from _wrapped(model, lines[last + 1 :])
+            return
+
+
 def find(model: LicenceModel, text: str | None) -> list[tuple[int, int, str, float]]:
-    """``start, end, family, probability`` of the licence paragraphs of a text."""
-    found, start = [], 0
+    """``start, end, family, probability`` of the licence paragraphs of a text.
+
+    A line that is a notice is a paragraph. Of the other lines, those between blank lines and such notices are searched for
+    runs that hold a template; the paragraph is the lines on which it stands.
+    """
+    found, start, block = [], 0, []
     for line in (text or "").split("\n"):
         family, p = model.classify(line)
+        if family != UNKNOWN or not line.strip():
+            found += _wrapped(model, block)
+            block = []
+        else:
+            block.append((start, line))
         if family != UNKNOWN:
             found.append((start, start + len(line), family, p))
         start += len(line) + 1
-    return found
+    return [*found, *_wrapped(model, block)]
 
 
 def scan(docs: DataFrame, model: LicenceModel, *, id_col="doc_id", text_col="text") -> DataFrame:
