@@ -7,8 +7,10 @@ A template must keep ``LEAST_FIXED`` of its words; a line of a leaf whose lines
 with its digits as wildcards. Templates that recur in ``LEAST_DOCS`` documents or more are dropped, wherever they stand.
 
 Copies of a document repeat all its lines, but that is no boilerplate, and near-duplicate detection needs them. So a
-document has a family, the smallest hash of its long words, which copies and near copies mostly share, and a template
-recurs only if it is in ``LEAST_DOCS - 1`` documents, and a quarter of all it is in, besides those of its largest family.
+document has a family, its component of documents whose sets of word shingles have a similarity of ``FAMILY_SHARED`` in
+``FAMILY_OF`` (see ``neardup``), and a template recurs only if it is in ``LEAST_DOCS - 1`` documents, and a quarter of
+all it is in, besides those of its largest family. A passage that unrelated documents share makes them no family unless
+it is most of their text. Families are sought among the documents with a template that is in ``LEAST_DOCS`` documents.
 
 Leaves with fewer lines than ``LEAST_DOCS`` cannot recur and are left out before any line is shuffled. Everything is
 counted by aggregations; no line, leaf or template is ever brought together with all its documents.
@@ -23,7 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickcast.llm.common import fresh_prefix, split_words, written
+from clickcast.llm.common import fresh_prefix, sent_if_few, split_words, written
+from clickcast.llm.neardup import near_duplicates
 
 LEADING = 3
 LEAST_WORDS = 4
@@ -31,7 +34,8 @@ LEAST_DOCS = 5
 LEAST_FIXED = 0.5
 # A place is variable if its different words are more than this share of the leaf's lines, and more than MOST_NAMED.
 VARIABLE_SHARE, MOST_NAMED = 0.1, 4
-LONG_WORD = 8
+# Similarity from which documents are of one family, as a fraction.
+FAMILY_SHARED, FAMILY_OF = 60, 100
 WILDCARD = "<*>"
 
 
@@ -67,12 +71,9 @@ def _lines_of(docs: DataFrame, leaves: DataFrame, id_col: str, text_col: str) ->
 
 def _families(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``key, family`` of every document."""
-    long_words = F.filter(split_words(F.col(text_col)), lambda w: F.length(w) >= LONG_WORD)
-    smallest = F.array_min(F.transform(long_words, lambda w: F.xxhash64(w)))
-    rows = docs.filter(F.col(text_col).isNotNull()).select(
-        _key(id_col, text_col).alias("key"), F.coalesce(smallest, F.xxhash64(text_col)).alias("family")
-    )
-    return rows.distinct()
+    rows = docs.filter(F.col(text_col).isNotNull()).select(_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
+    found = near_duplicates(rows, id_col="key", text_col="text", min_shared=FAMILY_SHARED, of=FAMILY_OF)
+    return found.select("key", F.xxhash64("component_id").alias("family")).distinct()
 
 
 def _variable_places(lines: DataFrame) -> DataFrame:
@@ -103,7 +104,11 @@ def recurring_lines(docs: DataFrame, *, id_col="doc_id", text_col="text", least_
     by_doc = placed.select("template", "key").distinct()
     often = by_doc.groupBy("template").agg(F.count("*").alias("docs")).filter(F.col("docs") >= least_docs).select("template")
     often = written(often, "lines-often")
-    members = by_doc.join(often, "template").join(_families(docs, id_col, text_col), "key")
+    members = written(by_doc.join(often, "template"), "lines-members")
+    p = fresh_prefix(docs)
+    wanted = sent_if_few(written(members.select(F.col("key").alias(p + "wanted")).distinct(), "lines-wanted"))
+    alike = docs.join(wanted, _key(id_col, text_col).eqNullSafe(F.col(p + "wanted")), "left_semi")
+    members = members.join(_families(alike, id_col, text_col), "key")
     families = members.groupBy("template", "family").agg(F.count("*").alias("n"))
     totals = families.groupBy("template").agg(F.sum("n").alias("docs"), F.max("n").alias("largest"))
     besides = F.col("docs") - F.col("largest")
