@@ -9,8 +9,9 @@ distribution is rejected. Length is no statistic here: a long document is no out
 
 Every step is a pair of aggregations over all documents, for all groups at once: a histogram of distances per group, from
 which the limit of the central part follows, and sums and products of the vectors within it. No group is ever brought
-together, so one group may hold most of the documents. Groups of fewer than ``LEAST_DOCS`` documents are pooled by
-language; what is thin even then is judged by the base rule alone.
+together, so one group may hold most of the documents. Groups of fewer than ``LEAST_DOCS`` documents are measured
+against the estimate over their whole language, all its sources included, and documents of a language that is thin even
+then against the estimate over all documents, however few. So every document that passes the base rule is judged.
 
 Variances have a floor, ``LEAST_DEVIATION`` squared, as in many groups most documents agree exactly in some statistic,
 and a statistic without spread would reject every document that differs at all.
@@ -44,6 +45,8 @@ CUTOFF = 0.999
 NEUTRAL = 20
 # Bins of the logarithm of the squared distance.
 BINS_PER_UNIT = 64
+# The group of all documents; names of languages and sources are empty or begin otherwise.
+ALL = "*"
 SIZE = 6
 
 
@@ -143,7 +146,11 @@ def _starts(rows: DataFrame) -> DataFrame:
 
 
 def judge(docs: DataFrame, *, id_col="doc_id", text_col="text", lang_col="lang", source_col="source") -> DataFrame:
-    """Per document: id, the counts, ``base_failed``, ``distance`` (squared; null if not judged) and ``kept``."""
+    """Per document: id, the counts, ``base_failed``, ``distance`` and ``kept``.
+
+    ``distance`` is squared, from the estimate of the language (and source); it is null where the base rule fails and
+    where the language has no estimate of its own, so that ``kept`` follows the estimate over all documents.
+    """
     rows = docs.select(
         F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(source_col).cast("string").alias("source"), F.col(text_col).alias("text")
     )
@@ -157,14 +164,17 @@ def judge(docs: DataFrame, *, id_col="doc_id", text_col="text", lang_col="lang",
     # A group's name tells nulls from texts: null gives no text between the marks.
     lang = F.coalesce(F.concat(F.lit("="), "lang"), F.lit(""))
     full = F.concat_ws("\x00", lang, F.coalesce(F.concat(F.lit("="), "source"), F.lit("")))
-    sizes = made.filter("not base_failed").groupBy(full.alias("full")).agg(F.count("*").alias("size"))
-    thin = sizes.filter(F.col("size") < LEAST_DOCS).select("full", F.lit(True).alias("thin"))
-    grouped = made.withColumn("full", full).join(thin, "full", "left")
-    grouped = grouped.withColumn("g", F.when(F.col("thin"), lang).otherwise(F.col("full"))).drop("full", "thin", "lang", "source")
-    grouped = written(grouped, "rules-grouped")
-    rows = grouped.filter("not base_failed").select("g", "x")
-    enough = rows.groupBy("g").agg(F.count("*").alias("size")).filter(F.col("size") >= LEAST_DOCS).select("g")
-    models = _starts(rows.join(enough, "g", "left_semi"))
+    named = made.withColumns({"full": full, "whole": lang}).drop("lang", "source")
+    sizes = named.filter("not base_failed").groupBy("full", "whole").agg(F.count("*").alias("size"))
+    sizes = sizes.join(sizes.groupBy("whole").agg(F.sum("size").alias("of_whole")), "whole")
+    g = F.when(F.col("size") >= LEAST_DOCS, F.col("full")).when(F.col("of_whole") >= LEAST_DOCS, F.col("whole")).otherwise(ALL)
+    groups = written(sizes.select("full", g.alias("g")), "rules-groups")
+    grouped = written(named.join(groups, "full", "left"), "rules-grouped")
+    # A document is part of every estimate that its source, its language or all documents need.
+    parts = F.explode(F.array("full", "whole", F.lit(ALL))).alias("g")
+    rows = grouped.filter("not base_failed").select(parts, "x").join(groups.select("g").distinct(), "g", "left_semi")
+    rows = written(rows, "rules-vectors")
+    models = _starts(rows)
     for step in range(STEPS):
         near = _with_distances(rows, models)
         near = near.join(_limits(near, {"most": COVERAGE}), "g").filter(F.col("b") <= F.col("most"))
@@ -174,5 +184,5 @@ def judge(docs: DataFrame, *, id_col="doc_id", text_col="text", lang_col="lang",
     kept = ~F.col("base_failed") & (F.coalesce(distance, F.lit(0.0)) <= chi2_quantile(CUTOFF))
     return judged.select(
         F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        distance.alias("distance"), kept.alias("kept"),
+        F.when(F.col("g") != ALL, distance).alias("distance"), kept.alias("kept"),
     )
