@@ -13,7 +13,7 @@ together, so one group may hold most of the documents. Groups of fewer than ``LE
 against the estimate over their whole language, all its sources included, and documents of a language that is thin even
 then against the estimate over all documents, however few. So every document that passes the base rule is judged.
 
-Variances have a floor, ``LEAST_DEVIATION`` squared, as in many groups most documents agree exactly in some statistic,
+To all variances ``LEAST_DEVIATION`` squared is added, as in many groups most documents agree exactly in some statistic,
 and a statistic without spread would reject every document that differs at all.
 
 Defined results: null and empty texts have no words and fail the base rule; a null language or source is a value of its
