@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickcast.llm import decontaminate, langid, licenses, linededup, mixing, neardup, quality, rules, secrets, warc
-from clickcast.llm.common import held_out
+from clickcast.llm import conversations, decontaminate, langid, licenses, linededup, mixing, neardup, quality, rules, runs, secrets
+from clickcast.llm import sharding, warc
+from clickcast.llm.common import held_out, split_words
 from clickcast.session import scratch_path
 
 
@@ -72,6 +73,66 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
 
 
+def _with_repeats(docs: DataFrame) -> DataFrame:
+    """The texts of a tenth of the documents, by their id's hash, made periodic from some word on."""
+    hashed = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    words, g = split_words(F.col("text")), F.floor(hashed / 10)
+    n = F.size(words)
+    a = F.pmod(g, F.greatest(n, F.lit(1))).cast("int")
+    p = 1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8)))).cast("int")
+    again = F.array_repeat(F.slice(words, a + 1, p), F.ceil((n - a) / p).cast("int"))
+    periodic = F.array_join(F.slice(F.concat(F.slice(words, F.lit(1), a), F.flatten(again)), F.lit(1), n), " ")
+    return docs.select("doc_id", F.when(hashed % 10 == 0, periodic).otherwise(F.col("text")).alias("text"))
+
+
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(_with_repeats(_table(spark, sf_dir, "documents")))
+    # Of runs with as many periods the first of the list counts: it starts first, or has the smaller period.
+    more = lambda best, r: best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"])
+    none = F.lit(None).cast("struct<start:long,length:long,period:long>")
+    best = F.aggregate("runs", none, lambda b, r: F.when(more(b, r), r).otherwise(b))
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    return found.withColumn("best", best).select(
+        F.col("id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def _damaged(turns: DataFrame) -> DataFrame:
+    """Rows dropped, emptied, cut, repeated or given to the user by the hash of conversation and turn."""
+    named = F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")))
+    rows = turns.withColumn("h", F.crc32(named.cast("binary")) % 20).filter("h <> 0")
+    text, role = (F.coalesce(F.col(c), F.lit(" ")) for c in ("text", "role"))
+    cut = F.when(F.col("h") == 1, "").when(F.col("h") == 2, F.translate(text, ".!?", "")).otherwise(text)
+    times = F.when(F.col("h") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    changed = F.when(F.col("h") == 4, "user").otherwise(role)
+    return rows.select("conv_id", "turn", changed.alias("role"), cut.alias("text"), F.explode(times).alias("copy")).drop("copy")
+
+
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations")
+    repair = conversations.find_repair(_damaged(turns))
+    sums = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    texts = ("audit", "repaired_sha256")
+    # A row of each kind per conversation, put together by one aggregation; conversations without rows have only their id.
+    kinds = (conversations.report(repair), conversations.digests(repair), turns.select(F.struct(F.col("conv_id").alias("id")).alias("conv")).distinct())
+    both = kinds[0].unionByName(kinds[1], allowMissingColumns=True).unionByName(kinds[2], allowMissingColumns=True)
+    whole = both.groupBy("conv").agg(*(F.max(c).alias(c) for c in (*sums, *texts)))
+    return whole.select(
+        F.col("conv.id").alias("conv_id"), *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in sums),
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
+def op13_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = sharding.write_shards(_table(spark, sf_dir, "documents"), scratch_path(spark, "shards"))
+    rows = sharding.read_shards(spark, made)
+    none = F.lit(None).cast("int")
+    return rows.select("row.doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", none.alias("grown_shard"))
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op2_secrets": op2_secrets,
@@ -83,4 +144,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_quality": op9_quality,
     "op10_lines": op10_lines,
+    "op11_runs": op11_runs,
+    "op12_conversations": op12_conversations,
+    "op13_shards": op13_shards,
 }
