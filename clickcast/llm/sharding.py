@@ -173,7 +173,12 @@ def find_splitters(
             alone = new_high[2] - new_low[2] <= (new_low[0] != BEGIN)
             if alone or new_high[1] - target <= near[g] or (old_low[0], old_high[0]) in exhausted:
                 open_.remove(g)
-    return Splitters(tuple(around[g][1][0] for g in sorted(around)), ranges, turn)
+    # A boundary done early may stand above a later one, which then serves both: it is not below either target.
+    above, keys_found = END, []
+    for g in sorted(around, reverse=True):
+        above = min(above, around[g][1][0])
+        keys_found.append(above)
+    return Splitters(tuple(reversed(keys_found)), ranges, turn)
 
 
 def write_shards(
