@@ -42,7 +42,8 @@ SHARDS = 16
 RANGE_BYTES = 32_000_000
 # Keys drawn from an open interval in one round.
 PROBES = 64
-KEY_BYTES = 40
+# Two hashes of 16 bytes and the place of 8.
+KEY_BYTES, PLACE_AT = 40, 32
 
 
 def _text(name: str) -> Column:
@@ -131,6 +132,20 @@ END = b"\xff" * KEY_BYTES
 BEGIN = b""
 
 
+def _below(keys: DataFrame, probes: list[bytes]) -> list[tuple[bytes, int, int]]:
+    """Each probe with the exact bytes and rows of all partitions below it."""
+    if not probes:
+        return []
+    found = keys.select("key", "size").mapInArrow(lambda x: _counted(probes, x), "at long, size long, rows long")
+    summed = {r["at"]: r for r in found.groupBy("at").agg(F.sum("size").alias("size"), F.sum("rows").alias("rows")).collect()}
+    below, size, rows = [], 0, 0
+    for i, probe in enumerate(probes):
+        if i in summed:
+            size, rows = size + summed[i]["size"], rows + summed[i]["rows"]
+        below.append((probe, size, rows))
+    return below
+
+
 def find_splitters(
     keys: DataFrame, shards: int = SHARDS, range_bytes: int = RANGE_BYTES, tolerance: int = 0
 ) -> Splitters:
@@ -153,14 +168,7 @@ def find_splitters(
         intervals = [(a, b, min(1.0, PROBES * k / max(1, rows))) for (a, b), (rows, k) in sorted(wanted.items())]
         exhausted = {(a, b) for a, b, rate in intervals if rate >= 1}
         drawn = keys.select("key").mapInArrow(lambda x, i=intervals, t=turn: _drawn(i, t, x), "key binary")
-        probes = sorted({bytes(r["key"]).ljust(KEY_BYTES, b"\0") for r in drawn.collect()})
-        if probes:
-            found = keys.select("key", "size").mapInArrow(lambda x, p=probes: _counted(p, x), "at long, size long, rows long")
-            summed = {r["at"]: r for r in found.groupBy("at").agg(F.sum("size").alias("size"), F.sum("rows").alias("rows")).collect()}
-        below, size, rows = [], 0, 0
-        for i, probe in enumerate(probes):
-            size, rows = (x + summed[i][k] if i in summed else x for x, k in ((size, "size"), (rows, "rows")))
-            below.append((probe, size, rows))
+        below = _below(keys, sorted({bytes(r["key"]) for r in drawn.collect()}))
         sizes = np.array([b[1] for b in below], np.int64)
         for g in sorted(open_):
             # The target as a whole number: bytes before a row times n are at least g times all bytes.
@@ -174,11 +182,14 @@ def find_splitters(
             if alone or new_high[1] - target <= near[g] or (old_low[0], old_high[0]) in exhausted:
                 open_.remove(g)
     # A boundary done early may stand above a later one, which then serves both: it is not below either target.
-    above, keys_found = END, []
+    above, found = (END, 0, 0), []
     for g in sorted(around, reverse=True):
-        above = min(above, around[g][1][0])
-        keys_found.append(above)
-    return Splitters(tuple(reversed(keys_found)), ranges, turn)
+        above = min(above, around[g][1])
+        found.append(above)
+    # The place of a row decides only among rows alike in text and id: where none stands below the splitter, leave it out.
+    alike = {key[:PLACE_AT]: rows for key, _, rows in _below(keys, sorted({f[0][:PLACE_AT].ljust(KEY_BYTES, b"\0") for f in found}))}
+    firsts = [key[:PLACE_AT].ljust(KEY_BYTES, b"\0") if key != END and alike[key[:PLACE_AT]] == rows else key for key, _, rows in found]
+    return Splitters(tuple(reversed(firsts)), ranges, turn)
 
 
 def write_shards(
