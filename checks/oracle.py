@@ -5,7 +5,8 @@ from __future__ import annotations
 from checks.queries import ALL_GROUPS
 from clickcast.operators.counts import GROUPS
 from clickcast.operators.encode import CATEGORIES
-from clickcast.operators.models import GRIDS
+from clickcast.operators.models import BOOSTED, GRIDS
+from clickcast.operators.rates import FOLDS, WEIGHT
 
 CLICKS = """clicks AS (
   SELECT event_id, user_id AS ip, k % 10 AS app, k % 3 AS device, k // 10 AS os, event_type AS channel, ts AS click_time,
@@ -177,6 +178,55 @@ best AS (
   ORDER BY left_0 * left_1 / (left_0 + left_1) + right_0 * right_1 / (right_0 + right_1), position LIMIT 1)"""
 
 
+# Two rounds of one split each: sums of first and second derivatives of the clicks with a feature, and of those without it.
+# Logistic loss, margins from the base score on, l2 of 1.
+_START = f"ln({BOOSTED['base_score']} / (1 - {BOOSTED['base_score']}))"
+
+
+def _stump_round(rows: str, number: int) -> str:
+    """CTEs ``best<n>``, one row, and ``rows<n + 1>`` with the margins after it, from ``rows``: ``event_id, label, margin``."""
+    least = BOOSTED["min_child_weight"]
+    return f"""grads{number} AS (
+  SELECT event_id, 1 / (1 + exp(-margin)) - label AS g, 1 / (1 + exp(-margin)) * (1 - 1 / (1 + exp(-margin))) AS h FROM {rows}),
+whole{number} AS (SELECT sum(g) AS sg, sum(h) AS sh FROM grads{number}),
+sides{number} AS (
+  SELECT position, sum(g) AS rg, sum(h) AS rh FROM long JOIN grads{number} USING (event_id) GROUP BY position),
+best{number} AS (
+  SELECT position, -(sg - rg) / (sh - rh + 1) * {BOOSTED['eta']} AS absent, -rg / (rh + 1) * {BOOSTED['eta']} AS present
+  FROM sides{number}, whole{number} WHERE rh >= {least} AND sh - rh >= {least}
+  ORDER BY round((sg - rg) ** 2 / (sh - rh + 1) + rg ** 2 / (rh + 1), 9) DESC, position LIMIT 1),
+rows{number + 1} AS (
+  SELECT event_id, label, margin + CASE WHEN l.position IS NULL THEN absent ELSE present END AS margin
+  FROM {rows} r CROSS JOIN best{number} b LEFT JOIN long l USING (event_id, position))"""
+
+
+BOOSTED_STUMPS = f"""WITH {PARTS},
+labels AS ({labels('train')}),
+offsets AS ({offsets()}),
+long AS (SELECT event_id, position FROM ({entries('train', CATEGORIES, ())})),
+rows0 AS (SELECT event_id, label, {_START} AS margin FROM train),
+{_stump_round('rows0', 0)},
+{_stump_round('rows1', 1)}
+""" + " UNION ALL ".join(
+    f"SELECT {i} AS tree, position, round(absent, 9) AS absent, round(present, 9) AS present FROM best{i}" for i in (0, 1)
+)
+
+FOLD = f"{tenth(2)} // {10 // FOLDS}"
+
+
+def rates(source: str, own_fold: bool) -> str:
+    """Each click's smoothed rate per category, from the training clicks, or from those in other folds than the click's."""
+    others = f"AND t.fold <> s.fold" if own_fold else ""
+    base = "(SELECT avg(label) FROM folded t WHERE true " + others + ")"
+    parts = [
+        f"""SELECT event_id, '{c}' AS "column", round((coalesce(p, 0) + {WEIGHT} * b) / (coalesce(n, 0) + {WEIGHT}), 9) AS rate FROM (
+          SELECT s.event_id, (SELECT sum(label) FROM folded t WHERE t.{c} = s.{c} {others}) AS p,
+            (SELECT count(*) FROM folded t WHERE t.{c} = s.{c} {others}) AS n, {base} AS b FROM {source} s)"""
+        for c in CATEGORIES
+    ]
+    return f"WITH {PARTS}, folded AS (SELECT *, {FOLD} AS fold FROM train) " + " UNION ALL ".join(parts)
+
+
 def points(grid: dict) -> list[str]:
     """The cross product of a grid's lists, in order, under the estimators' names."""
     made = [()]
@@ -249,6 +299,11 @@ ORACLE = {
     "rf_area": "SELECT true AS ranks",
     "gbt_stump": f"""{STUMP} SELECT position, round((left_1 - left_0) / (left_0 + left_1), 9) AS "left",
       round((right_1 - right_0) / (right_0 + right_1), 9) AS "right" FROM best""",
+    "boosted_stumps": BOOSTED_STUMPS,
+    "train_rates": rates("folded", True),
+    "held_out_rates": rates("test", False),
+    "dt_predict_rates": LABEL_AS_PREDICTION,
+    "boosted_predict_rates": LABEL_AS_PREDICTION,
     "dt_reloaded": f"WITH {PARTS} SELECT label, CAST(label AS DOUBLE) AS prediction, count(*) AS n FROM test GROUP BY label",
     "tune_boosted": TUNED["boosted"],
     **{f"job_chain_{n}": "SELECT CAST(1 AS DOUBLE) AS auroc" for n in ("dt", "gbt", "lr")},

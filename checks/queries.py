@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickcast.functions import add_time_parts, hash_split, prepare_clicks, random_split, show_rows
+from clickcast.operators.bayes import TableNaiveBayesModel
+from clickcast.operators.boosting import SecondOrderBoosting
 from clickcast.operators.counts import GROUPS, OPTIONAL_GROUPS, add_group_count, click_features, group_counts, with_all_keys
 from clickcast.operators.encode import (
     CATEGORIES,
@@ -26,7 +28,8 @@ from clickcast.operators.encode import (
     vector_entries,
 )
 from clickcast.operators.evaluate import auroc_label, auroc_score
-from clickcast.operators.models import REGISTRY
+from clickcast.operators.models import BOOSTED, REGISTRY
+from clickcast.operators.rates import fit_rates, fold_of
 from clickcast.operators.tuning import fit, tune
 from clickcast.plans import jobs
 from clickcast.session import scratch_path
@@ -311,6 +314,44 @@ def gbt_stump(spark, sf_dir):
     return found
 
 
+def boosted_stumps(spark, sf_dir):
+    """Two rounds of one split each by second derivatives, over the one-hot blocks: the feature and what both sides add."""
+    train, _ = _parts(spark, sf_dir)
+    rows = _vectors(feature_rows(train, fit_encoder(train, numeric=()), source=train))
+    settings = {"minChildWeight": BOOSTED["min_child_weight"], "baseScore": BOOSTED["base_score"], "stepSize": BOOSTED["eta"]}
+    trees = SecondOrderBoosting(maxIter=2, maxDepth=1, **settings).fit(rows).trees
+    found = [(i, t.position[0], round(t.value[1], 9), round(t.value[2], 9)) for i, t in enumerate(trees)]
+    return spark.createDataFrame(found, "tree int, position int, absent double, present double")
+
+
+# Rates
+
+
+def _rates(spark, sf_dir):
+    """The rates of the training part and both parts with their counts."""
+    parts = _parts(spark, sf_dir)
+    model = fit_rates(with_all_keys(parts[0]), fold_of("event_id"))
+    return model, [click_features(p) for p in parts]
+
+
+def rates_long(part, spark, sf_dir):
+    """The rate of each category on each click: out of its fold on the training part (0), of all training clicks else (1)."""
+    model, counted = _rates(spark, sf_dir)
+    rows = model.add_rates(counted[part], None if part else fold_of("event_id"))
+    pairs = [F.struct(F.lit(c).alias("column"), F.round(f"{c}_Rate", 9).alias("rate")) for c in CATEGORIES]
+    return rows.select("event_id", F.inline(F.array(*pairs)))
+
+
+def predict_rates(algorithm, params, spark, sf_dir):
+    model, counted = _rates(spark, sf_dir)
+    folds = (fold_of("event_id"), None)
+    train, test = (
+        _vectors(model.transform(rows, fold).select("event_id", "label", F.col("rate_features").alias("features")))
+        for rows, fold in zip(counted, folds)
+    )
+    return fit(train.select("label", "features"), algorithm, params).transform(test).select("event_id", "prediction")
+
+
 def dt_reloaded(spark, sf_dir):
     """Predictions of the saved and loaded tree on the saved features, as the tree job leaves them."""
     log, out = clicks(spark, sf_dir), scratch_path(spark, "tree")
@@ -324,15 +365,13 @@ def dt_reloaded(spark, sf_dir):
 
 
 def nb_model(spark, sf_dir):
+    """Every parameter of naive Bayes, from the saved and loaded table."""
     path = scratch_path(spark, "nb")
     fit(_encoded(spark, sf_dir, 0)[0].select("label", "features"), "nb", {"smoothing": 1.0}).save(path)
-    saved = spark.read.parquet(f"{path}/data").select(F.unwrap_udt("pi")["values"].alias("pi"), F.unwrap_udt("theta").alias("m"))
-    cells = saved.select("pi", "m", F.posexplode("m.values").alias("i", "theta"))
-    by_row = F.col("m.isTransposed")
-    row = F.when(by_row, F.floor(F.col("i") / F.col("m.numCols"))).otherwise(F.col("i") % F.col("m.numRows")).cast("int")
-    column = F.when(by_row, F.col("i") % F.col("m.numCols")).otherwise(F.floor(F.col("i") / F.col("m.numRows"))).cast("int")
-    pi = F.round(F.get("pi", row), 9)
-    return cells.select(row.cast("double").alias("label"), column.alias("position"), pi.alias("pi"), F.round("theta", 9).alias("theta"))
+    model = TableNaiveBayesModel.load(spark, path)
+    classes = F.array(*(F.struct(F.lit(float(c)).alias("label"), F.lit(round(p, 9)).alias("pi")) for c, p in enumerate(model.pi)))
+    cells = model.all_theta().select("position", F.inline(F.arrays_zip(classes.alias("class"), F.col("theta"))))
+    return cells.select("class.label", "position", "class.pi", F.round("theta", 9).alias("theta"))
 
 
 def _nb_scored(spark, sf_dir):
@@ -471,6 +510,12 @@ QUERIES = {
     "gbt_predict_indices": partial(predict, "gbt", {"maxIter": 10, "maxDepth": 5}, features="indices"),
     "boosted_predict_indices": partial(predict, "boosted", {"round": 20, "eta": 0.1}, features="indices"),
     "gbt_stump": gbt_stump,
+    "boosted_stumps": boosted_stumps,
+    "train_rates": partial(rates_long, 0),
+    "held_out_rates": partial(rates_long, 1),
+    # Labels ordered by rate: three splits find what takes ten over labels ordered by frequency.
+    "dt_predict_rates": partial(predict_rates, "dt", {"maxDepth": 3}),
+    "boosted_predict_rates": partial(predict_rates, "boosted", {"round": 20, "eta": 0.1}),
     "dt_reloaded": dt_reloaded,
     "nb_model": nb_model,
     "nb_predict": nb_predict,

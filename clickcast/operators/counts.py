@@ -11,7 +11,9 @@ Three methods give the same rows:
     its clicks are aggregated to one row per distinct combination of keys, the counts are sums over those rows, and they
     come back to the clicks by a join on the full combination. A count without ``ip`` is aggregated and joined back.
 ``join``
-    One aggregation and one join per group: the clicks are shuffled up to seven times.
+    The clicks are reduced to cells, the distinct combinations of all keys with their number, which are written. Every count
+    is a sum over the cells, joined back to the cells, and one join on the full combination brings all of them to the clicks:
+    those are aggregated once and shuffled once, whatever the number of groups.
 ``window``
     All clicks of one group, hot or not, go to one task. For data known to be even.
 
@@ -27,8 +29,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickcast.operators.joins import HOT_ROWS, frequent_keys, join_few, spread_join
-from clickcast.session import checkpointed
+from clickcast.operators.joins import HOT_ROWS, at_hand, frequent_keys, join_few, spread_join
+from clickcast.session import stored
 
 Groups = Mapping[str, Sequence[str]]
 
@@ -58,7 +60,7 @@ def add_group_count(df: DataFrame, keys: Sequence[str], name: str, method: str =
         counted = _drop_null_keys(_windows(df, {name: keys}, F.count("*")), keys)
     elif method == "join":
         rows = _drop_null_keys(df, keys)
-        counted = _join_back(rows, _table(rows, keys, name, F.count("*")), keys, HOT_ROWS)
+        counted = _join_back(rows, stored(_table(rows, keys, name, F.count("*")), name), keys, HOT_ROWS)
     else:
         raise ValueError(f"unknown method {method!r}")
     return counted.select(*df.columns, name)
@@ -70,7 +72,7 @@ def hot_values(df: DataFrame, column: str = "ip", rows: int = HOT_ROWS) -> DataF
     Runs a job: it reads one column and aggregates it before the shuffle. No more values than ``rows`` goes into all rows.
     """
     counted = group_counts(df.filter(F.col(column).isNotNull()), [column], "n")
-    return checkpointed(frequent_keys(counted, "n", rows).select(column))
+    return at_hand(frequent_keys(counted, "n", rows).select(column))
 
 
 def click_features(
@@ -96,9 +98,7 @@ def click_features(
         rows = receiving.unionByName(counting, allowMissingColumns=True)
 
     if method == "join" or (method == "split" and not any("ip" in keys for keys in groups.values())):
-        counted = _received(with_all_keys(rows, groups))
-        for name, keys in groups.items():
-            counted = _join_back(counted, _table(_drop_null_keys(rows, keys), keys, name, total), keys, hot_rows)
+        counted = _from_cells(rows, groups, total, hot_rows) if groups else _received(rows)
     elif method == "window":
         counted = _received(with_all_keys(_windows(rows.repartition("ip"), groups, total), groups))
     elif method == "split":
@@ -136,8 +136,8 @@ def _table(rows: DataFrame, keys: Sequence[str], name: str, total: Column) -> Da
 
 
 def _join_back(df: DataFrame, table: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
-    # The frequent combinations are fixed first: they are few, and whether they are none decides the plan.
-    frequent = checkpointed(frequent_keys(table, "_rows", hot_rows).drop("_rows"))
+    """``df`` with the counts of ``table``, which is at hand: whether any combination is frequent decides the plan."""
+    frequent = frequent_keys(table, "_rows", hot_rows).drop("_rows")
     if frequent.isEmpty():
         return df.join(table.drop("_rows"), list(keys))
     return spread_join(df, table.drop("_rows"), frequent, keys)
@@ -148,7 +148,7 @@ def _split(
 ) -> DataFrame:
     by_ip = {name: keys for name, keys in groups.items() if "ip" in keys}
     others = {name: keys for name, keys in groups.items() if "ip" not in keys}
-    tables = {name: _table(_drop_null_keys(rows, keys), keys, name, total) for name, keys in others.items()}
+    tables = {name: stored(_table(_drop_null_keys(rows, keys), keys, name, total), name) for name, keys in others.items()}
     # A click without an address is in no group by address and is dropped in the end. Dropped here, the nulls do not
     # meet in one task. Nulls in other keys are dropped after they are counted.
     addressed = rows.filter(F.col("ip").isNotNull())
@@ -171,24 +171,45 @@ def _split(
     return counted
 
 
-def _join_cells(
-    df: DataFrame, groups: Groups, by_ip: Groups, tables: Mapping[str, DataFrame], total: Column, hot_rows: int
-) -> DataFrame:
-    """Counts for rows with few distinct ``ip``, each frequent.
+def _cells(rows: DataFrame, groups: Groups, total: Column) -> DataFrame:
+    """The distinct combinations of all keys, nulls included, with what they count and how many rows they have: written."""
+    return stored(_table(rows, _all_keys(groups), "_total", total), "cells")
+
 
-    A cell is a distinct combination of all keys. Each count is a sum over cells, aggregated before its shuffle and joined
-    back to the cells, so that no address brings its cells together in one task.
+def _with_sums(cells: DataFrame, groups: Groups, summed: Groups) -> DataFrame:
+    """Cells without a null, each with the sums of the groups ``summed``; null keys count where they are not among the keys.
+
+    Sums are aggregated before their shuffle and joined back to the cells, so that no address brings its clicks together.
     """
+    with_sums = with_all_keys(cells, groups).drop("_rows")
+    for name, group in summed.items():
+        table = _drop_null_keys(cells, group).groupBy(*group).agg(F.sum("_total").alias(name))
+        with_sums = with_sums.join(table, list(group))
+    return with_sums.drop("_total")
+
+
+def _on_rows(rows: DataFrame, with_sums: DataFrame, cells: DataFrame, groups: Groups, hot_rows: int) -> DataFrame:
+    """The sums of the cells on the rows, frequent cells spread."""
     keys = _all_keys(groups)
-    rows = with_all_keys(df, groups)
-    cells = checkpointed(_table(df, keys, "_total", total))
-    frequent = frequent_keys(cells, "_rows", hot_rows).select(*keys)
-    summed = with_all_keys(cells.drop("_rows"), groups)
-    for name, group in by_ip.items():
-        table = cells.groupBy(*group).agg(F.sum("_total").alias(name))
-        summed = summed.join(table, list(group))
-    summed = summed.drop("_total")
+    frequent = frequent_keys(with_all_keys(cells, groups), "_rows", hot_rows).select(*keys)
+    with_sums = stored(with_sums, "cell-sums")
+    received = _received(with_all_keys(rows, groups))
+    if frequent.isEmpty():
+        return received.join(with_sums, keys)
+    return spread_join(received, with_sums, with_sums.join(frequent, keys, "left_semi"), keys)
+
+
+def _from_cells(rows: DataFrame, groups: Groups, total: Column, hot_rows: int) -> DataFrame:
+    cells = _cells(rows, groups, total)
+    return _on_rows(rows, _with_sums(cells, groups, groups), cells, groups, hot_rows)
+
+
+def _join_cells(
+    df: DataFrame, groups: Groups, by_ip: Groups, tables: Mapping[str, DataFrame], total: Column, hot_rows: int
+) -> DataFrame:
+    """Counts for rows with few distinct ``ip``, each frequent; ``tables`` has the counts without ``ip``, over all rows."""
+    cells = _cells(df, groups, total)
+    with_sums = _with_sums(cells, groups, by_ip)
     for name, table in tables.items():
-        summed = summed.join(table.drop("_rows"), list(groups[name]))
-    summed = checkpointed(summed)
-    return spread_join(_received(rows), summed, summed.join(frequent, keys, "left_semi"), keys)
+        with_sums = with_sums.join(table.drop("_rows"), list(groups[name]))
+    return _on_rows(df, with_sums, cells, groups, hot_rows)

@@ -24,7 +24,7 @@ from pyspark.sql.types import StructField, StructType
 
 from clickcast.operators.counts import GROUPS
 from clickcast.operators.joins import HOT_ROWS, frequent_keys, spread_join
-from clickcast.session import checkpointed, empty_folder, path_exists
+from clickcast.session import checkpointed, empty_folder, path_exists, stored
 
 # The categories in the order of their one-hot blocks. ``hour`` and ``day`` are also group keys.
 CATEGORIES = ("ip", "app", "device", "os", "channel", "hour", "day")
@@ -47,16 +47,27 @@ def label_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def rank_labels(counts: DataFrame) -> DataFrame:
-    """``column, label, n, label_index`` from ``label_counts``.
+    """``column, label, n, label_index`` from ``label_counts``, which must be at hand.
 
-    The ranking is a range-partitioned sort, so no task sees more than its share of the labels. What is brought together
-    afterwards is one row per partition and one row per column.
+    The labels of a column with at most WIDE_LABELS are ranked by a window, those of a longer one by a range-partitioned sort.
     """
+    sizes = _sizes(counts)
+    long = [c for c, size in sizes.items() if size > WIDE_LABELS]
+    order = Window.partitionBy("column").orderBy(F.desc("n"), "label")
+    place = (F.row_number().over(order) - 1).cast("double")
+    ranked = counts.filter(~F.col("column").isin(*long)).withColumn("label_index", place)
+    if long:
+        ranked = ranked.unionByName(_rank_by_range(counts.filter(F.col("column").isin(*long))))
+    return ranked.select("column", "label", "n", "label_index")
+
+
+def _rank_by_range(counts: DataFrame) -> DataFrame:
+    """No task sees more than its share of the labels. What is brought together is one row per partition and per column."""
     order = ["column", F.desc("n"), "label"]
     ordered = counts.repartitionByRange(*order).sortWithinPartitions(*order)
     # The id is the partition in the upper 31 bits and the row within it in the lower 33. It is read twice below, so it
-    # is fixed by a checkpoint.
-    ordered = checkpointed(ordered.withColumn("_id", F.monotonically_increasing_id()))
+    # is fixed by writing it.
+    ordered = stored(ordered.withColumn("_id", F.monotonically_increasing_id()), "ranked-labels")
     ordered = ordered.select(
         "*", F.shiftright("_id", 33).alias("_part"), F.col("_id").bitwiseAND((1 << 33) - 1).alias("_row")
     ).drop("_id")
@@ -71,8 +82,8 @@ def rank_labels(counts: DataFrame) -> DataFrame:
 
 
 def index_labels(df: DataFrame, columns: Sequence[str] = CATEGORIES) -> DataFrame:
-    """``column, label, n, label_index`` for the values of ``columns``."""
-    return rank_labels(label_counts(df, columns))
+    """``column, label, n, label_index`` for the values of ``columns``, written: every lookup reads it."""
+    return stored(rank_labels(stored(label_counts(df, columns), "label-counts")), "labels")
 
 
 def frequent_labels(counts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -125,7 +136,7 @@ def _sparse(size, entries: Column) -> Column:
     )
 
 
-def _dense(values: Sequence[Column]) -> Column:
+def dense_fields(values: Sequence[Column]) -> Column:
     """The fields of a dense vector."""
     return F.struct(
         F.lit(1).cast("tinyint").alias("type"), F.lit(None).cast("int").alias("size"),
@@ -138,7 +149,7 @@ def _entry(position, value: Column) -> Column:
     return F.struct(position.cast("int").alias("position"), value.cast("double").alias("value"))
 
 
-def _number(name: str) -> Column:
+def number_column(name: str) -> Column:
     """A numeric column as a double; null is an error, as in the assembler of ``pyspark.ml``."""
     problem = F.raise_error(F.lit(f"null in the numeric column {name}")).cast("double")
     return F.when(F.col(name).isNull(), problem).otherwise(F.col(name).cast("double"))
@@ -172,11 +183,11 @@ class TableEncoder:
             entries.append(F.when(at < size, _entry(start + at, F.lit(1.0))))
             start += size
         for i, c in enumerate(self.numeric):
-            value = _number(c)
+            value = number_column(c)
             entries.append(F.when(value != 0, _entry(start + i, value)))
         # Positions and values stay together until the zeros are gone.
         vector = _sparse(start + len(self.numeric), F.array_compact(F.array(*entries)))
-        ordered = _dense([*(F.col(f"{c}_Index") for c in self.categories), *(_number(c) for c in self.numeric)])
+        ordered = dense_fields([*(F.col(f"{c}_Index") for c in self.categories), *(number_column(c) for c in self.numeric)])
         return indexed.withColumns({**blocks, "features": vector, "index_features": ordered})
 
     def save(self, path: str) -> None:
@@ -265,9 +276,10 @@ def fit_encoder(
     ``kind="pipeline"`` all of them are brought to the driver and make a ``PipelineModel``: the caller's choice.
     """
     if counts is None:
-        counts = label_counts(df, categories)
+        counts = stored(label_counts(df, categories), "label-counts")
     if kind == "table":
-        return TableEncoder(rank_labels(counts), tuple(categories), tuple(numeric))
+        # Written, since the sizes and every column's lookup read it.
+        return TableEncoder(stored(rank_labels(counts), "labels"), tuple(categories), tuple(numeric))
     if kind != "pipeline":
         raise ValueError(f"unknown kind {kind!r}")
     ranked = sorted(counts.collect(), key=lambda r: (-r["n"], r["label"]))
@@ -282,24 +294,29 @@ def fit_encoder(
 
 
 # The feature column by the name a caller asks for.
-FEATURES = {"onehot": "features", "indices": "index_features"}
+FEATURES = {"onehot": "features", "indices": "index_features", "rates": "rate_features"}
 
 
 def feature_rows(
     df: DataFrame, model: PipelineModel | TableEncoder, *kept: str, source: DataFrame | None = None, features: str = "onehot"
 ) -> DataFrame:
     """``kept`` columns, by default ``label``, and the feature vector as ``features``. ``source`` as in ``encode``."""
-    if features not in FEATURES:
+    if features not in ("onehot", "indices"):
         raise ValueError(f"unknown features {features!r}")
     return encode(df, model, source).select(*(kept or ("label",)), F.col(FEATURES[features]).alias("features"))
 
 
+def vector_arrays(df: DataFrame, vector: str) -> Column:
+    """The fields ``type, size, indices, values`` of a vector column, of either form."""
+    return F.unwrap_udt(vector) if isinstance(df.schema[vector].dataType, VectorUDT) else F.col(vector)
+
+
 def vector_entries(df: DataFrame, vector: str, *kept: str) -> DataFrame:
     """``kept`` columns, ``position`` and ``value`` for every non-zero entry of a vector column.
 
     Reads the vector's own arrays: a sparse vector is never widened.
     """
-    v = F.unwrap_udt(vector) if isinstance(df.schema[vector].dataType, VectorUDT) else F.col(vector)
+    v = vector_arrays(df, vector)
     places = F.when(v["type"] == 0, v["indices"]).otherwise(F.sequence(F.lit(0), F.size(v["values"]) - 1))
     entries = F.arrays_zip(places.alias("position"), v["values"].alias("value"))
     return df.select(*kept, F.inline(F.when(F.size(v["values"]) > 0, entries))).filter(F.col("value") != 0)

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType, IntegerType, LongType, StringType
 
+from clickcast.session import checkpointed
+
 # A key with this many rows is frequent: its rows should not meet in one task.
 HOT_ROWS = 5_000_000
 # A table of frequent keys is broadcast up to this many of them, some 50 MB; a longer one is dealt out with its rows.
@@ -25,6 +27,14 @@ def frequent_keys(table: DataFrame, rows: str, hot_rows: int = HOT_ROWS) -> Data
     return table.filter(F.col(rows) >= hot_rows)
 
 
+def at_hand(few: DataFrame) -> DataFrame:
+    """``few``, expected to have few rows, worked out once: up to BROADCAST_KEYS rows on the driver, more in a checkpoint."""
+    rows = few.limit(BROADCAST_KEYS + 1).collect()
+    if len(rows) > BROADCAST_KEYS:
+        return checkpointed(few)
+    return few.sparkSession.createDataFrame(rows, few.schema)
+
+
 def join_few(df: DataFrame, few: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join ``df``, whose keys may be frequent, with ``few``, a row per frequent key that is at hand without much work.
 

@@ -15,6 +15,9 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.tuning import ParamGridBuilder
 
+from clickcast.operators.bayes import TableNaiveBayes
+from clickcast.operators.boosting import SecondOrderBoosting
+
 # Settings of the boosted model, under their usual names.
 BOOSTED = {
     "objective": "binary:logistic",
@@ -39,13 +42,30 @@ GRIDS = {
 }
 
 
+def second_order(seed: int = BOOSTED["seed"]) -> Estimator:
+    """Boosting by second derivatives with all settings of ``BOOSTED`` that say what is learned.
+
+    ``objective`` is the only one there is, ``eval_metric`` is what tuning is given, and ``nWorkers`` is Spark's business.
+    """
+    return SecondOrderBoosting(
+        stepSize=BOOSTED["eta"],
+        maxIter=GRIDS["boosted"]["round"][0],
+        maxDepth=BOOSTED["max_depth"],
+        minChildWeight=BOOSTED["min_child_weight"],
+        subsample=BOOSTED["subsample"],
+        colsampleByTree=BOOSTED["colsample_bytree"],
+        colsampleByLevel=BOOSTED["colsample_bylevel"],
+        baseScore=BOOSTED["base_score"],
+        seed=seed,
+    )
+
+
 def boosted_trees(seed: int = BOOSTED["seed"]) -> Estimator:
     """Gradient boosting by Spark's own boosted trees, with those settings of ``BOOSTED`` that have an equal there.
 
     ``eta`` is the step size, ``round`` the number of iterations, ``subsample`` and ``colsample_bytree`` the sampling of
-    rows and, per node, of features. Three have no equal: ``min_child_weight`` is a sum of second derivatives, for which the
-    least number of rows per node is the nearest; ``colsample_bylevel`` and ``base_score`` are left out. Spark also chooses
-    splits by first-order gradients only, so scores differ from those of second-order boosting.
+    rows and, per node, of features. ``min_child_weight`` is a sum of second derivatives, for which the least number of rows
+    per node is the nearest; ``colsample_bylevel`` and ``base_score`` are left out. ``second_order`` has all three.
     """
     return GBTClassifier(
         stepSize=BOOSTED["eta"],
@@ -80,8 +100,11 @@ REGISTRY: dict[str, Classifier] = {
     "rf": Classifier(lambda seed: RandomForestClassifier(seed=seed), GRIDS["rf"], {}),
     "gbt": Classifier(lambda seed: GBTClassifier(maxIter=10, seed=seed), GRIDS["gbt"], {}),
     "lr": Classifier(lambda seed: LogisticRegression(maxIter=10), GRIDS["lr"], {}),
-    "nb": Classifier(lambda seed: NaiveBayes(), GRIDS["nb"], {}),
-    "boosted": Classifier(boosted_trees, GRIDS["boosted"], {"round": "maxIter", "eta": "stepSize"}, BOOSTED["seed"]),
+    # The parameters as a table; ``nb_vector`` holds a number per feature and class on the driver.
+    "nb": Classifier(lambda seed: TableNaiveBayes(), GRIDS["nb"], {}),
+    "nb_vector": Classifier(lambda seed: NaiveBayes(), GRIDS["nb"], {}),
+    "boosted": Classifier(second_order, GRIDS["boosted"], {"round": "maxIter", "eta": "stepSize"}, BOOSTED["seed"]),
+    "boosted_gbt": Classifier(boosted_trees, GRIDS["boosted"], {"round": "maxIter", "eta": "stepSize"}, BOOSTED["seed"]),
 }
 
 

@@ -68,11 +68,16 @@ def tune(
     # Other digits than a train/test split on the same key uses, so that the two are independent.
     learn, check = (part.persist(StorageLevel.MEMORY_AND_DISK) for part in hash_split(train, key, tenths, 1))
     try:
-        score = inheritable_thread_target(train.sparkSession)(
-            lambda params: evaluator.evaluate(estimator.fit(learn, params).transform(check))
-        )
+        # An estimator that can fit several points at once does so; others fit one per step of this iterator.
+        models = estimator.fitMultiple(learn, list(grid))
+
+        def score(_) -> tuple[int, float]:
+            point, model = next(models)
+            return point, evaluator.evaluate(model.transform(check))
+
         with ThreadPool(min(parallelism, len(grid))) as pool:
-            metrics = pool.map(score, grid)
+            scored = dict(pool.map(inheritable_thread_target(train.sparkSession)(score), grid))
+        metrics = [scored[i] for i in range(len(grid))]
     finally:
         learn.unpersist()
         check.unpersist()
