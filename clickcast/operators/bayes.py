@@ -128,6 +128,10 @@ class TableNaiveBayesModel(Model, _Columns):
         self.theta, self.pi, self.unseen, self.width = theta, pi, unseen, width
         self.looked_up, self.hot_rows, self._rows = LOOKED_UP, HOT_ROWS, None
 
+    @property
+    def numFeatures(self) -> int:
+        return self.width
+
     def all_theta(self, low: int = 0, high: int | None = None) -> DataFrame:
         """``position, theta`` for every position from ``low`` to before ``high``, in no order."""
         spark = self.theta.sparkSession
