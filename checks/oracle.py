@@ -178,6 +178,51 @@ best AS (
   ORDER BY left_0 * left_1 / (left_0 + left_1) + right_0 * right_1 / (right_0 + right_1), position LIMIT 1)"""
 
 
+def _gini_split(name: str, where: str) -> str:
+    """CTEs ``<name>_rows``, the training clicks of a node, and ``<name>``, its best split by Gini impurity."""
+    return f"""{name}_rows AS (SELECT event_id, label FROM train WHERE {where}),
+{name}_sides AS (
+  SELECT position, count(*) FILTER (label = 0) AS r0, count(*) FILTER (label = 1) AS r1 FROM long
+  WHERE event_id IN (SELECT event_id FROM {name}_rows) GROUP BY position),
+{name}_whole AS (SELECT count(*) FILTER (label = 0) AS n0, count(*) FILTER (label = 1) AS n1 FROM {name}_rows),
+{name} AS (
+  SELECT position, r1 / (r0 + r1) AS present, (n1 - r1) / (n0 + n1 - r0 - r1) AS absent
+  FROM {name}_sides, {name}_whole WHERE n0 + n1 > r0 + r1
+  ORDER BY r0 * r1 / (r0 + r1) + (n0 - r0) * (n1 - r1) / (n0 + n1 - r0 - r1), position LIMIT 1)"""
+
+
+def _has(split: str, long: str = "long") -> str:
+    return f"event_id IN (SELECT event_id FROM {long} WHERE position = (SELECT position FROM {split}))"
+
+
+# Each held-out click goes down two levels; a side without a split keeps its share.
+TWO_LEVELS = f"""WITH {PARTS},
+labels AS ({labels('train')}),
+offsets AS ({offsets()}),
+long AS (SELECT event_id, label, position FROM ({entries('train', CATEGORIES, ())})),
+asked AS (SELECT event_id, position FROM ({entries('test', CATEGORIES, ())})),
+{_gini_split('root', 'true')},
+{_gini_split('yes', _has('root'))},
+{_gini_split('nay', 'NOT ' + _has('root'))}
+SELECT event_id, round(CASE
+  WHEN {_has('root', 'asked')} THEN CASE WHEN {_has('yes', 'asked')} THEN (SELECT present FROM yes) ELSE (SELECT absent FROM yes) END
+  WHEN {_has('nay', 'asked')} THEN (SELECT present FROM nay) ELSE (SELECT absent FROM nay) END, 9) AS score
+FROM test"""
+
+MERGED = f"""WITH {PREPARED}, labels AS ({labels('prepared')})
+SELECT col AS "column", label, n, CAST(idx AS DOUBLE) AS label_index FROM labels"""
+
+MOVED = f"""WITH {PREPARED}, labels AS ({labels('prepared')}),
+half AS (SELECT * FROM prepared WHERE {tenth(3)} < 5), old AS ({labels('half')})
+SELECT o.col AS "column", CAST(o.idx AS DOUBLE) AS old_index, CAST(l.idx AS DOUBLE) AS new_index
+FROM old o JOIN labels l USING (col, label)
+UNION ALL
+SELECT o.col, CAST(o.n AS DOUBLE), CAST(l.n AS DOUBLE) FROM (SELECT col, count(*) AS n FROM old GROUP BY col) o
+JOIN (SELECT col, count(*) AS n FROM labels GROUP BY col) l USING (col)"""
+
+REJECTED = f"""WITH {CLICKS} SELECT CASE WHEN event_id % 50 < 2 THEN 'width' WHEN event_id % 50 < 4 THEN 'type' ELSE 'none' END AS reason,
+  count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM clicks GROUP BY 1"""
+
 # Two rounds of one split each: sums of first and second derivatives of the clicks with a feature, and of those without it.
 # Logistic loss, margins from the base score on, l2 of 1.
 _START = f"ln({BOOSTED['base_score']} / (1 - {BOOSTED['base_score']}))"
@@ -300,13 +345,17 @@ ORACLE = {
     "gbt_stump": f"""{STUMP} SELECT position, round((left_1 - left_0) / (left_0 + left_1), 9) AS "left",
       round((right_1 - right_0) / (right_0 + right_1), 9) AS "right" FROM best""",
     "boosted_stumps": BOOSTED_STUMPS,
+    "dt_two_levels": TWO_LEVELS,
+    "merged_labels": MERGED,
+    "moved_labels": MOVED,
+    "rejected_lines": REJECTED,
     "train_rates": rates("folded", True),
     "held_out_rates": rates("test", False),
     "dt_predict_rates": LABEL_AS_PREDICTION,
     "boosted_predict_rates": LABEL_AS_PREDICTION,
     "dt_reloaded": f"WITH {PARTS} SELECT label, CAST(label AS DOUBLE) AS prediction, count(*) AS n FROM test GROUP BY label",
     "tune_boosted": TUNED["boosted"],
-    **{f"job_chain_{n}": "SELECT CAST(1 AS DOUBLE) AS auroc" for n in ("dt", "gbt", "lr")},
+    **{f"job_chain_{n}": "SELECT CAST(1 AS DOUBLE) AS auroc" for n in ("dt", "gbt", "lr", "rates")},
     "dt_predict": LABEL_AS_PREDICTION,
     "gbt_predict": LABEL_AS_PREDICTION,
     "lr_predict": LABEL_AS_PREDICTION,

@@ -6,6 +6,7 @@ from functools import partial
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassificationModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +22,8 @@ from clickcast.operators.encode import (
     index_labels,
     join_indices,
     load_encoder,
+    merge_encoders,
+    moved_indices,
     numeric_columns,
     one_hot_long,
     read_features,
@@ -35,6 +38,7 @@ from clickcast.plans import jobs
 from clickcast.session import scratch_path
 from clickcast.sources import (
     clicks,
+    read_clicks_checked,
     read_clicks_csv,
     read_parquet,
     write_clicks_csv,
@@ -145,6 +149,25 @@ def metric_sink(spark, sf_dir):
     return spark.read.csv(path, schema="value string").select(F.round(F.col("value").cast("double"), 9).alias("auroc"))
 
 
+def rejected_lines(spark, sf_dir):
+    """A log with planted faults, by reason: a field too few, one too many, text for a number, a time that is none."""
+    log, path = clicks(spark, sf_dir), scratch_path(spark, "faulty")
+    options = {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
+    line, kind = F.to_csv(F.struct("*"), options), F.col("event_id") % 50
+    faulty = (
+        F.when(kind == 0, F.regexp_replace(line, ",[^,]*$", ""))
+        .when(kind == 1, F.concat(line, F.lit(",1")))
+        .when(kind == 2, F.concat(F.lit("no"), line))
+        .when(kind == 3, F.regexp_replace(line, "2024-", "some day in "))
+        .otherwise(line)
+    )
+    log.select(faulty).write.text(path)
+    good, bad = read_clicks_checked(spark, path, log.schema, header=False)
+    ids = F.regexp_extract("line", "[0-9]+", 0).cast("bigint").alias("event_id")
+    both = bad.select("reason", ids).unionByName(good.select(F.lit("none").alias("reason"), "event_id"))
+    return both.groupBy("reason").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
+
+
 # Projections and row movement
 
 
@@ -247,6 +270,21 @@ def string_index(column, spark, sf_dir):
     return index_labels(_prepared(spark, sf_dir), [column]).select("label", "n", "label_index")
 
 
+def _halves(spark, sf_dir):
+    return [fit_encoder(half, numeric=()) for half in hash_split(_prepared(spark, sf_dir), "event_id", 5, 3)]
+
+
+def merged_labels(spark, sf_dir):
+    """The labels of two encoders, each fitted on half of the clicks, merged: those of one fit."""
+    return merge_encoders(*_halves(spark, sf_dir)).index.select("column", "label", "n", "label_index")
+
+
+def moved_labels(spark, sf_dir):
+    """Where the numbers of the first half's encoder are after the merge."""
+    halves = _halves(spark, sf_dir)
+    return moved_indices(halves[0], merge_encoders(*halves))
+
+
 def string_index_unseen(spark, sf_dir):
     train, test = _parts(spark, sf_dir)
     model = fit_encoder(train.filter(F.col("app") != 9), ("app",), ())
@@ -304,6 +342,15 @@ def _stump(spark, sf_dir, algorithm, params):
     return spark.read.parquet(f"{path}/data")
 
 
+def dt_two_levels(spark, sf_dir):
+    """The probability that a tree of two levels over the one-hot blocks gives each held-out click: its leaf's share."""
+    train, test = _parts(spark, sf_dir)
+    model = fit_encoder(train, numeric=())
+    rows, asked = (_vectors(feature_rows(p, model, "event_id", "label", source=p)) for p in (train, test))
+    scored = fit(rows.select("label", "features"), "dt", {"maxDepth": 2}).transform(asked)
+    return scored.select("event_id", F.round(vector_to_array("probability")[1], 9).alias("score"))
+
+
 def gbt_stump(spark, sf_dir):
     """One iteration of one split: the feature, and the mean of the labels as -1 and 1 on either side."""
     nodes = _stump(spark, sf_dir, "gbt", {"maxDepth": 1, "maxIter": 1}).select("nodeData.*")
@@ -436,11 +483,11 @@ def auroc_score_count(spark, sf_dir):
 # Jobs
 
 
-def job_chain(spark, sf_dir, algorithm="nb", params=(("smoothing", 1.0),), features="onehot"):
+def job_chain(spark, sf_dir, algorithm="nb", params=(("smoothing", 1.0),), features="onehot", **options):
     """Preprocess, train and evaluate through files: by default naive Bayes over the full feature vector."""
     log, out = clicks(spark, sf_dir), scratch_path(spark, "jobs")
     write_clicks_csv(log, f"{out}_log")
-    jobs.preprocess(spark, f"{out}_log", out, log.schema, split="hash", key="event_id")
+    jobs.preprocess(spark, f"{out}_log", out, log.schema, split="hash", key="event_id", rates=features == "rates", **options)
     jobs.train(
         spark,
         algorithm,
@@ -451,6 +498,7 @@ def job_chain(spark, sf_dir, algorithm="nb", params=(("smoothing", 1.0),), featu
         log.schema,
         dict(params),
         features=features,
+        rates=f"{out}_rates",
     )
     jobs.evaluate(spark, f"{out}_{algorithm}_predicts.parquet", f"{out}_{algorithm}")
     read = spark.read.csv(f"{out}_{algorithm}_auroc", schema="value string")
@@ -460,6 +508,7 @@ def job_chain(spark, sf_dir, algorithm="nb", params=(("smoothing", 1.0),), featu
 QUERIES = {
     "csv_scan": csv_scan,
     "csv_scan_inferred": csv_scan_inferred,
+    "rejected_lines": rejected_lines,
     "parquet_scan": parquet_scan,
     "partitioned_sink": partitioned_sink,
     "pipeline_roundtrip": pipeline_roundtrip,
@@ -489,6 +538,8 @@ QUERIES = {
     "click_features_narrow_keys": features_narrow_keys,
     "click_features_counts_from_train": features_counts_from_train,
     **{f"string_index_{c}": partial(string_index, c) for c in CATEGORIES},
+    "merged_labels": merged_labels,
+    "moved_labels": moved_labels,
     "string_index_unseen": string_index_unseen,
     "index_join": index_join,
     "one_hot_long": one_hot,
@@ -509,6 +560,7 @@ QUERIES = {
     ),
     "gbt_predict_indices": partial(predict, "gbt", {"maxIter": 10, "maxDepth": 5}, features="indices"),
     "boosted_predict_indices": partial(predict, "boosted", {"round": 20, "eta": 0.1}, features="indices"),
+    "dt_two_levels": dt_two_levels,
     "gbt_stump": gbt_stump,
     "boosted_stumps": boosted_stumps,
     "train_rates": partial(rates_long, 0),
@@ -529,5 +581,7 @@ QUERIES = {
     "job_chain": job_chain,
     "job_chain_dt": partial(job_chain, algorithm="dt", params=()),
     "job_chain_gbt": partial(job_chain, algorithm="gbt", params=(("maxIter", 10), ("maxDepth", 5)), features="indices"),
+    # Three levels over rates, from a log that is checked line by line.
+    "job_chain_rates": partial(job_chain, algorithm="dt", params=(("maxDepth", 3),), features="rates", rejected=True),
     "job_chain_lr": partial(job_chain, algorithm="lr", params=(("regParam", 0.01), ("elasticNetParam", 0.0))),
 }

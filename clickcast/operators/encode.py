@@ -11,9 +11,10 @@ ordered numbers and need not know every label as a feature of its own.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
@@ -24,7 +25,7 @@ from pyspark.sql.types import StructField, StructType
 
 from clickcast.operators.counts import GROUPS
 from clickcast.operators.joins import HOT_ROWS, frequent_keys, spread_join
-from clickcast.session import checkpointed, empty_folder, path_exists, stored
+from clickcast.session import checkpointed, current_version, empty_folder, path_exists, point_to, stored
 
 # The categories in the order of their one-hot blocks. ``hour`` and ``day`` are also group keys.
 CATEGORIES = ("ip", "app", "device", "os", "channel", "hour", "day")
@@ -191,13 +192,10 @@ class TableEncoder:
         return indexed.withColumns({**blocks, "features": vector, "index_features": ordered})
 
     def save(self, path: str) -> None:
-        spark = self.index.sparkSession
+        """The table of labels and the layout, in an empty folder."""
         layout = [(i, c, c in self.categories) for i, c in enumerate([*self.categories, *self.numeric])]
-        columns = spark.createDataFrame(layout, "place int, column string, category boolean")
-        # The table may have been read from this very folder.
-        index = checkpointed(self.index)
-        empty_folder(spark, path)
-        index.write.partitionBy("column").parquet(f"{path}/labels")
+        columns = self.index.sparkSession.createDataFrame(layout, "place int, column string, category boolean")
+        self.index.write.partitionBy("column").parquet(f"{path}/labels")
         columns.coalesce(1).write.parquet(f"{path}/layout")
 
     @staticmethod
@@ -207,6 +205,31 @@ class TableEncoder:
         return TableEncoder(spark.read.parquet(f"{path}/labels"), tuple(categories), tuple(numeric))
 
 
+def merge_encoders(first: TableEncoder, *others: TableEncoder) -> TableEncoder:
+    """One encoder as if fitted on the rows of all of them: a day's counts are added to those of the days before.
+
+    Only the tables of labels are read. Labels keep no number; see ``moved_indices``.
+    """
+    if any(tuple(o.categories) != tuple(first.categories) or tuple(o.numeric) != tuple(first.numeric) for o in others):
+        raise ValueError("encoders of different columns")
+    counts = reduce(DataFrame.unionByName, (e.index.select("column", "label", "n") for e in (first, *others)))
+    summed = stored(counts.groupBy("column", "label").agg(F.sum("n").alias("n")), "label-counts")
+    return replace(first, index=stored(rank_labels(summed), "labels"))
+
+
+def moved_indices(old: TableEncoder, new: TableEncoder) -> DataFrame:
+    """``column, old_index, new_index`` of every label of ``old``, null where ``new`` lacks it.
+
+    The number after the last label, which null and unseen labels have, has its new one too: the row without a label.
+    """
+    spark = old.index.sparkSession
+    before = old.index.select("column", "label", F.col("label_index").alias("old_index"))
+    after = new.index.select("column", "label", F.col("label_index").alias("new_index"))
+    rest = [(c, float(old.sizes[c]), float(new.sizes[c])) for c in old.categories]
+    unseen = spark.createDataFrame(rest, "column string, old_index double, new_index double")
+    return before.join(after, ["column", "label"], "left").drop("label").unionByName(unseen)
+
+
 def encode(
     df: DataFrame, model: PipelineModel | TableEncoder, source: DataFrame | None = None, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
@@ -219,17 +242,31 @@ def encode(
 
 
 def save_encoder(model: PipelineModel | TableEncoder, path: str) -> PipelineModel | TableEncoder:
-    """Save a fitted encoder of either kind, replacing what is there, and return it: a table as the one now on file."""
+    """Save a fitted encoder of either kind, replacing what is there, and return it: a table as the one now on file.
+
+    It is written whole into a folder of its own below ``path`` before the pointer to the current one is swapped, which is
+    one rename: a failure leaves the encoder that was there, and readers see the old one or the new one. Then what the
+    pointer named before is removed.
+    """
+    spark = model.index.sparkSession if isinstance(model, TableEncoder) else SparkSession.active()
+    version = f"version-{uuid.uuid4().hex}"
     if isinstance(model, TableEncoder):
-        model.save(path)
-        return TableEncoder.load(model.index.sparkSession, path)
-    model.write().overwrite().save(path)
-    return model
+        model.save(f"{path}/{version}")
+    else:
+        model.write().save(f"{path}/{version}")
+    old = current_version(spark, path)
+    point_to(spark, path, version)
+    saved = load_encoder(spark, path) if isinstance(model, TableEncoder) else model
+    if old is not None:
+        empty_folder(spark, f"{path}/{old}")
+    return saved
 
 
 def load_encoder(spark: SparkSession, path: str) -> PipelineModel | TableEncoder:
-    """Load a fitted encoder of either kind: a table has a layout beside it."""
-    return TableEncoder.load(spark, path) if path_exists(spark, f"{path}/layout") else PipelineModel.load(path)
+    """Load the current encoder of either kind: a table has a layout beside it. A plain ``PipelineModel`` folder will do."""
+    version = current_version(spark, path)
+    folder = path if version is None else f"{path}/{version}"
+    return TableEncoder.load(spark, folder) if path_exists(spark, f"{folder}/layout") else PipelineModel.load(folder)
 
 
 _VECTOR_FIELDS = ["type", "size", "indices", "values"]

@@ -30,9 +30,11 @@ from clickcast.operators.encode import (
 )
 from clickcast.operators.evaluate import auroc_label, auroc_score
 from clickcast.operators.joins import HOT_ROWS
+from clickcast.operators.rates import FOLDS, RateEncoder, fit_rates, fold_of
 from clickcast.operators.tuning import Tuned, fit
 from clickcast.session import path_exists
 from clickcast.sources import (
+    read_clicks_checked,
     read_clicks_csv,
     read_parquet,
     write_clicks_csv,
@@ -54,27 +56,41 @@ def preprocess(
     method: str = "split",
     hot_rows: int = HOT_ROWS,
     kind: str = "table",
+    rates: bool = False,
+    rejected: bool = False,
 ) -> PipelineModel | TableEncoder:
     """Split a click log nine to one, fit the encoder on the larger part and write its label/feature table.
 
     ``split="hash"`` splits on ``key``, a column of the log, ``split="random"`` by a draw per row. The log is parsed once,
     into ``{out}_split.parquet`` with a folder per side; every later pass reads only the columns it needs of that. ``kind``
-    is the encoder's (see ``fit_encoder``); the table encoder also writes ``index_features``.
+    is the encoder's (see ``fit_encoder``); the table encoder also writes ``index_features``. ``rates`` adds
+    ``rate_features``, each row's out of its own fold (see ``rates``), and ``{out}_rates``, for ``train(features="rates")``.
+    ``rejected``, for which ``schema`` is needed, leaves out lines that do not fit it: they go to ``{out}_rejected``, with a
+    folder per reason, and the clicks of a log without any are the same as without it.
     """
     raw = read_clicks_csv(spark, input, schema)
+    if rejected:
+        if schema is None:
+            raise ValueError("lines can only be rejected by a schema")
+        raw, bad = read_clicks_checked(spark, input, schema)
+        bad.write.mode("overwrite").partitionBy("reason").text(f"{out}_rejected")
     if split == "hash":
         learn = in_first_tenths(key, 9)
     elif split == "random":
         learn = F.rand(seed) < 0.9
     else:
         raise ValueError(f"unknown split {split!r}")
-    raw.withColumn("_side", F.when(learn, "train").otherwise("test")).write.mode("overwrite").partitionBy("_side").parquet(
-        f"{out}_split.parquet"
-    )
-    sides = {side: spark.read.schema(raw.schema).parquet(f"{out}_split.parquet/_side={side}") for side in written_sides(spark, out)}
-    empty = spark.createDataFrame([], raw.schema)
-    write_clicks_csv(sides.get("test", empty), f"{out}_test")
-    write_parquet(prepare_clicks(sides.get("train", empty)).select(*CATEGORIES, "label"), f"{out}_train.parquet")
+    sided = raw.withColumn("_side", F.when(learn, "train").otherwise("test"))
+    if rates:
+        # Fixed here, where the log is read once: by the key if there is one, else by a draw per row.
+        sided = sided.withColumn("_fold", fold_of(key) if split == "hash" else F.floor(FOLDS * F.rand(seed + 1)).cast("int"))
+    sided.write.mode("overwrite").partitionBy("_side").parquet(f"{out}_split.parquet")
+    kinds = sided.drop("_side").schema
+    sides = {side: spark.read.schema(kinds).parquet(f"{out}_split.parquet/_side={side}") for side in written_sides(spark, out)}
+    empty = spark.createDataFrame([], kinds)
+    write_clicks_csv(sides.get("test", empty).select(*raw.columns), f"{out}_test")
+    fold = ["_fold"] if rates else []
+    write_parquet(prepare_clicks(sides.get("train", empty)).select(*CATEGORIES, "label", *fold), f"{out}_train.parquet")
     rows = read_parquet(spark, f"{out}_train.parquet")
 
     # The encoder is fitted on the rows the counts keep, which needs no counting. The same label counts name the
@@ -91,6 +107,10 @@ def preprocess(
     hot = frequent.filter(F.col("column") == "ip").select(F.col("label").alias("ip"))
     counted = click_features(rows, groups, method, hot=hot, hot_rows=hot_rows)
     encoded = model.transform(counted, frequent) if isinstance(model, TableEncoder) else model.transform(counted)
+    if rates:
+        rate_model = fit_rates(kept, F.col("_fold"), numeric=tuple(groups))
+        rate_model.save(f"{out}_rates")
+        encoded = rate_model.transform(encoded, F.col("_fold"), hot_rows)
     vectors = [c for c in FEATURES.values() if c in encoded.columns]
     write_parquet(encoded.select("label", *vectors), f"{out}_labelfeatures.parquet")
     return model
@@ -118,6 +138,7 @@ def train(
     hot_rows: int = HOT_ROWS,
     input_partitions: int | None = None,
     output_files: int | None = None,
+    rates: str | None = None,
     **tuning,
 ) -> Model | Tuned:
     """Fit one classifier, tuned over its grid unless ``params`` are given, and score the raw test split with it.
@@ -125,11 +146,14 @@ def train(
     The test split's counts are taken over the test split itself; ``counts_from``, the ``{out}_train.parquet`` of
     ``preprocess``, takes them over the training clicks instead. ``features="indices"`` learns from label indices and
     counts, as many numbers as there are columns, instead of a feature per label: for trees, which hold every row with one
-    number per feature. ``method`` and ``hot_rows`` are those of ``click_features``. ``input_partitions`` and
+    number per feature. ``features="rates"`` learns from the labels' rates instead of their indices; ``rates`` is the
+    ``{out}_rates`` of ``preprocess``. ``method`` and ``hot_rows`` are those of ``click_features``. ``input_partitions`` and
     ``output_files`` override Spark's own choice. The decision tree also writes ``{out}_vectorized_test_data``, ``{out}_prediction`` and
     ``{out}_trained_dt_model``, and fails if one of them exists.
     """
     vector = FEATURES[features]
+    if features == "rates" and rates is None:
+        raise ValueError("name the rates that preprocess has written")
     rows = read_features(spark, labelfeatures).select("label", F.col(vector).alias("features"))
     if input_partitions is not None:
         rows = rows.repartition(input_partitions)
@@ -143,6 +167,8 @@ def train(
 
     # The test features are written first and scored from the file: their counts are computed once.
     encoded = encode(counted, model, clicks, hot_rows)
+    if features == "rates":
+        encoded = RateEncoder.load(spark, rates, numeric=tuple(groups)).transform(encoded, hot_rows=hot_rows)
     if algorithm == "dt":
         write_parquet(encoded, f"{out}_vectorized_test_data", mode="errorifexists")
         encoded = read_parquet(spark, f"{out}_vectorized_test_data")

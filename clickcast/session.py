@@ -86,3 +86,35 @@ def empty_folder(spark: SparkSession, path: str) -> None:
     """Remove what an earlier run has written to ``path``."""
     store, place = _hadoop(spark, path)
     store.delete(place, True)
+
+
+# The file that names the current one of several folders beside it.
+POINTER = "current"
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """The folder below ``path`` that is current, if there is one."""
+    store, place = _hadoop(spark, f"{path}/{POINTER}")
+    if not store.exists(place):
+        return None
+    stream = store.open(place)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def point_to(spark: SparkSession, path: str, version: str) -> None:
+    """Make ``version`` the current folder below ``path``, by one rename over the old pointer."""
+    store, draft = _hadoop(spark, f"{path}/_{POINTER}-{version}")
+    stream = store.create(draft, True)
+    try:
+        stream.write(bytearray(version.encode()))
+    finally:
+        stream.close()
+    jvm = spark._jvm
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    target = _hadoop(spark, f"{path}/{POINTER}")[1]
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(draft.toUri(), spark._jsc.hadoopConfiguration()) if draft.toUri().getScheme() else jvm.org.apache.hadoop.fs.FileContext.getFileContext(spark._jsc.hadoopConfiguration())
+    context.rename(draft, target, options)
