@@ -186,7 +186,9 @@ def _gini_split(name: str, where: str) -> str:
   WHERE event_id IN (SELECT event_id FROM {name}_rows) GROUP BY position),
 {name}_whole AS (SELECT count(*) FILTER (label = 0) AS n0, count(*) FILTER (label = 1) AS n1 FROM {name}_rows),
 {name} AS (
-  SELECT position, r1 / (r0 + r1) AS present, (n1 - r1) / (n0 + n1 - r0 - r1) AS absent
+  -- Leaves beside each other that predict the same class are one.
+  SELECT position, CASE WHEN (r1 > r0) = (n1 - r1 > n0 - r0) THEN n1 / (n0 + n1) ELSE r1 / (r0 + r1) END AS present,
+    CASE WHEN (r1 > r0) = (n1 - r1 > n0 - r0) THEN n1 / (n0 + n1) ELSE (n1 - r1) / (n0 + n1 - r0 - r1) END AS absent
   FROM {name}_sides, {name}_whole WHERE n0 + n1 > r0 + r1
   ORDER BY r0 * r1 / (r0 + r1) + (n0 - r0) * (n1 - r1) / (n0 + n1 - r0 - r1), position LIMIT 1)"""
 

@@ -112,9 +112,9 @@ def point_to(spark: SparkSession, path: str, version: str) -> None:
         stream.write(bytearray(version.encode()))
     finally:
         stream.close()
-    jvm = spark._jvm
-    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-    target = _hadoop(spark, f"{path}/{POINTER}")[1]
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(draft.toUri(), spark._jsc.hadoopConfiguration()) if draft.toUri().getScheme() else jvm.org.apache.hadoop.fs.FileContext.getFileContext(spark._jsc.hadoopConfiguration())
-    context.rename(draft, target, options)
+    fs, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    options = spark.sparkContext._gateway.new_array(fs.Options.Rename, 1)
+    options[0] = fs.Options.Rename.OVERWRITE
+    # Only this interface renames over a file in one step.
+    context = fs.FileContext.getFileContext(store.getUri(), conf)
+    context.rename(draft, _hadoop(spark, f"{path}/{POINTER}")[1], options)
