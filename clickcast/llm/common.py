@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from clickcast.session import scratch_path
 
@@ -69,6 +70,18 @@ def numbered(df: DataFrame, order: Sequence[Column], number: str) -> DataFrame:
     return placed.join(starts, p + "part").select(*df.columns, (F.col(p + "start") + row).alias(number))
 
 
+def in_pandas(rows: DataFrame, function, columns: str) -> DataFrame:
+    """``rows.mapInPandas`` with the column ``id`` passed through as text, where its type has one.
+
+    Pandas would make floats of whole numbers that stand beside a null, and 2**53 + 1 would come back as another id.
+    """
+    kind = rows.schema["id"].dataType
+    if not isinstance(kind, AtomicType):
+        return rows.mapInPandas(function, f"id {kind.simpleString()}, {columns}")
+    found = rows.withColumn("id", F.col("id").cast("string")).mapInPandas(function, f"id string, {columns}")
+    return found.withColumn("id", F.col("id").cast(kind))
+
+
 def held_out(id_: Column) -> Column:
     """Whether a row is held out of every fit: the crc32 of its id as text is divisible by 5. A null id counts as empty."""
     return F.crc32(F.coalesce(id_.cast("string"), F.lit("")).cast("binary")) % 5 == 0

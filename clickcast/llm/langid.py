@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickcast.llm.common import held_out, written
+from clickcast.llm.common import held_out, in_pandas, written
 
 SAMPLE_DOCS, MAX_WORDS, MAX_GRAMS = 4000, 50_000, 5000
 ORDERS = (5, 4, 3, 2, 1)
@@ -96,10 +96,11 @@ class LanguageModel:
             else:
                 seen.append(row)
         total = np.zeros(len(self.languages))
-        if seen:
-            total += self.word_scores[seen].sum(0)
-        if unseen:
-            total += self._weighted[unseen].sum(0)
+        # Each row once, times how often it stands in the text: a text has many words but few rows.
+        for rows, scores in ((seen, self.word_scores), (unseen, self._weighted)):
+            if rows:
+                which, times = np.unique(rows, return_counts=True)
+                total += times @ scores[which]
         best = int(total.argmax())
         return self.languages[best], float(1 / np.exp(np.clip(total - total[best], -700, 0)).sum())
 
@@ -176,5 +177,4 @@ def predict(docs: DataFrame, model: LanguageModel, *, id_col="doc_id", text_col=
             yield pd.DataFrame({"id": batch["id"], "lang_pred": [m[0] for m in made], "score": [m[1] for m in made]})
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInPandas(label, f"id {kind}, lang_pred string, score double").withColumnRenamed("id", id_col)
+    return in_pandas(rows, label, "lang_pred string, score double").withColumnRenamed("id", id_col)

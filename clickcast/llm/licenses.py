@@ -27,9 +27,11 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import SparseVector
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickcast.llm.common import in_pandas
+
 SAMPLE_PARAGRAPHS = 2000
 VARIANTS = 24
 LEAST_PROBABILITY, LEAST_CONTAINED = 0.5, 0.6
@@ -137,13 +139,16 @@ def _kept(words: list[str], common: set[str]) -> set[str]:
     return {g for g in ngrams(words) if not common.issuperset(g.split(" "))}
 
 
+def _sampled(column: str, sample: int, total: int) -> Column:
+    """Whether a value is one of about ``sample`` of ``total``, by its hash: as fine as 2**53, so of any total some are."""
+    return F.pmod(F.xxhash64(column), F.lit(1 << 53)) / float(1 << 53) < min(1.0, sample / max(total, 1))
+
+
 def fit(spark: SparkSession, docs: DataFrame, *, text_col="text", sample=SAMPLE_PARAGRAPHS, seed: int = 7) -> LicenceModel:
     """Train on templates and on a sample of the documents' paragraphs."""
     lines = docs.select(F.explode(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")).alias("line")).filter("trim(line) != ''")
     total = lines.count()
-    chosen = F.pmod(F.xxhash64("line"), F.lit(1_000_003)) < F.lit(int(1_000_003 * min(1.0, sample / max(total, 1))))
-    # A paragraph may be long: the first words of a sampled one are enough to learn what ordinary words are.
-    ordinary = sorted(r["line"] for r in lines.filter(chosen).select(F.substring("line", 1, 400).alias("line")).distinct().collect())
+    ordinary = sorted(r["line"] for r in lines.filter(_sampled("line", sample, total)).distinct().collect())
     rng = Random(seed)
     notices = [_triples(paragraph_words(n)) for family in TEMPLATES.values() for n in family]
     prose = [w for w in map(paragraph_words, ordinary) if not any(len(t & _triples(w)) >= LEAST_CONTAINED * len(t) for t in notices)]
@@ -265,5 +270,4 @@ def scan(docs: DataFrame, model: LicenceModel, *, id_col="doc_id", text_col="tex
             )
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInPandas(label, f"id {kind}, n_licences long, families string, spans string").withColumnRenamed("id", id_col)
+    return in_pandas(rows, label, "n_licences long, families string, spans string").withColumnRenamed("id", id_col)

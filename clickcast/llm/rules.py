@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickcast.llm.common import written
+from clickcast.llm.common import in_pandas, written
 from clickcast.llm.docstats import count
 
 LEAST_WORDS, MOST_REPEATED = 50, (50, 100)
@@ -154,9 +154,8 @@ def judge(docs: DataFrame, *, id_col="doc_id", text_col="text", lang_col="lang",
     rows = docs.select(
         F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(source_col).cast("string").alias("source"), F.col(text_col).alias("text")
     )
-    kind = rows.schema["id"].dataType.simpleString()
     names = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
-    made = rows.mapInPandas(_measured, f"id {kind}, lang string, source string, {names}, x array<double>")
+    made = in_pandas(rows, _measured, f"lang string, source string, {names}, x array<double>")
     of, whole = MOST_REPEATED
     failed = (F.col("n_words") < LEAST_WORDS) | (F.col("n_repeat_words") * whole > F.col("n_words") * of)
     made = written(made.withColumn("base_failed", failed), "rules-counts")

@@ -22,7 +22,6 @@ Defined results: null and empty texts have no span; each row is scanned by itsel
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -32,6 +31,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickcast.llm.common import in_pandas
+
 KINDS = ("assign", "access", "hex", "random")
 # The base patterns and their least lengths. Letters of names are in either case, of A-Z only.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -153,10 +154,14 @@ def battery(token: str) -> float | None:
 
 def random_spans(text: str, taken: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     """Tokens that the battery finds random, away from the spans in ``taken``."""
-    tested = []
+    tested, known, at, reach = [], sorted(taken), 0, 0
     for match in TOKEN.finditer(text):
         start, end = match.span()
-        if not any(s < end and start < e for s, e, _ in taken):
+        # Tokens come in order, so the spans that begin before this one ends are those of the last token and some more.
+        while at < len(known) and known[at][0] < end:
+            reach = max(reach, known[at][1])
+            at += 1
+        if reach <= start:
             p = battery(match.group())
             tested.append((1.0 if p is None else p, start, end))
     tested.sort()
@@ -192,9 +197,4 @@ def scan(docs: DataFrame, *, id_col="doc_id", text_col="text") -> DataFrame:
     """Per document: id, the number of spans of each kind, ``base_spans`` and ``spans`` (code points, end exclusive)."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     counts = ", ".join(f"n_{k} long" for k in KINDS)
-    schema = f"id {rows.schema['id'].dataType.simpleString()}, {counts}, base_spans string, spans string"
-    return rows.mapInPandas(_scan, schema).withColumnRenamed("id", id_col)
-
-
-def digest(spans: str) -> str:
-    return hashlib.sha256(spans.encode()).hexdigest()
+    return in_pandas(rows, _scan, f"{counts}, base_spans string, spans string").withColumnRenamed("id", id_col)
