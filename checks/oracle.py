@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.queries import ALL_GROUPS
+from checks.queries import ALL_GROUPS, HASHED
 from clickcast.operators.counts import GROUPS
 from clickcast.operators.encode import CATEGORIES
 from clickcast.operators.models import BOOSTED, GRIDS
@@ -211,6 +211,32 @@ SELECT event_id, round(CASE
   WHEN {_has('nay', 'asked')} THEN (SELECT present FROM nay) ELSE (SELECT absent FROM nay) END, 9) AS score
 FROM test"""
 
+def _hashed(c: str, value: str = "{c}") -> tuple[str, str]:
+    """A label's position and sign, from the md5 of column and label."""
+    digest = f"md5('{c}=' || CAST({value.format(c=c)} AS VARCHAR))"
+    return f"(('0x' || substr({digest}, 1, 8))::BIGINT % {HASHED[c]})", f"(CASE WHEN ('0x' || substr({digest}, 9, 1))::INT % 2 = 0 THEN 1 ELSE -1 END)"
+
+
+def _hashed_features() -> str:
+    # A hashed column has as many rows in ``labels`` as it has positions, so that the blocks behind it start where they must.
+    listed = [c for c in CATEGORIES if c not in HASHED]
+    wide = " UNION ALL ".join(f"SELECT '{c}' AS col, NULL AS label, 0 AS n, unnest(range({w})) AS idx" for c, w in HASHED.items())
+    parts = [
+        f"SELECT event_id, label, CAST(start + {_hashed(c)[0]} AS INT) AS position, CAST({_hashed(c)[1]} AS DOUBLE) AS value "
+        f"FROM test_rows JOIN offsets ON col = '{c}'"
+        for c in HASHED
+    ]
+    return f"""WITH {PARTS}, train_rows AS ({counted('train')}), test_rows AS ({counted('test')}),
+labels AS ({labels('train_rows', listed)} UNION ALL {wide}), offsets AS ({offsets()})
+{entries('test_rows', listed)} UNION ALL {' UNION ALL '.join(parts)}"""
+
+
+COLLISIONS = f"WITH {PREPARED}, places AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS col, {_hashed(c)[0]} AS place, count(DISTINCT {c}) AS labels, count(*) AS n FROM prepared WHERE {c} IS NOT NULL GROUP BY 2"
+    for c in HASHED
+) + """) SELECT col AS "column", CAST(sum(labels) AS BIGINT) AS labels, CAST(coalesce(sum(labels) FILTER (labels > 1), 0) AS BIGINT) AS shared,
+  CAST(coalesce(sum(n) FILTER (labels > 1), 0) AS BIGINT) AS rows_shared FROM places GROUP BY col"""
+
 MERGED = f"""WITH {PREPARED}, labels AS ({labels('prepared')})
 SELECT col AS "column", label, n, CAST(idx AS DOUBLE) AS label_index FROM labels"""
 
@@ -348,6 +374,8 @@ ORACLE = {
       round((right_1 - right_0) / (right_0 + right_1), 9) AS "right" FROM best""",
     "boosted_stumps": BOOSTED_STUMPS,
     "dt_two_levels": TWO_LEVELS,
+    "hashed_features": _hashed_features(),
+    "hashed_collisions": COLLISIONS,
     "merged_labels": MERGED,
     "moved_labels": MOVED,
     "rejected_lines": REJECTED,

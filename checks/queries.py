@@ -19,8 +19,10 @@ from clickcast.operators.encode import (
     encoder,
     feature_rows,
     fit_encoder,
+    hash_collisions,
     index_labels,
     join_indices,
+    label_counts,
     load_encoder,
     merge_encoders,
     moved_indices,
@@ -35,7 +37,7 @@ from clickcast.operators.models import BOOSTED, REGISTRY
 from clickcast.operators.rates import fit_rates, fold_of
 from clickcast.operators.tuning import fit, tune
 from clickcast.plans import jobs
-from clickcast.session import scratch_path
+from clickcast.session import scratch_path, stored
 from clickcast.sources import (
     clicks,
     read_clicks_checked,
@@ -270,6 +272,23 @@ def string_index(column, spark, sf_dir):
     return index_labels(_prepared(spark, sf_dir), [column]).select("label", "n", "label_index")
 
 
+HASHED = {"ip": 64, "channel": 8}
+
+
+def hashed_features(spark, sf_dir):
+    """Held-out features with two columns hashed into a bounded number of signed positions, through a saved encoder."""
+    train, test = _parts(spark, sf_dir)
+    path = scratch_path(spark, "hashed")
+    save_encoder(fit_encoder(with_all_keys(train), hashed=HASHED), path)
+    rows = feature_rows(click_features(test), load_encoder(spark, path), "event_id", "label", source=test)
+    return vector_entries(_vectors(rows), "features", "event_id", "label")
+
+
+def hashed_collisions(spark, sf_dir):
+    counts = label_counts(_prepared(spark, sf_dir), list(HASHED))
+    return hash_collisions(stored(counts), HASHED)
+
+
 def _halves(spark, sf_dir):
     return [fit_encoder(half, numeric=()) for half in hash_split(_prepared(spark, sf_dir), "event_id", 5, 3)]
 
@@ -538,6 +557,8 @@ QUERIES = {
     "click_features_narrow_keys": features_narrow_keys,
     "click_features_counts_from_train": features_counts_from_train,
     **{f"string_index_{c}": partial(string_index, c) for c in CATEGORIES},
+    "hashed_features": hashed_features,
+    "hashed_collisions": hashed_collisions,
     "merged_labels": merged_labels,
     "moved_labels": moved_labels,
     "string_index_unseen": string_index_unseen,

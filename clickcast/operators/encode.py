@@ -12,8 +12,8 @@ ordered numbers and need not know every label as a feature of its own.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field, replace
 from functools import cached_property, reduce
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -43,6 +43,8 @@ def numeric_columns(df: DataFrame, categories: Sequence[str] = CATEGORIES, other
 def label_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``column, label, n`` for every non-null value of every column, in one pass and one aggregation."""
     pairs = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("label")) for c in columns]
+    if not pairs:
+        return df.sparkSession.createDataFrame([], "column string, label string, n bigint")
     long = df.select(F.inline(F.array(*pairs))).filter(F.col("label").isNotNull())
     return long.groupBy("column", "label").agg(F.count("*").alias("n"))
 
@@ -156,10 +158,41 @@ def number_column(name: str) -> Column:
     return F.when(F.col(name).isNull(), problem).otherwise(F.col(name).cast("double"))
 
 
+def _digest(column: str) -> Column:
+    return F.md5(F.concat(F.lit(f"{column}="), F.col(column).cast("string")).cast("binary"))
+
+
+def hash_place(column: str, width: int) -> Column:
+    """A label's position among ``width``, from the md5 of column and label; null for null."""
+    return (F.conv(F.substring(_digest(column), 1, 8), 16, 10).cast("bigint") % width).cast("int")
+
+
+def hash_sign(column: str) -> Column:
+    """1 or -1, from other digits of the same md5, so that labels that share a position cancel out on average."""
+    return F.when(F.conv(F.substring(_digest(column), 9, 1), 16, 10).cast("int") % 2 == 0, 1.0).otherwise(-1.0)
+
+
+def hash_collisions(counts: DataFrame, hashed: Mapping[str, int]) -> DataFrame:
+    """``column, labels, shared, rows_shared`` from ``label_counts``: labels that share a position, and their rows."""
+    parts = []
+    for c, width in hashed.items():
+        own = counts.filter(F.col("column") == c).select("column", F.col("label").alias(c), "n")
+        parts.append(own.groupBy("column", hash_place(c, width).alias("place")).agg(F.count("*").alias("labels"), F.sum("n").alias("n")))
+    shared = F.col("labels") > 1
+    return reduce(DataFrame.unionByName, parts).groupBy("column").agg(
+        F.sum("labels").alias("labels"),
+        F.sum(F.when(shared, F.col("labels")).otherwise(0)).alias("shared"),
+        F.sum(F.when(shared, F.col("n")).otherwise(0)).alias("rows_shared"),
+    )
+
+
 @dataclass(frozen=True)
 class TableEncoder:
     """A fitted encoder whose labels are the table ``index``, from ``rank_labels``.
 
+    Columns in ``hashed`` have no labels there: their blocks have the width given, and a label's position is a hash, with the
+    value 1, or 1 or -1 if ``signed``. Their labels are never counted or looked up, and unseen ones have a position too.
+
     ``transform`` adds ``<column>_Index`` and ``<column>_Vec`` for each category, ``features`` and ``index_features``. The
     vectors have the fields of a vector column, but become one only when they are written to parquet and read with
     ``read_features``.
@@ -168,20 +201,29 @@ class TableEncoder:
     index: DataFrame
     categories: Sequence[str] = CATEGORIES
     numeric: Sequence[str] = tuple(GROUPS)
+    hashed: Mapping[str, int] = field(default_factory=dict)
+    signed: bool = True
 
     @cached_property
     def sizes(self) -> dict[str, int]:
-        found = _sizes(self.index)
+        found = {**_sizes(self.index), **self.hashed}
         return {c: found.get(c, 0) for c in self.categories}
 
+    @property
+    def wide(self) -> list[str]:
+        """The columns whose labels are too many for a broadcast."""
+        return [c for c, size in self.sizes.items() if size > WIDE_LABELS and c not in self.hashed]
+
     def transform(self, df: DataFrame, frequent: DataFrame | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
-        indexed = join_indices(df, self.index, self.categories, frequent, hot_rows)
+        indexed = join_indices(df, self.index, [c for c in self.categories if c not in self.hashed], frequent, hot_rows)
+        for c, width in self.hashed.items():
+            indexed = indexed.withColumn(f"{c}_Index", F.coalesce(hash_place(c, width), F.lit(width)).cast("double"))
         none = F.array().cast("array<struct<position:int,value:double>>")
         blocks, entries, start = {}, [], 0
         for c, size in self.sizes.items():
-            at = F.col(f"{c}_Index")
-            blocks[f"{c}_Vec"] = _sparse(size, F.when(at < size, F.array(_entry(at, F.lit(1.0)))).otherwise(none))
-            entries.append(F.when(at < size, _entry(start + at, F.lit(1.0))))
+            at, one = F.col(f"{c}_Index"), hash_sign(c) if self.signed and c in self.hashed else F.lit(1.0)
+            blocks[f"{c}_Vec"] = _sparse(size, F.when(at < size, F.array(_entry(at, one))).otherwise(none))
+            entries.append(F.when(at < size, _entry(start + at, one)))
             start += size
         for i, c in enumerate(self.numeric):
             value = number_column(c)
@@ -193,8 +235,10 @@ class TableEncoder:
 
     def save(self, path: str) -> None:
         """The table of labels and the layout, in an empty folder."""
-        layout = [(i, c, c in self.categories) for i, c in enumerate([*self.categories, *self.numeric])]
-        columns = self.index.sparkSession.createDataFrame(layout, "place int, column string, category boolean")
+        names = enumerate([*self.categories, *self.numeric])
+        layout = [(i, c, c in self.categories, self.hashed.get(c), self.signed) for i, c in names]
+        kinds = "place int, column string, category boolean, width int, signed boolean"
+        columns = self.index.sparkSession.createDataFrame(layout, kinds)
         self.index.write.partitionBy("column").parquet(f"{path}/labels")
         columns.coalesce(1).write.parquet(f"{path}/layout")
 
@@ -202,7 +246,11 @@ class TableEncoder:
     def load(spark: SparkSession, path: str) -> TableEncoder:
         layout = spark.read.parquet(f"{path}/layout").orderBy("place").collect()
         categories, numeric = ([r["column"] for r in layout if r["category"] is kind] for kind in (True, False))
-        return TableEncoder(spark.read.parquet(f"{path}/labels"), tuple(categories), tuple(numeric))
+        hashed = {r["column"]: r["width"] for r in layout if "width" in r and r["width"] is not None}
+        signed = all(r["signed"] for r in layout if "signed" in r)
+        # With every category hashed there are no labels, and no file of them.
+        labels = spark.read.schema("label string, n bigint, label_index double, column string").parquet(f"{path}/labels")
+        return TableEncoder(labels, tuple(categories), tuple(numeric), hashed, signed)
 
 
 def merge_encoders(first: TableEncoder, *others: TableEncoder) -> TableEncoder:
@@ -210,7 +258,8 @@ def merge_encoders(first: TableEncoder, *others: TableEncoder) -> TableEncoder:
 
     Only the tables of labels are read. Labels keep no number; see ``moved_indices``.
     """
-    if any(tuple(o.categories) != tuple(first.categories) or tuple(o.numeric) != tuple(first.numeric) for o in others):
+    columns = lambda e: (tuple(e.categories), tuple(e.numeric), dict(e.hashed), e.signed)
+    if any(columns(o) != columns(first) for o in others):
         raise ValueError("encoders of different columns")
     counts = reduce(DataFrame.unionByName, (e.index.select("column", "label", "n") for e in (first, *others)))
     summed = stored(counts.groupBy("column", "label").agg(F.sum("n").alias("n")), "label-counts")
@@ -236,8 +285,7 @@ def encode(
     """``model.transform(df)``. ``source`` has the categories of ``df`` and is cheaper to look for frequent labels in."""
     if not isinstance(model, TableEncoder):
         return model.transform(df)
-    wide = [c for c, size in model.sizes.items() if size > WIDE_LABELS]
-    frequent = frequent_labels(label_counts(source, wide), hot_rows) if wide and source is not None else None
+    frequent = frequent_labels(label_counts(source, model.wide), hot_rows) if model.wide and source is not None else None
     return model.transform(df, frequent, hot_rows)
 
 
@@ -306,17 +354,26 @@ def fit_encoder(
     numeric: Sequence[str] = tuple(GROUPS),
     counts: DataFrame | None = None,
     kind: str = "table",
+    hashed: Mapping[str, int] | None = None,
+    signed: bool = True,
 ) -> PipelineModel | TableEncoder:
     """Fit the encoder on the categories of ``df``; the numeric columns need not be there yet.
 
+    ``hashed`` bounds the width of columns: see ``TableEncoder``.
+
     Labels are counted by a distributed aggregation (``counts``, if that is at hand) and ranked where they are. With
     ``kind="pipeline"`` all of them are brought to the driver and make a ``PipelineModel``: the caller's choice.
     """
+    hashed = dict(hashed or {})
+    if hashed and kind != "table":
+        raise ValueError("only the table encoder has hashed columns")
+    listed = [c for c in categories if c not in hashed]
     if counts is None:
-        counts = stored(label_counts(df, categories), "label-counts")
+        counts = stored(label_counts(df, listed), "label-counts")
     if kind == "table":
         # Written, since the sizes and every column's lookup read it.
-        return TableEncoder(stored(rank_labels(counts), "labels"), tuple(categories), tuple(numeric))
+        labels = stored(rank_labels(counts.filter(F.col("column").isin(*listed))), "labels")
+        return TableEncoder(labels, tuple(categories), tuple(numeric), hashed, signed)
     if kind != "pipeline":
         raise ValueError(f"unknown kind {kind!r}")
     ranked = sorted(counts.collect(), key=lambda r: (-r["n"], r["label"]))

@@ -1,16 +1,20 @@
 """The three batch jobs. Files under an output prefix are the only interface between them.
 
 ``preprocess``  click log -> ``{out}_split.parquet``, ``{out}_test``, ``{out}_train.parquet``, ``{out}_pipeline``,
-                ``{out}_pipeline_model``, ``{out}_labelfeatures.parquet``
+                ``{out}_pipeline_model``, ``{out}_frequent.parquet``, ``{out}_labelfeatures.parquet``, ``{out}_steps``
 ``train``       those -> ``{out}_clicks.parquet``, ``{out}_tests.parquet``, ``{out}_predicts.parquet``
 ``evaluate``    predictions -> ``{out}_auroc``
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Mapping
+
 from pyspark.ml import Model, PipelineModel
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.storagelevel import StorageLevel
 
 from clickcast.functions import in_first_tenths, prepare_clicks
@@ -32,7 +36,8 @@ from clickcast.operators.evaluate import auroc_label, auroc_score
 from clickcast.operators.joins import HOT_ROWS
 from clickcast.operators.rates import FOLDS, RateEncoder, fit_rates, fold_of
 from clickcast.operators.tuning import Tuned, fit
-from clickcast.session import path_exists
+from clickcast.plans.steps import Steps
+from clickcast.session import file_facts, path_exists
 from clickcast.sources import (
     read_clicks_checked,
     read_clicks_csv,
@@ -58,6 +63,9 @@ def preprocess(
     kind: str = "table",
     rates: bool = False,
     rejected: bool = False,
+    hashed: Mapping[str, int] | None = None,
+    signed: bool = True,
+    resume: bool = False,
 ) -> PipelineModel | TableEncoder:
     """Split a click log nine to one, fit the encoder on the larger part and write its label/feature table.
 
@@ -66,53 +74,85 @@ def preprocess(
     is the encoder's (see ``fit_encoder``); the table encoder also writes ``index_features``. ``rates`` adds
     ``rate_features``, each row's out of its own fold (see ``rates``), and ``{out}_rates``, for ``train(features="rates")``.
     ``rejected``, for which ``schema`` is needed, leaves out lines that do not fit it: they go to ``{out}_rejected``, with a
-    folder per reason, and the clicks of a log without any are the same as without it.
+    folder per reason, and the clicks of a log without any are the same as without it. ``hashed`` and ``signed`` bound the
+    width of columns (see ``TableEncoder``); naive Bayes and ``boosted`` take no negative values.
+
+    Every step leaves a manifest in ``{out}_steps``. With ``resume`` a call that is asked for the same, over a log with the
+    same files, goes on behind the last step that an earlier call has finished.
     """
-    raw = read_clicks_csv(spark, input, schema)
-    if rejected:
-        if schema is None:
-            raise ValueError("lines can only be rejected by a schema")
-        raw, bad = read_clicks_checked(spark, input, schema)
-        bad.write.mode("overwrite").partitionBy("reason").text(f"{out}_rejected")
-    if split == "hash":
-        learn = in_first_tenths(key, 9)
-    elif split == "random":
-        learn = F.rand(seed) < 0.9
-    else:
+    if split not in ("hash", "random"):
         raise ValueError(f"unknown split {split!r}")
-    sided = raw.withColumn("_side", F.when(learn, "train").otherwise("test"))
-    if rates:
-        # Fixed here, where the log is read once: by the key if there is one, else by a draw per row.
-        sided = sided.withColumn("_fold", fold_of(key) if split == "hash" else F.floor(FOLDS * F.rand(seed + 1)).cast("int"))
-    sided.write.mode("overwrite").partitionBy("_side").parquet(f"{out}_split.parquet")
-    kinds = sided.drop("_side").schema
-    sides = {side: spark.read.schema(kinds).parquet(f"{out}_split.parquet/_side={side}") for side in written_sides(spark, out)}
-    empty = spark.createDataFrame([], kinds)
-    write_clicks_csv(sides.get("test", empty).select(*raw.columns), f"{out}_test")
-    fold = ["_fold"] if rates else []
-    write_parquet(prepare_clicks(sides.get("train", empty)).select(*CATEGORIES, "label", *fold), f"{out}_train.parquet")
+    if rejected and schema is None:
+        raise ValueError("lines can only be rejected by a schema")
+    asked = {
+        "files": file_facts(spark, input), "input": input, "schema": schema and schema.json(), "split": (split, key, seed),
+        "groups": dict(groups), "method": method, "kind": kind, "options": (rates, rejected, hashed, signed),
+    }
+    steps = Steps(spark, f"{out}_steps", asked, resume)
+
+    def split_log() -> dict:
+        if rejected:
+            raw, bad = read_clicks_checked(spark, input, schema)
+            bad.write.mode("overwrite").partitionBy("reason").text(f"{out}_rejected")
+        else:
+            raw = read_clicks_csv(spark, input, schema)
+        learn = in_first_tenths(key, 9) if split == "hash" else F.rand(seed) < 0.9
+        sided = raw.withColumn("_side", F.when(learn, "train").otherwise("test"))
+        if rates:
+            # Fixed here, where the log is read once: by the key if there is one, else by a draw per row.
+            fold = fold_of(key) if split == "hash" else F.floor(FOLDS * F.rand(seed + 1)).cast("int")
+            sided = sided.withColumn("_fold", fold)
+        sided.write.mode("overwrite").partitionBy("_side").parquet(f"{out}_split.parquet")
+        return {"schema": sided.drop("_side").schema.json(), "columns": raw.columns, "sides": written_sides(spark, out)}
+
+    parsed = steps.run("split", split_log)
+    kinds = StructType.fromJson(json.loads(parsed["schema"]))
+
+    def side(name: str) -> DataFrame:
+        if name not in parsed["sides"]:
+            return spark.createDataFrame([], kinds)
+        return spark.read.schema(kinds).parquet(f"{out}_split.parquet/_side={name}")
+
+    def write_parts() -> dict:
+        write_clicks_csv(side("test").select(*parsed["columns"]), f"{out}_test")
+        fold = ["_fold"] if rates else []
+        write_parquet(prepare_clicks(side("train")).select(*CATEGORIES, "label", *fold), f"{out}_train.parquet")
+        return {"train_rows": read_parquet(spark, f"{out}_train.parquet").count()}
+
+    steps.run("parts", write_parts)
     rows = read_parquet(spark, f"{out}_train.parquet")
-
     # The encoder is fitted on the rows the counts keep, which needs no counting. The same label counts name the
     # addresses and labels that are too frequent for one task.
     kept = with_all_keys(rows, groups)
-    counts = label_counts(kept, CATEGORIES).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        model = fit_encoder(kept, numeric=tuple(groups), counts=counts, kind=kind)
-        frequent = frequent_labels(counts, hot_rows)
-        model = save_encoder(model, f"{out}_pipeline_model")
-    finally:
-        counts.unpersist()
-    encoder(numeric=tuple(groups)).write().overwrite().save(f"{out}_pipeline")
-    hot = frequent.filter(F.col("column") == "ip").select(F.col("label").alias("ip"))
-    counted = click_features(rows, groups, method, hot=hot, hot_rows=hot_rows)
-    encoded = model.transform(counted, frequent) if isinstance(model, TableEncoder) else model.transform(counted)
-    if rates:
-        rate_model = fit_rates(kept, F.col("_fold"), numeric=tuple(groups))
-        rate_model.save(f"{out}_rates")
-        encoded = rate_model.transform(encoded, F.col("_fold"), hot_rows)
-    vectors = [c for c in FEATURES.values() if c in encoded.columns]
-    write_parquet(encoded.select("label", *vectors), f"{out}_labelfeatures.parquet")
+
+    def fit_encoders() -> dict:
+        counts = label_counts(kept, CATEGORIES).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            model = fit_encoder(kept, numeric=tuple(groups), counts=counts, kind=kind, hashed=hashed, signed=signed)
+            write_parquet(frequent_labels(counts, hot_rows), f"{out}_frequent.parquet")
+            save_encoder(model, f"{out}_pipeline_model")
+        finally:
+            counts.unpersist()
+        encoder(numeric=tuple(groups)).write().overwrite().save(f"{out}_pipeline")
+        if rates:
+            fit_rates(kept, F.col("_fold"), numeric=tuple(groups)).save(f"{out}_rates")
+        return {"hot_rows": hot_rows}
+
+    steps.run("encoder", fit_encoders)
+    model = load_encoder(spark, f"{out}_pipeline_model")
+
+    def write_features() -> dict:
+        frequent = read_parquet(spark, f"{out}_frequent.parquet")
+        hot = frequent.filter(F.col("column") == "ip").select(F.col("label").alias("ip"))
+        counted = click_features(rows, groups, method, hot=hot, hot_rows=hot_rows)
+        encoded = model.transform(counted, frequent) if isinstance(model, TableEncoder) else model.transform(counted)
+        if rates:
+            encoded = RateEncoder.load(spark, f"{out}_rates", numeric=tuple(groups)).transform(encoded, F.col("_fold"), hot_rows)
+        vectors = [c for c in FEATURES.values() if c in encoded.columns]
+        write_parquet(encoded.select("label", *vectors), f"{out}_labelfeatures.parquet")
+        return {"rows": read_parquet(spark, f"{out}_labelfeatures.parquet").count()}
+
+    steps.run("features", write_features)
     return model
 
 

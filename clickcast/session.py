@@ -22,6 +22,13 @@ def local_session(
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # A long session makes the code of thousands of plans; when the JVM's default space for compiled code is full, it
+        # stops compiling. What is kept of finished queries would fill the heap.
+        .config("spark.driver.extraJavaOptions", "-XX:ReservedCodeCacheSize=1g")
+        .config("spark.sql.ui.retainedExecutions", "20")
+        .config("spark.ui.retainedJobs", "50")
+        .config("spark.ui.retainedStages", "50")
+        .config("spark.ui.retainedTasks", "2000")
     )
     if checkpoint_dir is not None:
         builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
@@ -88,13 +95,9 @@ def empty_folder(spark: SparkSession, path: str) -> None:
     store.delete(place, True)
 
 
-# The file that names the current one of several folders beside it.
-POINTER = "current"
-
-
-def current_version(spark: SparkSession, path: str) -> str | None:
-    """The folder below ``path`` that is current, if there is one."""
-    store, place = _hadoop(spark, f"{path}/{POINTER}")
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file, None where there is none."""
+    store, place = _hadoop(spark, path)
     if not store.exists(place):
         return None
     stream = store.open(place)
@@ -104,17 +107,40 @@ def current_version(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
-def point_to(spark: SparkSession, path: str, version: str) -> None:
-    """Make ``version`` the current folder below ``path``, by one rename over the old pointer."""
-    store, draft = _hadoop(spark, f"{path}/_{POINTER}-{version}")
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, written whole beside its place and put there by one rename, over what is there."""
+    folder, name = os.path.split(path)
+    store, draft = _hadoop(spark, f"{folder}/_{name}-{uuid.uuid4().hex}")
     stream = store.create(draft, True)
     try:
-        stream.write(bytearray(version.encode()))
+        stream.write(bytearray(text.encode()))
     finally:
         stream.close()
-    fs, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    fs = spark._jvm.org.apache.hadoop.fs
     options = spark.sparkContext._gateway.new_array(fs.Options.Rename, 1)
     options[0] = fs.Options.Rename.OVERWRITE
     # Only this interface renames over a file in one step.
-    context = fs.FileContext.getFileContext(store.getUri(), conf)
-    context.rename(draft, _hadoop(spark, f"{path}/{POINTER}")[1], options)
+    fs.FileContext.getFileContext(store.getUri(), spark._jsc.hadoopConfiguration()).rename(draft, _hadoop(spark, path)[1], options)
+
+
+def file_facts(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """Name, bytes and time of change of the files at ``path``, without Spark's own marks."""
+    store, place = _hadoop(spark, path)
+    if not store.exists(place):
+        return []
+    found = ((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in store.listStatus(place))
+    return sorted((n, size, at) for n, size, at in found if not n.startswith(("_", ".")))
+
+
+# The file that names the current one of several folders beside it.
+POINTER = "current"
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """The folder below ``path`` that is current, if there is one."""
+    return read_text(spark, f"{path}/{POINTER}")
+
+
+def point_to(spark: SparkSession, path: str, version: str) -> None:
+    """Make ``version`` the current folder below ``path``."""
+    write_text(spark, f"{path}/{POINTER}", version)
