@@ -5,7 +5,7 @@ from __future__ import annotations
 from checks.queries import ALL_GROUPS, HASHED
 from clickcast.operators.counts import GROUPS
 from clickcast.operators.encode import CATEGORIES
-from clickcast.operators.models import BOOSTED, GRIDS
+from clickcast.operators.models import BOOSTED
 from clickcast.operators.rates import FOLDS, WEIGHT
 
 CLICKS = """clicks AS (
@@ -300,22 +300,6 @@ def rates(source: str, own_fold: bool) -> str:
     return f"WITH {PARTS}, folded AS (SELECT *, {FOLD} AS fold FROM train) " + " UNION ALL ".join(parts)
 
 
-def points(grid: dict) -> list[str]:
-    """The cross product of a grid's lists, in order, under the estimators' names."""
-    made = [()]
-    for name, values in grid.items():
-        name = {"round": "maxIter", "eta": "stepSize"}.get(name, name)
-        made = [(*m, f"{name}={float(v)}") for m in made for v in values]
-    return [",".join(sorted(m)) for m in made]
-
-
-# Over ordered indices every point finds all labels, so the first wins. Forests and shallow trees do not.
-TUNED = {
-    n: "SELECT * FROM (VALUES " + ", ".join(f"('{p}', CAST(1 AS DOUBLE), {int(not i)})" for i, p in enumerate(points(GRIDS[n])))
-    + ") t(point, auroc, best)"
-    for n in ("boosted",)
-}
-
 ORACLE = {
     "csv_scan": CSV,
     "csv_scan_inferred": CSV,
@@ -384,7 +368,7 @@ ORACLE = {
     "dt_predict_rates": LABEL_AS_PREDICTION,
     "boosted_predict_rates": LABEL_AS_PREDICTION,
     "dt_reloaded": f"WITH {PARTS} SELECT label, CAST(label AS DOUBLE) AS prediction, count(*) AS n FROM test GROUP BY label",
-    "tune_boosted": TUNED["boosted"],
+    "boosted_gbt_predict_indices": LABEL_AS_PREDICTION,
     **{f"job_chain_{n}": "SELECT CAST(1 AS DOUBLE) AS auroc" for n in ("dt", "gbt", "lr", "rates")},
     "dt_predict": LABEL_AS_PREDICTION,
     "gbt_predict": LABEL_AS_PREDICTION,

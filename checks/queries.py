@@ -581,6 +581,7 @@ QUERIES = {
     ),
     "gbt_predict_indices": partial(predict, "gbt", {"maxIter": 10, "maxDepth": 5}, features="indices"),
     "boosted_predict_indices": partial(predict, "boosted", {"round": 20, "eta": 0.1}, features="indices"),
+    "boosted_gbt_predict_indices": partial(predict, "boosted_gbt", {"round": 20, "eta": 0.1}, features="indices"),
     "dt_two_levels": dt_two_levels,
     "gbt_stump": gbt_stump,
     "boosted_stumps": boosted_stumps,
