@@ -6,26 +6,25 @@ of it gains ``GL^2 / (HL + l2) + GR^2 / (HR + l2) - G^2 / (H + l2)``, counts onl
 and the best is taken, of equal gains the one at the lowest position and cut.
 
 Values are cut into bins once: a feature with one value besides zero has that value as its only cut, others the distinct
-quantiles. Only non-zero entries are stored and summed. The histogram of a level is one aggregation by node, position and
-bin, partial before its shuffle; what the zeros of a feature add up to is the node's total less its entries. A histogram
-that can have at most ``DRIVER_CELLS`` cells, by the number of cuts and of nodes of the deepest level, goes to the driver,
-which finds the best split of each node in it. Beyond that the splits are chosen by a window over each node and position and
-an aggregation by node, so neither the driver nor a task holds more than the bins of one feature in one node, however wide
-the vectors are, and the driver gets one row per open node. Both give the same trees.
-
-Rows, with bins and margin, are written once a round, which cuts the lineage: a lost executor repeats a part of one round.
+quantiles. The histogram of a level is one pass over blocks of rows (see ``histograms``). One that can have at most
+``DRIVER_CELLS`` cells, by the number of cuts and of nodes of the deepest level, goes to the driver, which finds the best
+split of each node in it. Beyond that tasks find the splits by position, so that the driver gets a row per open node and
+task, however wide the vectors are. Both give the same trees.
+
+Blocks, with bins and margin, are written once a round, which cuts the lineage: a lost executor repeats a part of one round.
 Rows and features are sampled by hashes, so that runs agree.
 """
 
 from __future__ import annotations
 
-import hashlib
-import json
-from dataclasses import dataclass, field
+from collections.abc import Callable
+from dataclasses import dataclass
 from math import log
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
-from pyspark import keyword_only
+import pyarrow as pa
+from pyspark import inheritable_thread_target, keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -39,16 +38,17 @@ from pyspark.ml.param.shared import (
     HasSeed,
     HasStepSize,
 )
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickcast.operators.encode import vector_arrays
+from clickcast.operators.histograms import Block, Layout, Pass, Rule, Tree, drawn, level_splits, moved, pack
 from clickcast.session import empty_folder, scratch_path
 
-# A gain below this is rounding.
-LEAST_GAIN = 1e-6
 # Cells of a level's histogram that the driver takes, of 28 bytes each.
 DRIVER_CELLS = 500_000
+# Fits of ``fitMultiple`` at the same time.
+FITS = 2
 
 
 def _param(name: str, text: str, kind=TypeConverters.toFloat) -> Param:
@@ -68,47 +68,18 @@ class _Settings(
     l2 = _param("l2", "what is added to second derivatives")
 
 
-@dataclass
-class Tree:
-    """A complete binary tree, node n's children being 2n + 1 and 2n + 2: a leaf has position -1."""
-
-    depth: int
-    position: list[int] = field(default_factory=list)
-    cut: list[int] = field(default_factory=list)
-    threshold: list[float] = field(default_factory=list)
-    value: list[float] = field(default_factory=list)
-
-    def __post_init__(self):
-        n = 2 ** (self.depth + 1) - 1
-        self.position, self.cut = self.position or [-1] * n, self.cut or [0] * n
-        self.threshold, self.value = self.threshold or [0.0] * n, self.value or [0.0] * n
-
-
-def _literal(trees: list[Tree]) -> str:
-    """Trees as one literal, in SQL: one text is built and analysed faster than many columns, and once per level."""
-    rows = [{"p": t.position, "c": t.cut, "t": t.threshold, "v": t.value} for t in trees]
-    return f"from_json('{json.dumps(rows)}', 'array<struct<p:array<int>,c:array<int>,t:array<double>,v:array<double>>>')"
-
-
-def _node(tree: str, depth: int, value: str, edge: str) -> str:
-    """The node a row ends in, in SQL: a row goes left where ``value`` of the node's position is below its ``edge``."""
-    down = f"CASE WHEN {value.format(position=f'get({tree}.p, n)')} < get({tree}.{edge}, n) THEN 2 * n + 1 ELSE 2 * n + 2 END"
-    return f"aggregate(sequence(1, {depth}), 0, (n, i) -> CASE WHEN get({tree}.p, n) < 0 THEN n ELSE {down} END)" if depth else "0"
-
-
-# The bin of a position in rows with ``places`` and ``bins``.
-BIN = "coalesce(get(bins, CAST(array_position(places, {position}) AS INT) - 1), 0)"
-
-
-def _drawn(seed: int, turn: int, of: str, position: int) -> float:
-    """A feature's draw in [0, 1) for a tree or a level of it."""
-    return int(hashlib.md5(f"{seed}:{turn}:{of}:{position}".encode()).hexdigest()[:8], 16) / 2**32
+@dataclass(frozen=True)
+class Derivatives:
+    """First and second derivatives of the logistic loss at the margins, and the rows a tree learns from."""
 
+    seed: int
+    turn: int
+    share: float
 
-def _drawn_column(seed: int, turn: int, of: str) -> Column:
-    """``_drawn`` of the column ``position``."""
-    named = F.concat(F.lit(f"{seed}:{turn}:{of}:"), F.col("position").cast("string"))
-    return F.conv(F.substring(F.md5(named.cast("binary")), 1, 8), 16, 10).cast("double") / 2**32
+    def __call__(self, tree: int, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+        p = 1 / (1 + np.exp(-block.state))
+        kept = drawn(self.seed, self.turn, block.row) < self.share if self.share < 1 else None
+        return p - block.y, p * (1 - p), kept
 
 
 def feature_cuts(df: DataFrame, features: str, bins: int) -> tuple[DataFrame, dict[int, list[float]]]:
@@ -131,22 +102,39 @@ def feature_cuts(df: DataFrame, features: str, bins: int) -> tuple[DataFrame, di
     return stats, {r["position"]: sorted(set(r["cuts"])) for r in found.collect()}
 
 
-def _binned(df: DataFrame, features: str, cuts: dict[int, list[float]]) -> tuple[Column, Column]:
-    """Positions of the non-zero entries and their bins: how many of the feature's cuts are not above the value."""
-    v = vector_arrays(df, features)
-    places = F.when(v["type"] == 0, v["indices"]).otherwise(F.sequence(F.lit(0), F.size(v["values"]) - 1))
-    entries = F.filter(F.arrays_zip(places.alias("p"), v["values"].alias("v")), lambda e: e["v"] != 0)
-    known = F.from_json(F.lit(json.dumps(sorted(cuts))), "array<int>")
-    edges = F.from_json(F.lit(json.dumps([cuts[p] for p in sorted(cuts)])), "array<array<double>>")
-    steps = max((len(c) for c in cuts.values()), default=1).bit_length()
-    halves = F.array(*(F.lit(1 << i) for i in range(steps - 1, -1, -1)))
-
-    def bin_of(e):
-        own = F.get(edges, F.array_position(known, e["p"]).cast("int") - 1)
-        found = F.aggregate(halves, F.lit(0), lambda b, s: F.when(F.get(own, b + s - 1) <= e["v"], b + s).otherwise(b))
-        return F.when(F.array_position(known, e["p"]) > 0, found).otherwise(1)
-
-    return F.transform(entries, lambda e: e["p"]), F.transform(entries, bin_of)
+def _written(rows: DataFrame, spark: SparkSession, old: str | None) -> tuple[DataFrame, str]:
+    path = scratch_path(spark, "boosting-rows")
+    rows.write.parquet(path)
+    if old is not None:
+        empty_folder(spark, old)
+    return spark.read.schema(rows.schema).parquet(path), path
+
+
+def _margins(trees: list[Tree], start: float) -> Callable[[pa.Array], pa.Array]:
+    """The margins of vectors: a row goes left where the value of the node's position is below its threshold."""
+    shapes = [tuple(map(np.array, (t.position, t.threshold, t.value))) for t in trees]
+    used = np.unique(np.concatenate([p[p >= 0] for p, _, _ in shapes])) if trees else np.zeros(0)
+
+    def margins(vectors: pa.Array) -> pa.Array:
+        kind, places, values = (vectors.field(c) for c in ("type", "indices", "values"))
+        size = np.asarray(values.value_lengths().fill_null(0))
+        owner, value = np.repeat(np.arange(len(vectors)), size), np.asarray(values.flatten())
+        place = np.arange(len(value)) - np.repeat(np.cumsum(size) - size, size)
+        sparse = np.asarray(kind) == 0
+        place[sparse[owner]] = np.asarray(places.filter(pa.array(sparse)).flatten())
+        at = np.flatnonzero(np.isin(place, used))
+        place, value, owner = place[at], value[at], owner[at]
+        found = np.full(len(vectors), start)
+        for tree, (position, threshold, add) in zip(trees, shapes, strict=True):
+            node = np.zeros(len(vectors), np.int64)
+            for _ in range(tree.depth):
+                on, right = node[owner], np.zeros(len(node), np.int64)
+                right[owner[(place == position[on]) & (value >= threshold[on])]] = 1
+                node = np.where(position[node] >= 0, 2 * node + 1 + right, node)
+            found += add[node]
+        return pa.array(found)
+
+    return margins
 
 
 class SecondOrderBoosting(Estimator, _Settings):
@@ -171,7 +159,10 @@ class SecondOrderBoosting(Estimator, _Settings):
         for p in points:
             if p._but_rounds() not in longest or longest[p._but_rounds()].getMaxIter() < p.getMaxIter():
                 longest[p._but_rounds()] = p
-        fitted = {key: p._fit(dataset) for key, p in longest.items()}
+        # A pass over one level leaves cores idle between its tasks and the next pass.
+        fit = inheritable_thread_target(dataset.sparkSession)(lambda p: p._fit(dataset))
+        with ThreadPool(max(1, min(FITS, len(longest)))) as pool:
+            fitted = dict(zip(longest, pool.map(fit, longest.values()), strict=True))
         return iter([(i, p._copyValues(fitted[p._but_rounds()].first(p.getMaxIter()))) for i, p in enumerate(points)])
 
     def _but_rounds(self) -> tuple:
@@ -181,123 +172,46 @@ class SecondOrderBoosting(Estimator, _Settings):
         get = self.getOrDefault
         spark, features = dataset.sparkSession, self.getFeaturesCol()
         stats, cuts = feature_cuts(dataset, features, get("maxBins"))
-        places, bins = _binned(dataset, features, cuts)
         start = log(get("baseScore") / (1 - get("baseScore")))
-        rows = dataset.select(
-            F.monotonically_increasing_id().alias("row"), (F.col(self.getLabelCol()) > 0.5).cast("double").alias("y"),
-            places.alias("places"), bins.alias("bins"), F.lit(start).alias("margin"), F.lit(0).alias("turn"),
-        )
+        layout = Layout((stats.agg(F.max("position")).first()[0] or 0) + 1, cuts)
         cells = (stats.count() + sum(map(len, cuts.values()))) * 2 ** (get("maxDepth") - 1)
         trees: list[Tree] = []
-        rows, path = self._written(rows, spark, None)
+        blocks, path = _written(pack(dataset, features, self.getLabelCol(), layout, start), spark, None)
         for turn in range(get("maxIter")):
-            trees.append(self._tree(rows, turn, cells <= DRIVER_CELLS))
+            trees.append(self._tree(blocks, layout, turn, cells <= DRIVER_CELLS))
             if turn + 1 < get("maxIter"):
-                after = {"margin": F.col("margin") + self._value(trees[-1]), "turn": F.lit(turn + 1)}
-                rows, path = self._written(rows.withColumns(after), spark, path)
+                blocks, path = _written(moved(blocks, layout, trees[-1]), spark, path)
         empty_folder(spark, path)
         self._set_thresholds(trees, stats, cuts)
         return self._copyValues(SecondOrderBoostingModel(trees, start))
 
-    @staticmethod
-    def _written(rows: DataFrame, spark: SparkSession, old: str | None) -> tuple[DataFrame, str]:
-        path = scratch_path(spark, "boosting-rows")
-        rows.write.parquet(path)
-        if old is not None:
-            empty_folder(spark, old)
-        return spark.read.schema(rows.schema).parquet(path), path
-
-    @staticmethod
-    def _value(tree: Tree) -> Column:
-        literal = f"{_literal([tree])}[0]"
-        return F.expr(f"get({literal}.v, {_node(literal, tree.depth, BIN, 'c')})")
-
-    def _tree(self, rows: DataFrame, turn: int, on_driver: bool) -> Tree:
+    def _tree(self, blocks: DataFrame, layout: Layout, turn: int, on_driver: bool) -> Tree:
         get = self.getOrDefault
-        depth, l2, step = get("maxDepth"), get("l2"), get("stepSize")
-        tree = Tree(depth)
-        if get("subsample") < 1:
-            draw = F.pmod(F.xxhash64(F.lit(get("seed")), "turn", "row"), F.lit(1 << 30)) / float(1 << 30)
-            rows = rows.filter(draw < get("subsample"))
-        p = 1 / (1 + F.exp(-F.col("margin")))
-        rows = rows.select("places", "bins", (p - F.col("y")).alias("g"), (p * (1 - p)).alias("h"))
-        whole = rows.agg(*(F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in "gh")).first()
-        # The sums of the nodes that may be split.
-        open_ = {0: (whole["g"], whole["h"])}
-        tree.value[0] = -whole["g"] / (whole["h"] + l2) * step
-        for level in range(depth):
+        tree, value = Tree(get("maxDepth")), lambda g, h: -g / (h + get("l2")) * get("stepSize")
+        target = Derivatives(get("seed"), turn, get("subsample"))
+        # The open nodes and their sums, which are known behind the root.
+        open_, sums = [0], None
+        for level in range(get("maxDepth")):
             shares = {"tree": get("colsampleByTree"), str(level): get("colsampleByLevel")}
             shares = {of: share for of, share in shares.items() if share < 1}
-            sums = self._histogram(rows, tree, set(open_))
-            splits = (self._best_here if on_driver else self._best)(sums, open_, shares, turn)
-            found, open_ = open_, {}
-            for n, (position, cut, rg, rh) in splits.items():
+            rule = Rule(get("l2"), get("minChildWeight"), shares, get("seed"), turn)
+            work = Pass(layout, {0: tree}, [(0, n) for n in open_], target)
+            splits, sums = level_splits(blocks, work, rule, sums, on_driver)
+            if not level:
+                tree.value[0] = value(*sums[0, :2].tolist())
+            found, open_, below = open_, [], []
+            for slot, (_, position, cut, rg, rh) in sorted(splits.items()):
+                n, (sg, sh) = found[slot], sums[slot, :2].tolist()
                 tree.position[n], tree.cut[n] = position, cut
-                sg, sh = found[n]
                 for child, g, h in ((2 * n + 1, sg - rg, sh - rh), (2 * n + 2, rg, rh)):
-                    tree.value[child] = -g / (h + l2) * step
-                    open_[child] = (g, h)
+                    tree.value[child] = value(g, h)
+                    open_.append(child)
+                    below.append((g, h))
             if not open_:
                 break
+            sums = np.array(below)
         return tree
 
-    @staticmethod
-    def _histogram(rows: DataFrame, tree: Tree, open_: set[int]) -> DataFrame:
-        """``node, position, bin, g, h``: the sums of the non-zero entries in the open nodes.
-
-        All that differs from level to level is the literal, so that the code Spark makes for one level serves for all.
-        """
-        marked = Tree(tree.depth, [p if p >= 0 else -1 if n in open_ else -2 for n, p in enumerate(tree.position)], tree.cut)
-        literal = f"{_literal([marked])}[0]"
-        at = rows.selectExpr(f"{_node(literal, tree.depth, BIN, 'c')} AS node", "g", "h", "places", "bins")
-        long = at.filter(f"get({literal}.p, node) = -1").selectExpr(
-            "node", "g", "h", "inline(arrays_zip(places, bins)) AS (position, bin)"
-        )
-        return long.groupBy("node", "position", "bin").agg(F.expr("sum(g) AS g"), F.expr("sum(h) AS h"))
-
-    def _best(self, sums: DataFrame, open_: dict[int, tuple[float, float]], shares: dict[str, float], turn: int) -> dict:
-        """Per open node the ``position, bin, g, h`` of the best split that counts, with the sums on its right; on executors."""
-        for of, share in shares.items():
-            sums = sums.filter(_drawn_column(self.getOrDefault("seed"), turn, of) < share)
-        l2, least = self.getOrDefault("l2"), self.getOrDefault("minChildWeight")
-        totals = sums.sparkSession.createDataFrame([(n, g, h) for n, (g, h) in open_.items()], "node int, sg double, sh double")
-        onward = Window.partitionBy("node", "position").orderBy(F.desc("bin"))
-        right = sums.select("node", "position", "bin", F.sum("g").over(onward).alias("rg"), F.sum("h").over(onward).alias("rh"))
-        # One row per open node.
-        candidates = right.join(F.broadcast(totals), "node")
-        lg, lh = F.col("sg") - F.col("rg"), F.col("sh") - F.col("rh")
-        part = lambda g, h: g * g / (h + l2)
-        gain = part(lg, lh) + part(F.col("rg"), F.col("rh")) - part(F.col("sg"), F.col("sh"))
-        # To nine digits, so that equal splits are equal whatever the order of the sums.
-        counted = candidates.withColumn("gain", F.round(gain, 9)).filter((lh >= least) & (F.col("rh") >= least))
-        order = F.struct("gain", -F.col("position"), -F.col("bin"))
-        best = counted.filter(F.col("gain") > LEAST_GAIN).groupBy("node")
-        found = best.agg(F.max_by(F.struct("position", "bin", "rg", "rh"), order).alias("b")).collect()
-        return {r["node"]: tuple(r["b"]) for r in found}
-
-    def _best_here(self, sums: DataFrame, open_: dict[int, tuple[float, float]], shares: dict[str, float], turn: int) -> dict:
-        """The same on the driver."""
-        l2, least, seed = (self.getOrDefault(x) for x in ("l2", "minChildWeight", "seed"))
-        cells = sums.toArrow()
-        node, position, cut, g, h = (cells.column(c).to_numpy() for c in ("node", "position", "bin", "g", "h"))
-        places, at = np.unique(position, return_inverse=True)
-        allowed = np.array([all(_drawn(seed, turn, of, p) < share for of, share in shares.items()) for p in places.tolist()], bool)
-        order = np.lexsort((-cut, position, node))
-        order = order[allowed[at][order]]
-        node, position, cut, g, h = (x[order] for x in (node, position, cut, g, h))
-        if not len(node):
-            return {}
-        starts = np.concatenate([[True], (node[1:] != node[:-1]) | (position[1:] != position[:-1])])
-        first = np.maximum.accumulate(np.where(starts, np.arange(len(node)), 0))
-        rg, rh = (np.cumsum(x) - (np.cumsum(x) - x)[first] for x in (g, h))
-        sg, sh = (np.array([open_[n][i] for n in node.tolist()]) for i in (0, 1))
-        gain = np.round((sg - rg) ** 2 / (sh - rh + l2) + rg**2 / (rh + l2) - sg**2 / (sh + l2), 9)
-        counts = np.flatnonzero((rh >= least) & (sh - rh >= least) & (gain > LEAST_GAIN))
-        found: dict[int, tuple[int, int, float, float]] = {}
-        for i in counts[np.lexsort((cut[counts], position[counts], -gain[counts]))].tolist():
-            found.setdefault(int(node[i]), (int(position[i]), int(cut[i]), float(rg[i]), float(rh[i])))
-        return found
-
     @staticmethod
     def _set_thresholds(trees: list[Tree], stats: DataFrame, cuts: dict[int, list[float]]) -> None:
         """Cuts as values, for rows that have no bins: of features with one value, that value."""
@@ -321,14 +235,8 @@ class SecondOrderBoostingModel(Model, _Settings):
         return SecondOrderBoostingModel(self.trees[:rounds], self.start)
 
     def _with_margin(self, df: DataFrame) -> DataFrame:
-        if not self.trees:
-            return df.withColumn("_margin", F.lit(self.start))
-        rows = df.withColumn("_vector", vector_arrays(df, self.getFeaturesCol()))
-        sparse = "get(_vector.values, CAST(array_position(_vector.indices, {position}) AS INT) - 1)"
-        value = f"coalesce(CASE WHEN _vector.type = 0 THEN {sparse} ELSE get(_vector.values, {{position}}) END, 0D)"
-        depth = max(t.depth for t in self.trees)
-        add = f"s + get(t.v, {_node('t', depth, value, 't')})"
-        return rows.withColumn("_margin", F.expr(f"aggregate({_literal(self.trees)}, {self.start!r}D, (s, t) -> {add})")).drop("_vector")
+        added = F.arrow_udf(_margins(self.trees, self.start), "double")
+        return df.withColumn("_margin", added(vector_arrays(df, self.getFeaturesCol())))
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         rows = self._with_margin(dataset)
