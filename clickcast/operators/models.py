@@ -6,17 +6,12 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml import Estimator
-from pyspark.ml.classification import (
-    DecisionTreeClassifier,
-    GBTClassifier,
-    LogisticRegression,
-    NaiveBayes,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import LogisticRegression, NaiveBayes
 from pyspark.ml.tuning import ParamGridBuilder
 
 from clickcast.operators.bayes import TableNaiveBayes
 from clickcast.operators.boosting import SecondOrderBoosting
+from clickcast.operators.trees import WideBoostedTrees, WideDecisionTree, WideRandomForest
 
 # Settings of the boosted model, under their usual names.
 BOOSTED = {
@@ -67,7 +62,7 @@ def boosted_trees(seed: int = BOOSTED["seed"]) -> Estimator:
     rows and, per node, of features. ``min_child_weight`` is a sum of second derivatives, for which the least number of rows
     per node is the nearest; ``colsample_bylevel`` and ``base_score`` are left out. ``second_order`` has all three.
     """
-    return GBTClassifier(
+    return WideBoostedTrees(
         stepSize=BOOSTED["eta"],
         maxIter=GRIDS["boosted"]["round"][0],
         maxDepth=BOOSTED["max_depth"],
@@ -96,9 +91,9 @@ class Classifier:
 
 
 REGISTRY: dict[str, Classifier] = {
-    "dt": Classifier(lambda seed: DecisionTreeClassifier(seed=seed), {}, {}),
-    "rf": Classifier(lambda seed: RandomForestClassifier(seed=seed), GRIDS["rf"], {}),
-    "gbt": Classifier(lambda seed: GBTClassifier(maxIter=10, seed=seed), GRIDS["gbt"], {}),
+    "dt": Classifier(lambda seed: WideDecisionTree(seed=seed), {}, {}),
+    "rf": Classifier(lambda seed: WideRandomForest(seed=seed), GRIDS["rf"], {}),
+    "gbt": Classifier(lambda seed: WideBoostedTrees(maxIter=10, seed=seed), GRIDS["gbt"], {}),
     "lr": Classifier(lambda seed: LogisticRegression(maxIter=10), GRIDS["lr"], {}),
     # The parameters as a table; ``nb_vector`` holds a number per feature and class on the driver.
     "nb": Classifier(lambda seed: TableNaiveBayes(), GRIDS["nb"], {}),
