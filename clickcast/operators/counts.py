@@ -29,7 +29,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickcast.operators.joins import HOT_ROWS, at_hand, frequent_keys, join_few, spread_join
+from clickcast.operators.joins import HOT_ROWS, at_hand, broadcast_rows, frequent_keys, join_few, not_broadcast, spread_join
 from clickcast.session import stored
 
 Groups = Mapping[str, Sequence[str]]
@@ -181,22 +181,31 @@ def _with_sums(cells: DataFrame, groups: Groups, summed: Groups) -> DataFrame:
 
     Sums are aggregated before their shuffle and joined back to the cells, so that no address brings its clicks together.
     """
-    with_sums = with_all_keys(cells, groups).drop("_rows")
+    with_sums, most = with_all_keys(cells, groups).drop("_rows"), cells.count()
     for name, group in summed.items():
         table = _drop_null_keys(cells, group).groupBy(*group).agg(F.sum("_total").alias(name))
-        with_sums = with_sums.join(table, list(group))
+        with_sums = with_sums.join(not_broadcast(table, most), list(group))
     return with_sums.drop("_total")
 
 
 def _on_rows(rows: DataFrame, with_sums: DataFrame, cells: DataFrame, groups: Groups, hot_rows: int) -> DataFrame:
-    """The sums of the cells on the rows, frequent cells spread."""
-    keys = _all_keys(groups)
-    frequent = frequent_keys(with_all_keys(cells, groups), "_rows", hot_rows).select(*keys)
+    """The sums of the cells on the rows, frequent cells spread.
+
+    If ``hot_rows`` makes more cells frequent than can be broadcast, those below ``HOT_ROWS`` are not: so many rows may meet.
+    """
+    keys, whole = _all_keys(groups), with_all_keys(cells, groups)
     with_sums = stored(with_sums, "cell-sums")
-    received = _received(with_all_keys(rows, groups))
-    if frequent.isEmpty():
-        return received.join(with_sums, keys)
-    return spread_join(received, with_sums, with_sums.join(frequent, keys, "left_semi"), keys)
+    most = broadcast_rows(len(with_sums.columns) + 1)
+    frequent = frequent_keys(whole, "_rows", hot_rows).select(*keys)
+    found = frequent.limit(most + 1).count()
+    if found > most and hot_rows < HOT_ROWS:
+        frequent = frequent_keys(whole, "_rows", HOT_ROWS).select(*keys)
+        found = frequent.limit(most + 1).count()
+    received, known = _received(with_all_keys(rows, groups)), not_broadcast(with_sums, with_sums.count())
+    if not found:
+        return received.join(known, keys)
+    few = frequent.hint("merge") if found > most else frequent
+    return spread_join(received, known, with_sums.join(few, keys, "left_semi"), keys)
 
 
 def _from_cells(rows: DataFrame, groups: Groups, total: Column, hot_rows: int) -> DataFrame:

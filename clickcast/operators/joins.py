@@ -13,7 +13,8 @@ from clickcast.session import checkpointed
 
 # A key with this many rows is frequent: its rows should not meet in one task.
 HOT_ROWS = 5_000_000
-# A table of frequent keys is broadcast up to this many of them, some 50 MB; a longer one is dealt out with its rows.
+# A table of frequent keys, one column and a mark, is broadcast up to this many of them, some 50 MB; a wider one up to so many
+# fewer. A longer one is dealt out with its rows.
 BROADCAST_KEYS = 500_000
 # Into so many parts the rows of a frequent key are dealt if the frequent keys are too many for a broadcast.
 SALTS = 64
@@ -27,6 +28,20 @@ def frequent_keys(table: DataFrame, rows: str, hot_rows: int = HOT_ROWS) -> Data
     return table.filter(F.col(rows) >= hot_rows)
 
 
+def broadcast_rows(columns: int) -> int:
+    """How many rows of so many columns are broadcast."""
+    return max(1, 2 * BROADCAST_KEYS // max(2, columns))
+
+
+def not_broadcast(table: DataFrame, rows: int) -> DataFrame:
+    """``table``, of at most ``rows`` rows, to be joined by a shuffle if those are too many for a broadcast.
+
+    Spark decides by the size of the file, of which a table of counts takes a few bytes a row, and builds the broadcast of
+    200 bytes a row on the driver.
+    """
+    return table.hint("merge") if rows > broadcast_rows(len(table.columns)) else table
+
+
 def at_hand(few: DataFrame) -> DataFrame:
     """``few``, expected to have few rows, worked out once: up to BROADCAST_KEYS rows on the driver, more in a checkpoint."""
     rows = few.limit(BROADCAST_KEYS + 1).collect()
@@ -38,14 +53,15 @@ def at_hand(few: DataFrame) -> DataFrame:
 def join_few(df: DataFrame, few: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join ``df``, whose keys may be frequent, with ``few``, a row per frequent key that is at hand without much work.
 
-    ``few`` is counted: up to BROADCAST_KEYS rows are broadcast. Of more, each is copied SALTS times, and the rows of ``df``
+    ``few`` is counted: up to BROADCAST_KEYS narrow rows are broadcast (see ``broadcast_rows``). Of more, each is copied SALTS times, and the rows of ``df``
     are dealt to the copies by a hash of their content and partition.
     """
-    if few.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
+    most = broadcast_rows(len(few.columns))
+    if few.limit(most + 1).count() <= most:
         return df.join(F.broadcast(few), list(keys), how)
     salted = df.withColumn("_salt", F.pmod(_spread(df), F.lit(SALTS)).cast("int"))
     copies = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
+    return salted.join(copies.hint("merge"), [*keys, "_salt"], how).drop("_salt")
 
 
 def _spread(df: DataFrame):
