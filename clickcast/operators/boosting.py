@@ -70,7 +70,10 @@ class _Settings(
 
 @dataclass(frozen=True)
 class Derivatives:
-    """First and second derivatives of the logistic loss at the margins, and the rows a tree learns from."""
+    """First and second derivatives of the logistic loss at the margins, and the rows a tree learns from.
+
+    A row without a label has no first derivative.
+    """
 
     seed: int
     turn: int
@@ -79,7 +82,7 @@ class Derivatives:
     def __call__(self, tree: int, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
         p = 1 / (1 + np.exp(-block.state))
         kept = drawn(self.seed, self.turn, block.row) < self.share if self.share < 1 else None
-        return p - block.y, p * (1 - p), kept
+        return np.where(np.isnan(block.y), 0.0, p - block.y), p * (1 - p), kept
 
 
 def feature_cuts(df: DataFrame, features: str, bins: int) -> tuple[DataFrame, dict[int, list[float]]]:

@@ -123,7 +123,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
 
 
 def pack(df: DataFrame, features: str, label: str, layout: Layout, state: float) -> DataFrame:
-    """The rows of ``df`` as blocks, each row with the number ``state``."""
+    """The rows of ``df`` as blocks, each row with the number ``state``; a null label is NaN."""
     v = vector_arrays(df, features)
     places = F.when(v["type"] == 0, v["indices"]).otherwise(F.sequence(F.lit(0), F.size(v["values"]) - 1))
     rows = df.select(
@@ -142,7 +142,7 @@ def _pack(layout: Layout, state: float, batches: Iterator[pa.RecordBatch]) -> It
         used = np.flatnonzero(value != 0)
         ends = np.cumsum(np.bincount(owner[used], minlength=len(row)))
         cells = layout.cells(place[used], value[used])
-        y = np.asarray(y.fill_null(0.0))
+        y = np.asarray(y.fill_null(np.nan))
         yield _packed(Block(np.asarray(row), y, ends, cells, np.full(len(y), state)))
 
 
