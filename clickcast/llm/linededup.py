@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickcast.llm.common import fresh_prefix, sent_if_few, split_words, written
+from clickcast.llm.common import fresh_prefix, sent_if_few, written
 from clickcast.llm.neardup import near_duplicates
 
 LEADING = 3
@@ -37,6 +37,8 @@ VARIABLE_SHARE, MOST_NAMED = 0.1, 4
 # Similarity from which documents are of one family, as a fraction.
 FAMILY_SHARED, FAMILY_OF = 60, 100
 WILDCARD = "<*>"
+# What parts words besides the space, and no lines: tab, vertical tab, form feed, carriage return.
+OTHER_BLANKS = r"[\x09\x0B-\x0D]"
 
 
 def _masked(word: Column) -> Column:
@@ -48,25 +50,53 @@ def _key(id_col: str, text_col: str) -> Column:
     return F.struct(F.col(id_col).alias("id"), F.xxhash64(text).alias("hash"), F.length(text).alias("length"))
 
 
-def _leaf(words: Column) -> Column:
-    return F.xxhash64(F.size(words), F.transform(F.slice(words, 1, LEADING), _masked))
+def _lines(text: Column) -> Column:
+    """The lines of ``text``, in which every blank is a space."""
+    plain = F.when(text.rlike(OTHER_BLANKS), F.regexp_replace(text, OTHER_BLANKS, " ")).otherwise(text)
+    return F.split(plain, "\n")
 
 
-def _leaves(docs: DataFrame, text_col: str) -> DataFrame:
-    """``leaf`` of every line that is long enough."""
-    # Lines are cut into words before they become rows, and the outer form is used: in any other order Spark moves the
-    # filter below the projection and cuts every line twice.
-    cut = F.transform(F.split(F.col(text_col), "\n"), lambda line: split_words(line))
-    lines = docs.select(F.explode_outer(cut).alias("words")).filter(F.size("words") >= LEAST_WORDS)
-    return lines.select(_leaf(F.col("words")).alias("leaf"))
+def _words(line: Column) -> Column:
+    """The words of one of ``_lines``, none for null. Spark looks for a space as it is; a pattern it compiles for each line."""
+    return F.array_remove(F.split(F.coalesce(line, F.lit("")), " "), "")
+
+
+def _odd(part: Column) -> Column:
+    """Whether words may be parted by something else than single spaces."""
+    return part.startswith(" ") | part.endswith(" ") | part.contains("  ")
+
+
+def _lead(line: Column) -> Column:
+    """A hash of the first words of one of ``_lines``, which is cut into words only where there is more between them than a space."""
+    first = F.substring_index(line, " ", LEADING)
+    first = F.when(_odd(first), F.array_join(F.slice(_words(line), 1, LEADING), " ")).otherwise(first)
+    return F.xxhash64(F.when(first.rlike("[0-9]"), F.regexp_replace(first, "[^ ]*[0-9][^ ]*", WILDCARD)).otherwise(first))
+
+
+def _size(line: Column) -> Column:
+    """The number of words of one of ``_lines``, null for null."""
+    spaces = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit("")))
+    return F.when(_odd(line) | (line == ""), F.size(_words(line))).otherwise(spaces + 1)
+
+
+def _leaves(docs: DataFrame, text_col: str, least_lines: int) -> DataFrame:
+    """``lead, size`` of the leaves with so many lines: a hash of their first words, and how many they have."""
+    lines = docs.select(F.explode_outer(_lines(F.col(text_col))).alias("line"))
+    lines = lines.select(_lead(F.col("line")).alias("lead"), _size(F.col("line")).alias("size"))
+    counted = lines.groupBy("lead", "size").agg(F.count("*").alias("lines"), F.max("size").alias("words"))
+    # By the maximum, since Spark moves a filter on a key below the aggregation and works out the key once more for it.
+    return counted.filter((F.col("lines") >= least_lines) & (F.col("words") >= LEAST_WORDS)).select("lead", "size")
 
 
 def _lines_of(docs: DataFrame, leaves: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``key, at, words, leaf`` of the lines in ``leaves``, which has none for short lines."""
-    lines = docs.select(_key(id_col, text_col).alias("key"), F.posexplode_outer(F.split(F.col(text_col), "\n")).alias("at", "line"))
-    lines = lines.withColumn("words", split_words(F.col("line"))).withColumn("leaf", _leaf(F.col("words"))).drop("words")
-    # The words of the few lines that are left are cut again rather than carried through the join by all.
-    return lines.join(leaves, "leaf").select("key", "at", split_words(F.col("line")).alias("words"), "leaf")
+    # The key is made before the lines become rows, else it hashes the text once for each of them.
+    rows = docs.select(_key(id_col, text_col).alias("key"), _lines(F.col(text_col)).alias("lines"))
+    lines = rows.select("key", F.posexplode_outer("lines").alias("at", "line")).withColumn("lead", _lead(F.col("line")))
+    # Only lines that begin like one of a leaf are cut into words.
+    lines = lines.join(leaves.select("lead").distinct(), "lead", "left_semi").withColumn("words", _words(F.col("line")))
+    lines = lines.withColumn("size", F.size("words")).join(leaves, ["lead", "size"])
+    return lines.select("key", "at", "words", F.xxhash64("size", "lead").alias("leaf"))
 
 
 def _families(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -88,8 +118,7 @@ def _variable_places(lines: DataFrame) -> DataFrame:
 
 def recurring_lines(docs: DataFrame, *, id_col="doc_id", text_col="text", least_docs: int = LEAST_DOCS) -> DataFrame:
     """``key, at``: the places of the lines to drop, by document (id, and hash and length of the text)."""
-    leaves = _leaves(docs, text_col).groupBy("leaf").agg(F.count("*").alias("lines")).filter(F.col("lines") >= least_docs)
-    leaves = written(leaves.select("leaf"), "lines-leaves")
+    leaves = written(_leaves(docs, text_col, least_docs), "lines-leaves")
     kept = written(_lines_of(docs, leaves, id_col, text_col), "lines-kept")
     variable = written(_variable_places(kept), "lines-variable")
     placed = kept.join(variable, "leaf", "left")
