@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,6 +24,13 @@ def lower_ascii(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+def spaced(text: Column) -> Column:
+    """``text`` with a space for every blank; words between spaces are found without a pattern, in a fraction of the time."""
+    lines = F.replace(text, F.lit("\n"), F.lit(" "))
+    odd = reduce(Column.__or__, (text.contains(blank) for blank in "\t\v\f\r"))
+    return F.when(odd, F.regexp_replace(lines, r"[\x09-\x0D]", " ")).otherwise(lines)
+
+
 def split_words(text: Column, between: str = BLANKS) -> Column:
     """The words of ``text`` in order, an empty array for null: what lies between matches of ``between``."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), between), "")

@@ -12,8 +12,9 @@ document has a family, its component of documents whose sets of word shingles ha
 all it is in, besides those of its largest family. A passage that unrelated documents share makes them no family unless
 it is most of their text. Families are sought among the documents with a template that is in ``LEAST_DOCS`` documents.
 
-Leaves with fewer lines than ``LEAST_DOCS`` cannot recur and are left out before any line is shuffled. Everything is
-counted by aggregations; no line, leaf or template is ever brought together with all its documents.
+Leaves with fewer lines than ``LEAST_DOCS`` cannot recur and are left out before any line is shuffled, and lines that begin
+like fewer are not even cut into words. Everything is counted by aggregations; no line, leaf or template is ever brought
+together with all its documents. Of documents with the same text one is looked up for the family of all.
 
 Defined results: null texts stay null; blank lines and lines of fewer than ``LEAST_WORDS`` words stay; a text all of whose
 lines go becomes empty; rows are told apart by id and text, so a null id is an id and documents that share one keep their
@@ -22,6 +23,8 @@ own lines; a repeated row counts once.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,17 +50,25 @@ def _masked(word: Column) -> Column:
 
 def _key(id_col: str, text_col: str) -> Column:
     text = F.col(text_col)
-    return F.struct(F.col(id_col).alias("id"), F.xxhash64(text).alias("hash"), F.length(text).alias("length"))
+    return F.struct(F.col(id_col).alias("id"), F.xxhash64(text).alias("hash"), F.octet_length(text).alias("length"))
 
 
 def _lines(text: Column) -> Column:
-    """The lines of ``text``, in which every blank is a space."""
-    plain = F.when(text.rlike(OTHER_BLANKS), F.regexp_replace(text, OTHER_BLANKS, " ")).otherwise(text)
-    return F.split(plain, "\n")
+    return F.split(text, "\n")
+
+
+def _has_others(part: Column) -> Column:
+    """Whether words may be parted by other blanks; a pattern for the four would take Spark many times as long."""
+    return reduce(Column.__or__, (part.contains(blank) for blank in "\t\v\f\r"))
+
+
+def _plain(line: Column) -> Column:
+    """``line`` with a space for every blank."""
+    return F.when(_has_others(line), F.regexp_replace(line, OTHER_BLANKS, " ")).otherwise(line)
 
 
 def _words(line: Column) -> Column:
-    """The words of one of ``_lines``, none for null. Spark looks for a space as it is; a pattern it compiles for each line."""
+    """The words of a ``_plain`` line, none for null. Spark looks for a space as it is; a pattern it compiles for each line."""
     return F.array_remove(F.split(F.coalesce(line, F.lit("")), " "), "")
 
 
@@ -67,49 +78,58 @@ def _odd(part: Column) -> Column:
 
 
 def _lead(line: Column) -> Column:
-    """A hash of the first words of one of ``_lines``, which is cut into words only where there is more between them than a space."""
+    """A hash of the first words of ``line``, which is cut into words only where there is something else between them than a space."""
     first = F.substring_index(line, " ", LEADING)
-    first = F.when(_odd(first), F.array_join(F.slice(_words(line), 1, LEADING), " ")).otherwise(first)
+    first = F.when(_odd(first) | _has_others(first), F.array_join(F.slice(_words(_plain(line)), 1, LEADING), " ")).otherwise(first)
     return F.xxhash64(F.when(first.rlike("[0-9]"), F.regexp_replace(first, "[^ ]*[0-9][^ ]*", WILDCARD)).otherwise(first))
 
 
-def _size(line: Column) -> Column:
-    """The number of words of one of ``_lines``, null for null."""
-    spaces = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit("")))
-    return F.when(_odd(line) | (line == ""), F.size(_words(line))).otherwise(spaces + 1)
-
-
 def _leaves(docs: DataFrame, text_col: str, least_lines: int) -> DataFrame:
-    """``lead, size`` of the leaves with so many lines: a hash of their first words, and how many they have."""
+    """``lead``, a hash of their first words, of the lines of which so many begin alike; others are in no leaf with as many."""
     lines = docs.select(F.explode_outer(_lines(F.col(text_col))).alias("line"))
-    lines = lines.select(_lead(F.col("line")).alias("lead"), _size(F.col("line")).alias("size"))
-    counted = lines.groupBy("lead", "size").agg(F.count("*").alias("lines"), F.max("size").alias("words"))
-    # By the maximum, since Spark moves a filter on a key below the aggregation and works out the key once more for it.
-    return counted.filter((F.col("lines") >= least_lines) & (F.col("words") >= LEAST_WORDS)).select("lead", "size")
+    counted = lines.select(_lead(F.col("line")).alias("lead")).groupBy("lead").agg(F.count("*").alias("lines"))
+    return counted.filter(F.col("lines") >= least_lines).select("lead")
 
 
 def _lines_of(docs: DataFrame, leaves: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``key, at, words, leaf`` of the lines in ``leaves``, which has none for short lines."""
+    """``key, at, line, size, leaf`` of the lines that begin like ``leaves``.
+
+    Their words are parted by single spaces, and one that holds a digit is a wildcard; ``size`` is their number.
+    """
     # The key is made before the lines become rows, else it hashes the text once for each of them.
     rows = docs.select(_key(id_col, text_col).alias("key"), _lines(F.col(text_col)).alias("lines"))
     lines = rows.select("key", F.posexplode_outer("lines").alias("at", "line")).withColumn("lead", _lead(F.col("line")))
     # Only lines that begin like one of a leaf are cut into words.
-    lines = lines.join(leaves.select("lead").distinct(), "lead", "left_semi").withColumn("words", _words(F.col("line")))
-    lines = lines.withColumn("size", F.size("words")).join(leaves, ["lead", "size"])
-    return lines.select("key", "at", "words", F.xxhash64("size", "lead").alias("leaf"))
+    lines = lines.join(leaves.select("lead").distinct(), "lead", "left_semi").withColumn("line", _plain(F.col("line")))
+    lines = lines.withColumn("words", _words(F.col("line")))
+    spaced = F.when(_odd(F.col("line")), F.array_join("words", " ")).otherwise(F.col("line"))
+    line = F.when(F.col("line").rlike("[0-9]"), F.array_join(F.transform("words", _masked), " ")).otherwise(spaced)
+    lines = lines.select("key", "at", line.alias("line"), F.size("words").alias("size"), "lead")
+    return lines.select("key", "at", "line", "size", F.xxhash64("size", "lead").alias("leaf"))
+
 
+def _full(lines: DataFrame, least_lines: int) -> DataFrame:
+    """``leaf`` of the leaves with so many lines that are not short."""
+    counted = lines.groupBy("leaf").agg(F.count("*").alias("lines"), F.max("size").alias("words"))
+    return counted.filter((F.col("lines") >= least_lines) & (F.col("words") >= LEAST_WORDS)).select("leaf")
 
-def _families(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``key, family`` of every document."""
+
+def _families(docs: DataFrame, members: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``hash, length, family`` of every text of ``members``, which must be at hand."""
+    # Equal texts have equal sets, so one document stands for all of its text.
+    p = fresh_prefix(docs)
+    wanted = members.groupBy("key.hash", "key.length").agg(F.min("key").alias(p + "wanted")).select(p + "wanted")
+    wanted = sent_if_few(written(wanted, "lines-wanted"))
+    docs = docs.join(wanted, _key(id_col, text_col).eqNullSafe(F.col(p + "wanted")), "left_semi")
     rows = docs.filter(F.col(text_col).isNotNull()).select(_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
     found = near_duplicates(rows, id_col="key", text_col="text", min_shared=FAMILY_SHARED, of=FAMILY_OF)
-    return found.select("key", F.xxhash64("component_id").alias("family")).distinct()
+    return found.select("key.hash", "key.length", F.xxhash64("component_id").alias("family")).distinct()
 
 
 def _variable_places(lines: DataFrame) -> DataFrame:
     """``leaf, variable``: the places (from 0) of each leaf whose words vary."""
-    words = lines.select("leaf", F.posexplode("words").alias("place", "word")).filter(F.col("place") >= LEADING)
-    named = words.groupBy("leaf", "place", _masked(F.col("word")).alias("word")).agg(F.count("*").alias("n"))
+    words = lines.select("leaf", F.posexplode_outer(F.split("line", " ")).alias("place", "word")).filter(F.col("place") >= LEADING)
+    named = words.groupBy("leaf", "place", F.xxhash64("word").alias("word")).agg(F.count("*").alias("n"))
     places = named.groupBy("leaf", "place").agg(F.count("*").alias("named"), F.sum("n").alias("lines"))
     places = places.filter((F.col("named") > MOST_NAMED) & (F.col("named") > F.col("lines") * VARIABLE_SHARE))
     # At most one row per place of a line.
@@ -119,14 +139,15 @@ def _variable_places(lines: DataFrame) -> DataFrame:
 def recurring_lines(docs: DataFrame, *, id_col="doc_id", text_col="text", least_docs: int = LEAST_DOCS) -> DataFrame:
     """``key, at``: the places of the lines to drop, by document (id, and hash and length of the text)."""
     leaves = written(_leaves(docs, text_col, least_docs), "lines-leaves")
-    kept = written(_lines_of(docs, leaves, id_col, text_col), "lines-kept")
+    lines = written(_lines_of(docs, leaves, id_col, text_col), "lines-kept")
+    kept = lines.join(written(_full(lines, least_docs), "lines-full"), "leaf")
     variable = written(_variable_places(kept), "lines-variable")
-    placed = kept.join(variable, "leaf", "left")
-    variable = F.coalesce("variable", F.array().cast("array<int>"))
-    masked = F.transform("words", lambda w, i: F.when(F.array_contains(variable, i), WILDCARD).otherwise(_masked(w)))
-    fixed = F.size(F.filter(masked, lambda w: w != WILDCARD))
-    own = F.transform("words", _masked)
-    template = F.when(fixed >= F.size("words") * LEAST_FIXED, F.xxhash64("leaf", masked)).otherwise(F.xxhash64("leaf", own))
+    placed = kept.join(variable, "leaf", "left").withColumn("words", F.split("line", " "))
+    masked = F.transform("words", lambda w, i: F.when(F.array_contains("variable", i), WILDCARD).otherwise(w))
+    placed = placed.withColumn("masked", F.when(F.col("variable").isNotNull(), masked))
+    fixed = F.size(F.array_remove("masked", WILDCARD))
+    general = F.col("masked").isNotNull() & (fixed >= F.size("words") * LEAST_FIXED)
+    template = F.when(general, F.xxhash64("leaf", "masked")).otherwise(F.xxhash64("leaf", "words"))
     placed = written(placed.select("key", "at", template.alias("template")), "lines-templates")
 
     # Templates in fewer documents than needed go before families are looked up.
@@ -134,10 +155,8 @@ def recurring_lines(docs: DataFrame, *, id_col="doc_id", text_col="text", least_
     often = by_doc.groupBy("template").agg(F.count("*").alias("docs")).filter(F.col("docs") >= least_docs).select("template")
     often = written(often, "lines-often")
     members = written(by_doc.join(often, "template"), "lines-members")
-    p = fresh_prefix(docs)
-    wanted = sent_if_few(written(members.select(F.col("key").alias(p + "wanted")).distinct(), "lines-wanted"))
-    alike = docs.join(wanted, _key(id_col, text_col).eqNullSafe(F.col(p + "wanted")), "left_semi")
-    members = members.join(_families(alike, id_col, text_col), "key")
+    alike = _families(docs, members, id_col, text_col)
+    members = members.withColumns({"hash": F.col("key.hash"), "length": F.col("key.length")}).join(alike, ["hash", "length"])
     families = members.groupBy("template", "family").agg(F.count("*").alias("n"))
     totals = families.groupBy("template").agg(F.sum("n").alias("docs"), F.max("n").alias("largest"))
     besides = F.col("docs") - F.col("largest")
@@ -150,8 +169,9 @@ def _joined(docs: DataFrame, p: str, id_col: str, text_col: str, least_docs: int
     found = recurring_lines(docs, id_col=id_col, text_col=text_col, least_docs=least_docs)
     # A document has as many rows here as it has lines to drop.
     found = found.groupBy("key").agg(F.collect_set("at").alias("at")).select(F.col("key").alias(p + "found"), F.col("at").alias(p + "at"))
-    # What is found grows with the documents, so it is never broadcast: the plan is the same at every size.
-    found = written(found, "lines-found").hint("merge")
+    # What is found grows with the documents, so it is never broadcast: the plan is the same at every size. Documents are
+    # looked up in a partition's share of it, which spares sorting their texts.
+    found = written(found, "lines-found").hint("shuffle_hash")
     joined = docs.withColumn(p + "key", _key(id_col, text_col)).join(found, F.col(p + "key") == F.col(p + "found"), "left")
     gone = F.coalesce(p + "at", F.array().cast("array<int>"))
     left = F.array_join(F.filter(F.split(F.col(text_col), "\n"), lambda line, i: ~F.array_contains(gone, i)), "\n")

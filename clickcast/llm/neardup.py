@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickcast.llm.common import fresh_prefix, lower_ascii, sent_if_few, split_words
+from clickcast.llm.common import fresh_prefix, lower_ascii, sent_if_few, spaced, split_words
 from clickcast.llm.common import written as written_as
 
 # Words of a shingle, and the similarity from which documents are linked, as a fraction.
@@ -380,7 +380,7 @@ class _Search:
         nodes = written(nodes.join(self.classes.select("node", "id", "n_shingles"), "node"), "dup-nodes")
         wanted = nodes.select(F.col("id").alias("wanted")).distinct()
         texts = self.docs.join(sent_if_few(wanted), F.col("id").eqNullSafe(F.col("wanted")), "left_semi")
-        sets = texts.select(_word_hashes()).mapInArrow(partial(_set_batches, self.size), "node long, shingles array<long>")
+        sets = _word_hashes(texts).mapInArrow(partial(_set_batches, self.size), "node long, shingles array<long>")
         return written(sets.join(nodes.select("node", "n_shingles"), "node").dropDuplicates(["node"]), "dup-sets")
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
@@ -406,8 +406,12 @@ class _Search:
         self.joined = written(joined.select("node", F.coalesce("new", "component").alias("component")), "dup-components")
 
 
-def _word_hashes():
-    return F.transform(split_words(lower_ascii(F.col("text"))), lambda w: F.xxhash64(w)).alias("words")
+def _word_hashes(docs: DataFrame, *kept: str) -> DataFrame:
+    """``kept`` columns and ``words``, the hashes of a text's words."""
+    # In a step of its own, else the text is made lower case for each use.
+    plain = docs.select(*kept, lower_ascii(F.col("text")).alias("text"))
+    words = F.transform(split_words(spaced(F.col("text")), " "), lambda w: F.xxhash64(w))
+    return plain.select(*kept, words.alias("words"))
 
 
 def near_duplicates(
@@ -421,7 +425,7 @@ def near_duplicates(
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = docs.schema["id"].dataType.simpleString()
     schema = f"id {kind}, n_shingles long, node long, bands array<long>, registers binary"
-    made = docs.select("id", _word_hashes()).mapInArrow(partial(_sketch_batches, shingle), schema)
+    made = _word_hashes(docs, "id").mapInArrow(partial(_sketch_batches, shingle), schema)
     made = written(made, "dup-sketches")
     one = [F.first(c).alias(c) for c in ("n_shingles", "bands", "registers")]
     classes = written(made.filter("node is not null").groupBy("node").agg(F.min("id").alias("id"), *one), "dup-classes")
