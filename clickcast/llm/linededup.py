@@ -114,16 +114,21 @@ def _full(lines: DataFrame, least_lines: int) -> DataFrame:
     return counted.filter((F.col("lines") >= least_lines) & (F.col("words") >= LEAST_WORDS)).select("leaf")
 
 
-def _families(docs: DataFrame, members: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _families(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``key, family`` of every document."""
+    rows = docs.filter(F.col(text_col).isNotNull()).select(_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
+    found = near_duplicates(rows, id_col="key", text_col="text", min_shared=FAMILY_SHARED, of=FAMILY_OF)
+    return found.select("key", F.xxhash64("component_id").alias("family")).distinct()
+
+
+def _families_of(members: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``hash, length, family`` of every text of ``members``, which must be at hand."""
     # Equal texts have equal sets, so one document stands for all of its text.
     p = fresh_prefix(docs)
     wanted = members.groupBy("key.hash", "key.length").agg(F.min("key").alias(p + "wanted")).select(p + "wanted")
     wanted = sent_if_few(written(wanted, "lines-wanted"))
     docs = docs.join(wanted, _key(id_col, text_col).eqNullSafe(F.col(p + "wanted")), "left_semi")
-    rows = docs.filter(F.col(text_col).isNotNull()).select(_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
-    found = near_duplicates(rows, id_col="key", text_col="text", min_shared=FAMILY_SHARED, of=FAMILY_OF)
-    return found.select("key.hash", "key.length", F.xxhash64("component_id").alias("family")).distinct()
+    return _families(docs, id_col, text_col).select("key.hash", "key.length", "family")
 
 
 def _variable_places(lines: DataFrame) -> DataFrame:
@@ -155,7 +160,7 @@ def recurring_lines(docs: DataFrame, *, id_col="doc_id", text_col="text", least_
     often = by_doc.groupBy("template").agg(F.count("*").alias("docs")).filter(F.col("docs") >= least_docs).select("template")
     often = written(often, "lines-often")
     members = written(by_doc.join(often, "template"), "lines-members")
-    alike = _families(docs, members, id_col, text_col)
+    alike = _families_of(members, docs, id_col, text_col)
     members = members.withColumns({"hash": F.col("key.hash"), "length": F.col("key.length")}).join(alike, ["hash", "length"])
     families = members.groupBy("template", "family").agg(F.count("*").alias("n"))
     totals = families.groupBy("template").agg(F.sum("n").alias("docs"), F.max("n").alias("largest"))
