@@ -18,9 +18,10 @@ Rows and features are sampled by hashes, so that runs agree.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from math import log
 from multiprocessing.pool import ThreadPool
+from threading import Lock
 
 import numpy as np
 import pyarrow as pa
@@ -43,12 +44,19 @@ from pyspark.sql import functions as F
 
 from clickcast.operators.encode import vector_arrays
 from clickcast.operators.histograms import Block, Layout, Pass, Rule, Tree, drawn, level_splits, moved, pack
-from clickcast.session import empty_folder, scratch_path
+from clickcast.session import empty_folder, scratch_path, session_beside
 
 # Cells of a level's histogram that the driver takes, of 28 bytes each.
 DRIVER_CELLS = 500_000
 # Fits of ``fitMultiple`` at the same time.
 FITS = 2
+# Blocks are written a few to a row group and each in a page of its own, and sent to Python a few at a time: a task holds
+# so many of them, however many its partition has.
+FILE_OPTIONS = {
+    "parquet.block.row.count.limit": 8, "parquet.page.row.count.limit": 1, "parquet.page.size.row.check.min": 1,
+    "parquet.enable.dictionary": "false",
+}
+BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
 
 
 def _param(name: str, text: str, kind=TypeConverters.toFloat) -> Param:
@@ -105,14 +113,34 @@ def feature_cuts(df: DataFrame, features: str, bins: int) -> tuple[DataFrame, di
     return stats, {r["position"]: sorted(set(r["cuts"])) for r in found.collect()}
 
 
-def _written(rows: DataFrame, spark: SparkSession, old: str | None) -> tuple[DataFrame, str]:
+def _written(rows: DataFrame, spark: SparkSession) -> tuple[DataFrame, str]:
     path = scratch_path(spark, "boosting-rows")
-    rows.write.parquet(path)
-    if old is not None:
-        empty_folder(spark, old)
+    rows.write.options(**FILE_OPTIONS).parquet(path)
     return spark.read.schema(rows.schema).parquet(path), path
 
 
+@dataclass
+class _Packed:
+    """The blocks that ``fits`` fits begin with, in a session of their own, and what is known of the features."""
+
+    spark: SparkSession
+    stats: DataFrame
+    layout: Layout
+    cells: int
+    start: float
+    blocks: DataFrame
+    path: str
+    fits: int
+    lock: Lock = field(default_factory=Lock)
+
+    def drop(self) -> None:
+        """A fit needs the blocks no more; the last removes them."""
+        with self.lock:
+            self.fits -= 1
+            if not self.fits:
+                empty_folder(self.spark, self.path)
+
+
 def _margins(trees: list[Tree], start: float) -> Callable[[pa.Array], pa.Array]:
     """The margins of vectors: a row goes left where the value of the node's position is below its threshold."""
     shapes = [tuple(map(np.array, (t.position, t.threshold, t.value))) for t in trees]
@@ -143,6 +171,9 @@ def _margins(trees: list[Tree], start: float) -> Callable[[pa.Array], pa.Array]:
 class SecondOrderBoosting(Estimator, _Settings):
     """See the module. ``fitMultiple`` fits points that differ in the number of rounds only once, to the longest."""
 
+    # What learns from a table of its own reads the rows a few times; kept in memory, they leave executors too little.
+    own_table = True
+
     @keyword_only
     def __init__(
         self, *, maxIter: int = 20, stepSize: float = 0.1, maxDepth: int = 6, maxBins: int = 64, minChildWeight: float = 1.0,
@@ -162,8 +193,11 @@ class SecondOrderBoosting(Estimator, _Settings):
         for p in points:
             if p._but_rounds() not in longest or longest[p._but_rounds()].getMaxIter() < p.getMaxIter():
                 longest[p._but_rounds()] = p
+        # Fits with the same bins and the same start begin with the same blocks.
+        packing = [p._packing() for p in longest.values()]
+        packed = {at: p._packed(dataset, packing.count(at)) for at, p in dict(zip(packing, longest.values(), strict=True)).items()}
         # A pass over one level leaves cores idle between its tasks and the next pass.
-        fit = inheritable_thread_target(dataset.sparkSession)(lambda p: p._fit(dataset))
+        fit = inheritable_thread_target(dataset.sparkSession)(lambda p: p._boosted(packed[p._packing()]))
         with ThreadPool(max(1, min(FITS, len(longest)))) as pool:
             fitted = dict(zip(longest, pool.map(fit, longest.values()), strict=True))
         return iter([(i, p._copyValues(fitted[p._but_rounds()].first(p.getMaxIter()))) for i, p in enumerate(points)])
@@ -171,22 +205,36 @@ class SecondOrderBoosting(Estimator, _Settings):
     def _but_rounds(self) -> tuple:
         return tuple(sorted((p.name, self.getOrDefault(p)) for p in self.params if p.name != "maxIter" and self.isDefined(p)))
 
+    def _packing(self) -> tuple:
+        return tuple(self.getOrDefault(p) for p in ("featuresCol", "labelCol", "maxBins", "baseScore"))
+
     def _fit(self, dataset: DataFrame) -> SecondOrderBoostingModel:
+        return self._boosted(self._packed(dataset))
+
+    def _packed(self, dataset: DataFrame, fits: int = 1) -> _Packed:
         get = self.getOrDefault
         spark, features = dataset.sparkSession, self.getFeaturesCol()
         stats, cuts = feature_cuts(dataset, features, get("maxBins"))
         start = log(get("baseScore") / (1 - get("baseScore")))
         layout = Layout((stats.agg(F.max("position")).first()[0] or 0) + 1, cuts)
-        cells = (stats.count() + sum(map(len, cuts.values()))) * 2 ** (get("maxDepth") - 1)
+        beside = session_beside(spark, BATCHES)
+        blocks, path = _written(pack(dataset, features, self.getLabelCol(), layout, start), beside)
+        return _Packed(beside, stats, layout, stats.count() + sum(map(len, cuts.values())), start, blocks, path, fits)
+
+    def _boosted(self, rows: _Packed) -> SecondOrderBoostingModel:
+        get, spark, layout = self.getOrDefault, rows.spark, rows.layout
+        on_driver = rows.cells * 2 ** (get("maxDepth") - 1) <= DRIVER_CELLS
         trees: list[Tree] = []
-        blocks, path = _written(pack(dataset, features, self.getLabelCol(), layout, start), spark, None)
+        blocks, path = rows.blocks, None
         for turn in range(get("maxIter")):
-            trees.append(self._tree(blocks, layout, turn, cells <= DRIVER_CELLS))
+            trees.append(self._tree(blocks, layout, turn, on_driver))
             if turn + 1 < get("maxIter"):
-                blocks, path = _written(moved(blocks, layout, trees[-1]), spark, path)
-        empty_folder(spark, path)
-        self._set_thresholds(trees, stats, cuts)
-        return self._copyValues(SecondOrderBoostingModel(trees, start))
+                old = path
+                blocks, path = _written(moved(blocks, layout, trees[-1]), spark)
+                rows.drop() if old is None else empty_folder(spark, old)
+        rows.drop() if path is None else empty_folder(spark, path)
+        self._set_thresholds(trees, rows.stats, layout.cuts)
+        return self._copyValues(SecondOrderBoostingModel(trees, rows.start))
 
     def _tree(self, blocks: DataFrame, layout: Layout, turn: int, on_driver: bool) -> Tree:
         get = self.getOrDefault

@@ -66,7 +66,10 @@ def tune(
     if abs(10 * ratio - tenths) > 1e-9:
         raise ValueError(f"a hash split is to a tenth; {ratio} is not")
     # Other digits than a train/test split on the same key uses, so that the two are independent.
-    learn, check = (part.persist(StorageLevel.MEMORY_AND_DISK) for part in hash_split(train, key, tenths, 1))
+    learn, check = parts = hash_split(train, key, tenths, 1)
+    kept = () if getattr(estimator, "own_table", False) else parts
+    for part in kept:
+        part.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         # An estimator that can fit several points at once does so; others fit one per step of this iterator.
         models = estimator.fitMultiple(learn, list(grid))
@@ -79,8 +82,8 @@ def tune(
             scored = dict(pool.map(inheritable_thread_target(train.sparkSession)(score), grid))
         metrics = [scored[i] for i in range(len(grid))]
     finally:
-        learn.unpersist()
-        check.unpersist()
+        for part in kept:
+            part.unpersist()
     best = grid[metrics.index(max(metrics))]
     return Tuned(estimator.fit(train, best), metrics, grid)
 

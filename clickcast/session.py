@@ -65,6 +65,15 @@ def use_checkpoint_dir(spark: SparkSession) -> None:
             context.setCheckpointDir(folder)
 
 
+def session_beside(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
+    """A session on the same context with the settings of ``spark``, but for these. Its tables may not be joined with others."""
+    beside = spark.newSession()
+    for name, value in {**spark.conf.getAll, **settings}.items():
+        if beside.conf.isModifiable(name):
+            beside.conf.set(name, value)
+    return beside
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df.checkpoint()`` with the checkpoint folder in place."""
     use_checkpoint_dir(df.sparkSession)
