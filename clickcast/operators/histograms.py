@@ -30,9 +30,13 @@ from clickcast.operators.encode import vector_arrays
 LEAST_GAIN = 1e-6
 # Cells that a task sums in two arrays of 8 bytes each; beyond that it sorts the cells of each block.
 TASK_CELLS = 4_000_000
+# Rows go down a tree by a table of their cells at the positions it splits on, if these are no more than this.
+TABLE_POSITIONS = 256
 
 BLOCK = {"row": np.int64, "y": np.float64, "ends": np.int32, "cells": np.int32, "state": np.float64}
 BLOCK_KIND = ", ".join(f"{c} binary" for c in BLOCK)
+# Cells are stored as the first of these, by bytes, that holds all of the layout.
+CELL_KINDS = {2: np.uint16, 4: np.int32}
 SUMS = pa.schema([("slot", pa.int32()), ("position", pa.int32()), ("bin", pa.int32()), ("g", pa.float64()), ("h", pa.float64())])
 SUMS_KIND = "slot int, position int, bin int, g double, h double"
 
@@ -105,13 +109,18 @@ class Block:
     cells: np.ndarray
     state: np.ndarray
 
+    @cached_property
+    def counts(self) -> np.ndarray:
+        return np.diff(self.ends, prepend=0)
+
     @cached_property
     def owner(self) -> np.ndarray:
-        return np.repeat(np.arange(len(self.y), dtype=np.int32), np.diff(self.ends, prepend=0))
+        return np.repeat(np.arange(len(self.y), dtype=np.int32), self.counts)
 
 
 def _packed(*blocks: Block) -> pa.RecordBatch:
-    columns = [[np.ascontiguousarray(getattr(b, c), kind).tobytes() for b in blocks] for c, kind in BLOCK.items()]
+    kind_of = lambda b, c: b.cells.dtype if c == "cells" else BLOCK[c]
+    columns = [[np.ascontiguousarray(getattr(b, c), kind_of(b, c)).tobytes() for b in blocks] for c in BLOCK]
     return pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], names=list(BLOCK))
 
 
@@ -119,7 +128,11 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
     for batch in batches:
         columns = [batch.column(c) for c in BLOCK]
         for i in range(batch.num_rows):
-            yield Block(*(np.frombuffer(c[i].as_buffer(), kind) for c, kind in zip(columns, BLOCK.values(), strict=True)))
+            found = {c: column[i].as_buffer() for c, column in zip(BLOCK, columns, strict=True)}
+            ends = np.frombuffer(found["ends"], BLOCK["ends"])
+            entries = int(ends[-1]) if len(ends) else 0
+            kinds = BLOCK | {"cells": CELL_KINDS[found["cells"].size // entries]} if entries else BLOCK
+            yield Block(*(np.frombuffer(found[c], kind) for c, kind in kinds.items()))
 
 
 def pack(df: DataFrame, features: str, label: str, layout: Layout, state: float) -> DataFrame:
@@ -142,6 +155,8 @@ def _pack(layout: Layout, state: float, batches: Iterator[pa.RecordBatch]) -> It
         used = np.flatnonzero(value != 0)
         ends = np.cumsum(np.bincount(owner[used], minlength=len(row)))
         cells = layout.cells(place[used], value[used])
+        if layout.size <= np.iinfo(CELL_KINDS[2]).max:
+            cells = cells.astype(CELL_KINDS[2])
         y = np.asarray(y.fill_null(np.nan))
         yield _packed(Block(np.asarray(row), y, ends, cells, np.full(len(y), state)))
 
@@ -221,11 +236,22 @@ class _Router:
         self.used = np.zeros(work.layout.size, bool)
         for n in inner.tolist():
             self.used[self.low[n] : self.high[n]] = True
+        # The column of each node and, from one on, of each used cell.
+        positions, column = np.unique(np.array([tree.position[n] for n in inner.tolist()], np.int64), return_inverse=True)
+        self.columns = len(positions)
+        self.column, self.column_of = np.zeros(len(self.high), np.int64), None
+        self.column[inner] = column
+        if 0 < self.columns <= TABLE_POSITIONS:
+            self.column_of = np.zeros(work.layout.size, np.int16)
+            for n, c in zip(inner.tolist(), column.tolist(), strict=True):
+                self.column_of[self.low[n] : self.high[n]] = c + 1
 
     def nodes(self, block: Block) -> np.ndarray:
         node = np.zeros(len(block.y), np.int64)
         if not self.levels:
             return node
+        if self.column_of is not None:
+            return self._by_table(block, node)
         at = np.flatnonzero(self.used[block.cells])
         cells, owner = block.cells[at], block.owner[at]
         for _ in range(self.levels):
@@ -235,6 +261,18 @@ class _Router:
             node = np.where(self.high[node] > 0, 2 * node + 1 + right, node)
         return node
 
+    def _by_table(self, block: Block, node: np.ndarray) -> np.ndarray:
+        """The same from a table of cells by row and column, -1 where a row has none that is used."""
+        column = self.column_of.take(block.cells)
+        at = np.flatnonzero(column > 0)
+        table = np.full(len(node) * self.columns, -1, np.int32)
+        first = np.arange(len(node)) * self.columns
+        table[first.take(block.owner.take(at)) + column.take(at) - 1] = block.cells.take(at)
+        for _ in range(self.levels):
+            cell, high = table.take(first + self.column.take(node)), self.high.take(node)
+            node = np.where(high > 0, 2 * node + 1 + ((cell >= self.low.take(node)) & (cell < high)), node)
+        return node
+
 
 def _reduced(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
     """Keys in order, each once, with the sums of what belongs to it."""
@@ -298,16 +336,15 @@ def _level(work: Pass, only_totals: bool, batches: Iterator[pa.RecordBatch]) ->
                 whole[k] += np.bincount(slot[on], part, count)
             if only_totals:
                 continue
-            at = slot[block.owner]
+            cells, counts = block.cells, block.counts
             if len(on) < len(slot):
-                entries = np.flatnonzero(at >= 0)
-                key, owner = at[entries] * size + block.cells[entries], block.owner[entries]
-            else:
-                key, owner = at * size + block.cells, block.owner
+                cells, counts = cells[np.repeat(slot >= 0, counts)], counts[on]
+            key = np.repeat(slot[on] * size, counts) + cells
+            g, h = np.repeat(g[on], counts), np.repeat(h[on], counts)
             if allowed is not None:
                 chosen = allowed[key]
-                key, owner = key[chosen], owner[chosen]
-            sums.add(key, g[owner], h[owner])
+                key, g, h = key[chosen], g[chosen], h[chosen]
+            sums.add(key, g, h)
     slots = np.arange(count, dtype=np.int32)
     none = np.zeros(count, np.int32)
     for position, g, h in ((-1, whole[0], whole[1]), (-2, whole[2], whole[1])):
